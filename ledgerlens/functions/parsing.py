@@ -20,10 +20,14 @@ def normal_form(v: Column) -> Column:
     return F.lower(strip(v))
 
 
+def is_placeholder_norm(norm: Column) -> Column:
+    """The placeholder test on text already in normal form; false for null."""
+    return F.coalesce((norm == "") | norm.isin(*fixed.PLACEHOLDERS), F.lit(False))
+
+
 def is_placeholder(v: Column) -> Column:
     """Non-null text that stands for a missing value, blanks included."""
-    norm = normal_form(v)
-    return v.isNotNull() & ((norm == "") | norm.isin(*fixed.PLACEHOLDERS))
+    return is_placeholder_norm(normal_form(v))
 
 
 def null_default_tokens(v: Column) -> Column:
@@ -37,7 +41,15 @@ def parse_number(v: Column) -> Column:
     ``(x)`` reads as ``-x``; a percentage keeps its printed size. The shape test
     keeps out spellings such as ``1d`` that a plain cast would take.
     """
-    bare = F.translate(v, fixed.NUMBER_MARKS + fixed.WHITESPACE, "")
+    return bare_to_number(bare_number(v))
+
+
+def bare_number(v: Column) -> Column:
+    """Text without the characters a number may carry along."""
+    return F.translate(v, fixed.NUMBER_MARKS + fixed.WHITESPACE, "")
+
+
+def bare_to_number(bare: Column) -> Column:
     bracketed = bare.startswith("(") & bare.endswith(")") & (F.length(bare) > 2)
     signed = F.when(bracketed, F.regexp_replace(bare, r"^\((.*)\)$", "-$1")).otherwise(bare)
     return F.when(signed.rlike(NUMBER_SHAPE) | signed.rlike(INFINITY_SHAPE), signed.try_cast("double"))
@@ -49,7 +61,11 @@ def parse_date(v: Column) -> Column:
     Each layout is tried only on text of its own shape, so most values that are
     no dates cost a few failed pattern tests and no exception inside the parser.
     """
-    text = strip(v)
+    return stripped_to_date(strip(v))
+
+
+def stripped_to_date(text: Column) -> Column:
+    """The date layouts on text without edge whitespace."""
     numeric_day = r"^[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}$"
     dashed = F.translate(text, "/.", "--")
     month_first = r"^([A-Za-z]{3})[a-z]*\.? ([0-9]{1,2}),? ([0-9]{4})$"
@@ -73,14 +89,5 @@ def parse_boolean(v: Column) -> Column:
     return F.when(norm.isin("yes", "y", "true"), True).when(norm.isin("no", "n", "false"), False)
 
 
-def looks_integer(v: Column) -> Column:
-    return strip(v).rlike(INTEGER_SHAPE)
-
-
-def looks_float(v: Column) -> Column:
-    text = strip(v)
-    return text.rlike(NUMBER_SHAPE) | text.rlike(INFINITY_SHAPE)
-
-
 def looks_boolean(v: Column) -> Column:
     return v.isin(*fixed.BOOLEAN_TEXT)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.expressions import half_up, pct
 from ledgerlens.functions.parsing import (
-    is_placeholder, looks_boolean, looks_float, looks_integer, normal_form, strip,
+    INFINITY_SHAPE, INTEGER_SHAPE, NUMBER_SHAPE, is_placeholder, looks_boolean, normal_form, strip,
 )
 from ledgerlens.operators.ordering import ordered_parts, running_weight, weighted_quantiles
 from ledgerlens.operators.profile.frequency import column_at
@@ -60,21 +58,29 @@ def semantic_type() -> Column:
 def summarize(vf: DataFrame, names: list[str], stored: list[str] | None, as_of: str) -> DataFrame:
     """One row per column from algebraic aggregates only, so hot columns combine map-side."""
     value, n, x, ts = (F.col(c) for c in ("value", "n", "x", "ts"))
-    ok, norm, count_of = held(), normal_form(F.col("value")), lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
-    pairs = [F.count_if(ok & norm.isin(*pair)) for pair in fixed.BOOLEAN_PAIRS]
-    sums = vf.groupBy("position").agg(
+    count_of = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
+    # Trimming and the pattern tests become columns first, so each runs once per distinct value.
+    pair = F.lit(None).cast("int")
+    for i, words in enumerate(fixed.BOOLEAN_PAIRS):
+        pair = F.when(F.col("norm").isin(*words), F.lit(i)).otherwise(pair)
+    marked = (vf.withColumn("ok", held()).withColumn("trimmed", strip(value))
+              .withColumn("norm", F.lower("trimmed"))
+              .withColumn("int_text", F.col("trimmed").rlike(INTEGER_SHAPE))
+              .withColumn("float_text", F.col("trimmed").rlike(NUMBER_SHAPE) | F.col("trimmed").rlike(INFINITY_SHAPE))
+              .withColumn("pair", F.when(F.col("ok"), pair)))
+    ok, norm, trimmed = F.col("ok"), F.col("norm"), F.col("trimmed")
+    sums = marked.groupBy("position").agg(
         F.sum("n").alias("n_rows"), count_of(value.isNull()).alias("n_null"),
         count_of(F.col("placeholder")).alias("disguised_null_count"),
         F.array_sort(F.collect_set(F.when(F.col("placeholder"), norm))).alias("disguised_null_tokens"),
         count_of(ok).alias("n_held"), F.count_if(ok).alias("n_distinct"),
         count_of(ok & x.isNotNull()).alias("n_number"), count_of(ok & ts.isNotNull()).alias("n_date"),
-        count_of(ok & (value != strip(value))).alias("n_edge_space"),
+        count_of(ok & (value != trimmed)).alias("n_edge_space"),
         F.sum(F.when(ok, F.length(value) * n)).alias("n_chars"),
         F.coalesce(F.sum(F.octet_length(value) * n), F.lit(0)).alias("raw_bytes"),
-        count_of(value.isNotNull() & looks_integer(value)).alias("n_int_text"),
-        count_of(value.isNotNull() & looks_float(value)).alias("n_float_text"),
-        count_of(value.isNotNull() & looks_boolean(value)).alias("n_bool_text"),
-        reduce(lambda a, b: F.greatest(a, b), pairs).alias("n_in_pair"),
+        count_of(F.col("int_text")).alias("n_int_text"), count_of(F.col("float_text")).alias("n_float_text"),
+        count_of(looks_boolean(value)).alias("n_bool_text"),
+        F.count("pair").alias("n_paired"), (F.min("pair") == F.max("pair")).alias("one_pair"),
         F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.sum(x * n).alias("sum_x"),
         count_of(x == 0).alias("zeros"), count_of(x < 0).alias("negatives"), F.count("x").alias("n_number_values"),
         F.min("ts").alias("min_date"), F.max("ts").alias("max_date"),
@@ -87,7 +93,7 @@ def summarize(vf: DataFrame, names: list[str], stored: list[str] | None, as_of:
              .withColumn("date_share", F.when(F.col("number_share") >= fixed.PARSE_SHARE, 0.0).otherwise(
                  F.coalesce(F.try_divide(F.col("n_date"), F.col("n_held")), F.lit(0.0))))
              .withColumn("is_boolean_like", (F.col("n_held") > 0) & (F.col("n_distinct") <= 2)
-                         & (F.col("n_in_pair") == F.col("n_distinct"))))
+                         & (F.col("n_paired") == F.col("n_distinct")) & F.col("one_pair")))
     typed = named.withColumn("inferred_type", semantic_type())
     text_like = F.col("inferred_type").isin(*TEXT_TYPES)
     mixed = (F.col("number_share") > 0.05) & (F.col("number_share") < 0.95)
@@ -103,7 +109,7 @@ def summarize(vf: DataFrame, names: list[str], stored: list[str] | None, as_of:
             .withColumn("date_parseable_pct", half_up(F.col("date_share"), 4))
             .withColumn("has_stats", (F.col("n_number") > 0) & (
                 (F.col("inferred_type") == "numeric") | (F.col("number_share") >= fixed.PARSE_SHARE)))
-            .drop("n_in_pair", "n_edge_space"))
+            .drop("n_paired", "one_pair", "n_edge_space"))
 
 
 def among(vf: DataFrame, summary: DataFrame, condition: Column | str, *carry: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerlens.functions.parsing import is_placeholder, parse_date, parse_number
+from ledgerlens.functions.parsing import bare_number, bare_to_number, is_placeholder_norm, strip, stripped_to_date
 
 CARRIERS = {
     "bigint": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
@@ -37,13 +37,24 @@ def _carried(df: DataFrame, i: int, carrier: str) -> Column:
     return F.when(~F.isnan(c), c) if carrier == "double" else c
 
 
-def _described(carrier: str) -> dict[str, Column]:
-    v, none = F.col("v"), F.lit(None)
-    if carrier == "string":
-        held = F.when(~is_placeholder(v), v)
-        return {"x": parse_number(held), "ts": parse_date(held), "placeholder": F.coalesce(is_placeholder(v), F.lit(False))}
-    number = v.cast("double") if carrier in ("bigint", "double") else none.cast("double")
-    return {"x": number, "ts": v if carrier == "timestamp" else none.cast("timestamp"), "placeholder": F.lit(False)}
+def _described(counted: DataFrame, carrier: str) -> DataFrame:
+    """Parsed number and date of each distinct value.
+
+    Text is taken apart in steps, each a column of its own, so that trimming and
+    the placeholder test run once per value and not once per use.
+    """
+    none = F.lit(None)
+    if carrier != "string":
+        number = F.col("v").cast("double") if carrier in ("bigint", "double") else none.cast("double")
+        date = F.col("v") if carrier == "timestamp" else none.cast("timestamp")
+        return counted.select("position", F.col("v").cast("string").alias("value"), "n", number.alias("x"),
+                              date.alias("ts"), F.lit(False).alias("placeholder"))
+    trimmed = counted.withColumn("trimmed", strip(F.col("v")))
+    flagged = trimmed.withColumn("placeholder", is_placeholder_norm(F.lower("trimmed")))
+    held = flagged.withColumn("trimmed", F.when(~F.col("placeholder"), F.col("trimmed")))
+    bare = held.withColumn("bare", bare_number(F.col("trimmed")))
+    return bare.select("position", F.col("v").alias("value"), "n", bare_to_number(F.col("bare")).alias("x"),
+                       stripped_to_date(F.col("trimmed")).alias("ts"), "placeholder")
 
 
 def value_frequencies(df: DataFrame) -> DataFrame:
@@ -60,10 +71,7 @@ def value_frequencies(df: DataFrame) -> DataFrame:
         narrow = df.select(*[_carried(df, i, carrier).alias(str(i)) for i in positions])
         long = narrow.unpivot([], [str(i) for i in positions], "name", "v")
         counted = long.groupBy(F.col("name").cast("int").alias("position"), "v").agg(F.count("*").alias("n"))
-        described = _described(carrier)
-        parts.append(counted.select(
-            "position", F.col("v").cast("string").alias("value"), "n",
-            *[c.alias(name) for name, c in described.items()]))
+        parts.append(_described(counted, carrier))
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

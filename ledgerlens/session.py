@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Call-site capture for error messages doubles the time to build wide expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -41,8 +41,9 @@ def plain(v):
     return str(v)
 
 
-def kind(v):
-    return type(v).__name__
+# Declared types on both sides; anything else is compared by name as it is.
+SPARK_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+               "date": "DATE", "timestamp": "TIMESTAMP"}
 
 
 def differences(df, con, sql: str) -> list[str]:
@@ -51,16 +52,17 @@ def differences(df, con, sql: str) -> list[str]:
     left = [tuple(r) for r in df.collect()]
     cursor = con.execute(sql)
     right_names = [c[0] for c in cursor.description]
+    problems: list[str] = []
+    described = list(cursor.description)
     right = cursor.fetchall()
-    problems = []
     if sorted(left_names) != sorted(right_names):
         return [f"columns {sorted(left_names)} != {sorted(right_names)}"]
     order_left = [left_names.index(n) for n in sorted(left_names)]
     order_right = [right_names.index(n) for n in sorted(left_names)]
-    for name, i, j in zip(sorted(left_names), order_left, order_right):
-        kinds = [{kind(r[k]) for r in rows if r[k] is not None} for rows, k in ((left, i), (right, j))]
-        if kinds[0] and kinds[1] and kinds[0] != kinds[1] and {"Row", "dict"} != kinds[0] | kinds[1]:
-            problems.append(f"{name}: types {kinds[0]} != {kinds[1]}")
+    declared = {n: SPARK_TYPES.get(t, t) for n, t in df.dtypes}
+    for c in described:
+        if declared[c[0]] != str(c[1]):
+            problems.append(f"{c[0]}: type {declared[c[0]]} != {c[1]}")
     if len(left) != len(right):
         problems.append(f"rows {len(left)} != {len(right)}")
     a = sorted(tuple(plain(r[i]) for i in order_left) for r in left)
