@@ -10,45 +10,52 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.session import materialize
 
-SMALL_ROWS = 200_000
+SMALL_ROWS = 1_000_000
 ROWS_PER_PART = 2_000_000
 
 
-def ordered_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False,
-                  rows: int | None = None) -> DataFrame:
-    """``df`` with a ``part`` number that follows the sort order.
+def ordered_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, weight: str | None = None,
+                  descending: bool = False) -> DataFrame:
+    """``df`` with a ``part`` number that follows the sort order; equal rows merge if there is a ``weight``.
 
-    Up to ``SMALL_ROWS`` rows share part 0. Beyond that the parts are the range
-    partitions of (keys, order), balanced by Spark's sampling; one key with most
-    of the rows is spread over many parts because the order column splits it.
+    ``rows`` is an upper bound on the rows of ``df``. Up to ``SMALL_ROWS`` they
+    share part 0. Beyond that the parts are the range partitions of (keys,
+    order), balanced by Spark's sampling; one key with most of the rows is
+    spread over many parts because the order column splits it. Range placement
+    already brings equal rows together, so merging them needs no other shuffle.
     """
-    rows = df.count() if rows is None else rows
+    def merged(placed: DataFrame) -> DataFrame:
+        return placed.groupBy(*keys, *order).agg(F.sum(weight).alias(weight)) if weight else placed
+
     if rows <= SMALL_ROWS:
-        return df.withColumn("part", F.lit(0))
+        return merged(df).withColumn("part", F.lit(0))
     sort = [F.asc(k) for k in keys] + [F.desc(c) if descending else F.asc(c) for c in order]
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(shuffle, -(-rows // ROWS_PER_PART))
-    placed = df.repartitionByRange(n, *sort).withColumn("part", F.spark_partition_id())
+    placed = merged(df.repartitionByRange(n, *sort)).withColumn("part", F.spark_partition_id())
     return materialize(placed, "ordered")
 
 
 def running_weight(parts: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None,
-                   descending: bool = False, neighbours: str | None = None) -> DataFrame:
+                   descending: bool = False, neighbours: str | None = None, total: str | None = None) -> DataFrame:
     """Adds ``before``: the weight of all rows of the same key that sort earlier.
 
     With ``neighbours`` naming the order column it also adds ``previous`` and
-    ``next``, the adjacent values across part borders. The per-part table has
-    one row per key and part, so its size follows the number of partitions.
+    ``next``, the adjacent values across part borders; ``total`` names a column
+    for the weight of the whole key. The per-part table has one row per key and
+    part, so its size follows the number of partitions.
     """
     w = F.col(weight) if weight else F.lit(1)
     edges = [F.min(neighbours).alias("part_min"), F.max(neighbours).alias("part_max")] if neighbours else []
     by_part = Window.partitionBy(*keys).orderBy("part")
     offsets = parts.groupBy(*keys, "part").agg(F.sum(w).alias("part_weight"), *edges).withColumn(
         "part_before", F.sum("part_weight").over(by_part) - F.col("part_weight"))
+    if total:
+        offsets = offsets.withColumn(total, F.sum("part_weight").over(Window.partitionBy(*keys)))
     if neighbours:
         offsets = (offsets.withColumn("previous_max", F.lag("part_max").over(by_part))
                    .withColumn("next_min", F.lead("part_min").over(by_part)))
@@ -65,39 +72,48 @@ def running_weight(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
     return joined.drop("part_weight", "part_before", "part_min", "part_max", "previous_max", "next_min")
 
 
-def weighted_quantiles(ranked: DataFrame, totals: DataFrame, keys: Sequence[str], value: str, weight: str,
-                       probabilities: dict[str, float]) -> DataFrame:
-    """Linear-interpolation quantiles of ``value`` counted ``weight`` times.
+def quantile_picks(value: str, weight: str, total: Column, probabilities: dict[str, float]) -> list[Column]:
+    """Aggregates that find the two values around each quantile; see :func:`quantile_columns`.
 
-    ``ranked`` comes from :func:`running_weight`; ``totals`` has the keys and
-    ``total_weight``. Each quantile lies between two ranks, and the rows covering
-    them are picked by a plain aggregate.
+    Each quantile lies between two ranks. The row covering a rank is known from
+    ``before``, so a plain maximum over matching rows picks its value.
     """
-    joined = ranked.join(totals.select(*keys, "total_weight"), list(keys))
-    picks, columns = [], []
+    picks = []
     for name, p in probabilities.items():
-        position = F.lit(p) * (F.col("total_weight") - 1)
+        position = F.lit(p) * (total - 1)
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             covers = (F.col("before") <= rank) & (rank < F.col("before") + F.col(weight))
             picks.append(F.max(F.when(covers, F.col(value))).alias(f"{name}_{side}"))
-        share = F.lit(p) * (F.first("total_weight") - 1)
-        picks.append((share - F.floor(share)).alias(f"{name}_share"))
-        columns.append((F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * F.col(f"{name}_share"))
-                       .alias(name))
-    return joined.groupBy(*keys).agg(*picks).select(*keys, *columns)
+        picks.append(F.max(position - F.floor(position)).alias(f"{name}_share"))
+    return picks
+
+
+def merge_picks(probabilities: dict[str, float]) -> list[Column]:
+    """The same picks gathered over finer groups."""
+    return [F.max(f"{name}_{part}").alias(f"{name}_{part}") for name in probabilities for part in ("lo", "hi", "share")]
+
+
+def quantile_columns(probabilities: dict[str, float]) -> list[Column]:
+    """Linear interpolation between the picked values."""
+    return [(F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * F.col(f"{name}_share")).alias(name)
+            for name in probabilities]
 
 
-def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str]) -> DataFrame:
+def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str], rows: int) -> DataFrame:
     """The ``k`` rows with the largest ``by``, ties settled by ``tie_keys``; any ``k``.
 
     The counts per distinct value give the exact cut; rows above it pass a plain
-    filter, and only rows equal to the cut are ordered by their keys.
+    filter, and only rows equal to the cut are ordered by their keys. ``rows`` is
+    the number of rows of ``df``.
     """
     if k <= 0:
         return df.where(F.lit(False))
     df = df.where(F.col(by).isNotNull())
-    counts = materialize(df.groupBy(by).agg(F.count("*").alias("n")), "counts")
-    ranked = running_weight(ordered_parts(counts, [], [by], descending=True), [], [by], "n", descending=True)
+    counts = df.groupBy(by).agg(F.count("*").alias("n"))
+    if rows > SMALL_ROWS:  # often far fewer distinct values than rows, and then no range placement is needed
+        counts = materialize(counts, "counts")
+        rows = counts.count()
+    ranked = running_weight(ordered_parts(counts, [], [by], rows, "n", descending=True), [], [by], "n", descending=True)
     cut = ranked.where((F.col("before") < k) & (F.col("before") + F.col("n") >= k)).select(by, "before", "n").first()
     if cut is None:
         return df
@@ -111,7 +127,8 @@ def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str]) -> DataFra
 
 def top_fraction(df: DataFrame, fraction: float, by: str, tie_keys: Sequence[str]) -> DataFrame:
     """The largest ``fraction`` of all rows, rounded down to whole rows."""
-    return top_rows(df, int(Decimal(str(fraction)) * df.count()), by, tie_keys)
+    rows = df.count()
+    return top_rows(df, int(Decimal(str(fraction)) * rows), by, tie_keys, rows)
 
 
 def largest_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str]) -> DataFrame:

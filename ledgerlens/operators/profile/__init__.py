@@ -46,23 +46,19 @@ class Profile:
         """Upper bound on the distinct numbers of all numeric columns together."""
         return self.summary.where("has_stats").agg(F.coalesce(F.sum("n_number_values"), F.lit(0))).first()[0]
 
-    @cached_property
-    def numbers(self) -> DataFrame:
-        return C.number_frequencies(self.frequencies, self.summary)
-
     @cached_property
     def ranked(self) -> DataFrame:
-        return materialize(C.ranked_numbers(self.numbers, self.distinct_numbers), "ranked")
+        return materialize(C.ranked_numbers(self.frequencies, self.summary, self.distinct_numbers), "ranked")
 
     @cached_property
     def binned(self) -> DataFrame:
         """At most ten rows per column."""
-        return materialize(C.histogram_and_moments(self.numbers, self.summary).coalesce(1), "bins")
+        return materialize(C.binned_numbers(self.ranked, self.summary).coalesce(1), "bins")
 
-    @cached_property
-    def quartiles(self) -> DataFrame:
+    @property
+    def stats(self) -> DataFrame:
         """One row per numeric column."""
-        return materialize(C.quartiles(self.ranked, self.summary).coalesce(1), "quartiles")
+        return C.number_stats(self.binned, self.summary)
 
     @property
     def histogram(self) -> DataFrame:
@@ -71,15 +67,14 @@ class Profile:
     @cached_property
     def frequent_values(self) -> DataFrame:
         """At most sixty rows per numeric column."""
-        return materialize(C.frequent_numbers(self.ranked, self.quartiles, self.summary).coalesce(1), "frequent")
+        return materialize(C.frequent_numbers(self.ranked, self.stats, self.summary).coalesce(1), "frequent")
 
     @cached_property
     def columns(self) -> DataFrame:
         """The column profile: one row per column."""
         s = self.summary
         joined = (
-            s.join(C.moments(self.binned, s), "position", "left")
-            .join(self.quartiles, "position", "left")
+            s.join(self.stats, "position", "left")
             .join(C.typical_gaps(self.ranked, self.distinct_numbers), "position", "left")
             .join(C.collapsed_distinct(self.frequencies, s), "position", "left")
             .join(C.listed(C.top_values(self.frequencies, s)), "position", "left")

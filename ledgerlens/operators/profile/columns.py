@@ -9,11 +9,14 @@ from ledgerlens.functions.expressions import half_up, pct
 from ledgerlens.functions.parsing import (
     INFINITY_SHAPE, INTEGER_SHAPE, NUMBER_SHAPE, is_placeholder, looks_boolean, normal_form, strip,
 )
-from ledgerlens.operators.ordering import ordered_parts, running_weight, weighted_quantiles
+from ledgerlens.operators.ordering import (
+    merge_picks, ordered_parts, quantile_columns, quantile_picks, running_weight,
+)
 from ledgerlens.operators.profile.frequency import column_at
 
 TEXT_TYPES = ("categorical", "text", "identifier", "boolean")
 TEXT_STORAGE = ("str", "string")
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def held() -> Column:
@@ -141,38 +144,31 @@ def listed(ranked: DataFrame) -> DataFrame:
         F.transform(entries, lambda e: F.struct(e["value"].alias("value"), e["n"].alias("n"))).alias("top_values"))
 
 
-def number_frequencies(vf: DataFrame, summary: DataFrame) -> DataFrame:
-    """(position, x, n) for columns with numeric statistics; equal numbers spelled apart are merged."""
-    return among(vf, summary, "has_stats").where(held() & F.col("x").isNotNull()).groupBy("position", "x").agg(
-        F.sum("n").alias("n"))
-
-
-def ranked_numbers(numbers: DataFrame, rows: int) -> DataFrame:
-    """Each distinct number with the weight before it and its two neighbours."""
-    return running_weight(ordered_parts(numbers, ["position"], ["x"], rows=rows), ["position"], ["x"], "n",
-                          neighbours="x")
+def ranked_numbers(vf: DataFrame, summary: DataFrame, rows: int) -> DataFrame:
+    """Each distinct number of the numeric columns with the weight before it and its two neighbours.
 
-
-def quartiles(ranked: DataFrame, summary: DataFrame) -> DataFrame:
-    totals = F.broadcast(summary.where("has_stats").select("position", F.col("n_number").alias("total_weight")))
-    return weighted_quantiles(ranked, totals, ["position"], "x", "n", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    Numbers spelled apart are merged on the way. ``rows`` bounds their number.
+    """
+    numbers = among(vf, summary, "has_stats").where(held() & F.col("x").isNotNull()).select("position", "x", "n")
+    parts = ordered_parts(numbers, ["position"], ["x"], rows, "n")
+    return running_weight(parts, ["position"], ["x"], "n", neighbours="x")
 
 
-def histogram_and_moments(numbers: DataFrame, summary: DataFrame, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
-    """Per column and equal-width bin: rows and the sums of squared and cubed deviations.
+def binned_numbers(ranked: DataFrame, summary: DataFrame, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
+    """Histogram counts, sums of squared and cubed deviations and quartile picks per column and bin.
 
-    Deviations are taken from the mean already known, so large values lose no
-    digits, and both results come out of one pass.
+    One pass gives all of them, at most ten rows per column. Deviations are
+    taken from the mean already known, so large values lose no digits.
     """
-    mean = F.col("sum_x") / F.col("n_number")
-    width = F.col("max_x") - F.col("min_x")
-    joined = among(numbers, summary, "has_stats", "sum_x", "n_number", "n_number_values", "min_x", "max_x")
-    d = F.col("x") - mean
-    at = F.coalesce(F.try_divide(F.col("x") - F.col("min_x"), width), F.lit(0.0))
-    binned = joined.withColumn("bin", F.least(F.floor(at * bins), F.lit(bins - 1)).cast("int"))
-    return binned.groupBy("position", "bin").agg(
-        F.sum("n").alias("n"), F.sum(d * d * F.col("n")).alias("m2"), F.sum(d * d * d * F.col("n")).alias("m3"),
-        F.first("min_x").alias("min_x"), F.first("max_x").alias("max_x"))
+    joined = among(ranked, summary, "has_stats", "sum_x", "n_number", "min_x", "max_x")
+    d = F.col("x") - F.col("sum_x") / F.col("n_number")
+    at = F.coalesce(F.try_divide(F.col("x") - F.col("min_x"), F.col("max_x") - F.col("min_x")), F.lit(0.0))
+    placed = joined.withColumn("bin", F.least(F.floor(at * bins), F.lit(bins - 1)).cast("int")).withColumn("d", d)
+    n = F.col("n")
+    return placed.groupBy("position", "bin").agg(
+        F.sum(n).alias("n"), F.sum(F.col("d") * F.col("d") * n).alias("m2"),
+        F.sum(F.col("d") * F.col("d") * F.col("d") * n).alias("m3"),
+        *quantile_picks("x", "n", F.col("n_number"), QUARTILES))
 
 
 def histogram(binned: DataFrame, summary: DataFrame, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
@@ -186,9 +182,9 @@ def histogram(binned: DataFrame, summary: DataFrame, bins: int = fixed.HISTOGRAM
         (F.col("min_x") + width * (F.col("bin") + 1)).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def moments(binned: DataFrame, summary: DataFrame) -> DataFrame:
-    """Mean, sample deviation and bias-corrected skewness."""
-    sums = binned.groupBy("position").agg(F.sum("m2").alias("m2"), F.sum("m3").alias("m3"))
+def number_stats(binned: DataFrame, summary: DataFrame) -> DataFrame:
+    """Mean, sample deviation, bias-corrected skewness and quartiles."""
+    sums = binned.groupBy("position").agg(F.sum("m2").alias("m2"), F.sum("m3").alias("m3"), *merge_picks(QUARTILES))
     n = F.col("n_number").cast("double")
     joined = sums.join(F.broadcast(summary.select("position", "n_number", "sum_x", "min_x", "max_x")), "position")
     spread = F.col("m2") / n
@@ -197,16 +193,19 @@ def moments(binned: DataFrame, summary: DataFrame) -> DataFrame:
     return joined.select(
         "position", (F.col("sum_x") / n).alias("mean"),
         F.when(n > 1, F.sqrt(F.try_divide(F.col("m2"), n - 1))).otherwise(F.lit(0.0)).alias("std"),
-        F.when((n > 2) & varies, raw_skew * F.sqrt(n * (n - 1)) / (n - 2)).otherwise(F.lit(0.0)).alias("skew"))
+        F.when((n > 2) & varies, raw_skew * F.sqrt(n * (n - 1)) / (n - 2)).otherwise(F.lit(0.0)).alias("skew"),
+        *quantile_columns(QUARTILES))
 
 
 def typical_gaps(ranked: DataFrame, rows: int) -> DataFrame:
     """Median step between neighbouring distinct numbers, for columns with at least three of them."""
-    steps = ranked.where(F.col("next").isNotNull()).groupBy(
-        "position", (F.col("next") - F.col("x")).alias("step")).agg(F.count("*").alias("n"))
-    totals = steps.groupBy("position").agg(F.sum("n").alias("total_weight")).where("total_weight >= 2")
-    placed = running_weight(ordered_parts(steps, ["position"], ["step"], rows=rows), ["position"], ["step"], "n")
-    return weighted_quantiles(placed, totals, ["position"], "step", "n", {"typical_value_gap": 0.5})
+    steps = ranked.where(F.col("next").isNotNull()).select(
+        "position", (F.col("next") - F.col("x")).alias("step"), F.lit(1).cast("bigint").alias("n"))
+    placed = running_weight(ordered_parts(steps, ["position"], ["step"], rows, "n"), ["position"], ["step"], "n",
+                            total="n_steps")
+    middle = {"typical_value_gap": 0.5}
+    return placed.where("n_steps >= 2").groupBy("position").agg(
+        *quantile_picks("step", "n", F.col("n_steps"), middle)).select("position", *quantile_columns(middle))
 
 
 def frequent_numbers(ranked: DataFrame, medians: DataFrame, summary: DataFrame,
