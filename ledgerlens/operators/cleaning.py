@@ -40,8 +40,10 @@ def list_repeated_rows(df: DataFrame) -> DataFrame:
     same = F.col("mark") == F.col("repeat_mark")
     for i in range(len(df.columns)):
         same = same & F.col(f"c{i}").eqNullSafe(F.col(f"r{i}"))
-    copies = rows.join(repeats, same, "left_semi").drop("mark")
-    return copies.orderBy(*[F.asc_nulls_last(c) for c in copies.columns]).toDF(*df.columns)
+    copies = rows.join(repeats, same, "left_semi").drop("mark").withColumn("row", F.monotonically_increasing_id())
+    # The row number as last key lets the range sort split a long run of equal rows over several tasks.
+    ordered = copies.orderBy(*[F.asc_nulls_last(c) for c in copies.columns])
+    return ordered.drop("row").toDF(*df.columns)
 
 
 def drop_repeated_rows(df: DataFrame) -> DataFrame:

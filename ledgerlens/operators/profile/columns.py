@@ -224,7 +224,7 @@ def frequent_numbers(ranked: DataFrame, medians: DataFrame, summary: DataFrame,
                         F.when(F.col("n_number_values") >= 3, gap).alias("gap"))
 
 
-def sample_values(df: DataFrame, summary: DataFrame, k: int = fixed.SAMPLE_VALUES, head: int = 1000) -> DataFrame:
+def sample_values(df: DataFrame, summary: DataFrame, k: int = fixed.SAMPLE_VALUES, head: int = 100) -> DataFrame:
     """The first ``k`` held values of every column in file order.
 
     The first rows of the table nearly always hold them, and reading those stops

@@ -7,7 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.expressions import pct
-from ledgerlens.operators.profile.frequency import column_at
+
+HOT_COPIES = 1_000_000
+SALTS = 64
 
 
 def positional(df: DataFrame) -> DataFrame:
@@ -20,13 +22,21 @@ def repeated_rows(df: DataFrame) -> DataFrame:
 
     Only an eight-byte fingerprint of each row is shuffled at first, counted
     map-side. Full rows move only where a fingerprint repeats, and the exact
-    grouping there settles any collision.
+    grouping there settles any collision. Rows with very many copies are spread
+    over salts for the join and are combined map-side before the grouping, so
+    their number does not matter to any single task.
     """
     rows = positional(df)
     columns = rows.columns
     marked = rows.withColumn("fingerprint", F.xxhash64(*columns))
-    suspects = marked.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
-    exact = marked.join(suspects, "fingerprint", "left_semi").groupBy("fingerprint", *columns).agg(
+    suspects = marked.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1")
+    # There are at most (rows / HOT_COPIES) hot fingerprints, one in a million rows: small enough to broadcast.
+    hot = F.broadcast(suspects.where(F.col("n") > HOT_COPIES).select("fingerprint", F.lit(True).alias("hot")))
+    salted = marked.join(hot, "fingerprint", "left").withColumn(
+        "salt", F.when(F.col("hot"), F.monotonically_increasing_id() % SALTS).otherwise(F.lit(0).cast("bigint")))
+    last_salt = F.when(F.col("n") > HOT_COPIES, SALTS - 1).otherwise(0).cast("bigint")
+    spread = suspects.select("fingerprint", F.explode(F.sequence(F.lit(0).cast("bigint"), last_salt)).alias("salt"))
+    exact = salted.join(spread, ["fingerprint", "salt"], "left_semi").groupBy("fingerprint", *columns).agg(
         F.count("*").alias("copies")).where("copies > 1").drop("fingerprint")
     return exact.toDF(*df.columns, "copies")
 

@@ -13,7 +13,7 @@ from ledgerlens.operators import cleaning, diagnose, evaluate, planting
 from ledgerlens.operators.profile import Profile, columns as profile_columns, dataset as profile_dataset
 from ledgerlens.plans import review_sql as sql
 from ledgerlens.plans.views import table
-from ledgerlens.session import materialize, shared_folder
+from ledgerlens.session import materialize, work_path
 from ledgerlens.sources import delimited, sinks
 
 AS_OF = sql.AS_OF
@@ -329,7 +329,7 @@ COUNTS_SQL = """count(*) FILTER (WHERE outcome = 'found') AS found,
 def round_trip(name: str, suffix: str, columns: tuple[str, ...]):
     """Writes a table as delimited text, reads it back through the library and returns every row."""
     def query(spark, d):
-        path = f"{shared_folder(spark)}/ledgerlens/export-{spark.sparkContext.applicationId}-{name}{suffix}"
+        path = work_path(spark, f"export-{name}{suffix}")
         source = table(spark, d, name).select(*columns)
         source.write.mode("overwrite").option("escape", '"').option("sep", delimited.SEPARATORS[suffix]).csv(path, header=True)
         return delimited.read_delimited(spark, path)
@@ -345,14 +345,14 @@ def a04_default_na(spark, d):
 def a12_review_sink(spark, d):
     """Writes the review of the planted table and reads the findings back."""
     p, findings = found(spark, d)
-    folder = f"{shared_folder(spark)}/ledgerlens/review-{spark.sparkContext.applicationId}"
+    folder = work_path(spark, "review")
     paths = sinks.write_review({"column_profile": p.columns, "dataset_profile": p.dataset, "findings": findings}, "planted", folder)
     back = spark.read.parquet(paths["findings"]).where("source = 'planted'")
     return back.select("severity", "kind", "rule_id", "column")
 
 
 def a11_result_sink(spark, d):
-    path = f"{shared_folder(spark)}/ledgerlens/result-{spark.sparkContext.applicationId}"
+    path = work_path(spark, "result")
     orders = table(spark, d, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     sinks.write_result(orders, path)
     return spark.read.csv(path, header=True, schema="o_orderstatus string, n bigint")

@@ -56,6 +56,11 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     not change between them. Parquet in shared storage survives lost executors
     and lets the later passes read only the columns they need.
     """
-    path = f"{shared_folder(df.sparkSession)}/ledgerlens/{label}-{uuid.uuid4().hex}"
+    path = work_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A path of this application in the shared folder; all of them can be removed together once it has ended."""
+    return f"{shared_folder(spark)}/ledgerlens/{spark.sparkContext.applicationId}/{name}"

@@ -106,3 +106,11 @@ def test_identical_columns_need_the_same_rows_not_only_the_same_values(spark):
     rows = [("1", "1", "2", None, None), ("2", "2", "1", None, None), (None, None, None, None, None)]
     df = spark.createDataFrame(rows, "a string, b string, shuffled string, e1 string, e2 string")
     assert whole.identical_pairs(df) == [("a", "b")]
+
+
+def test_hot_duplicates_take_the_salted_way(spark, monkeypatch):
+    """With a low limit every repeated row counts as hot; the counts stay exact."""
+    monkeypatch.setattr(whole, "HOT_COPIES", 3)
+    rows = [("hot", None)] * 500 + [("cold", "x")] * 2 + [(f"u{i}", "x") for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(8)
+    assert {tuple(r) for r in whole.repeated_rows(df).collect()} == {("hot", None, 500), ("cold", "x", 2)}
