@@ -66,29 +66,34 @@ def summarize(vf: DataFrame, names: list[str], stored: list[str] | None, as_of:
     pair = F.lit(None).cast("int")
     for i, words in enumerate(fixed.BOOLEAN_PAIRS):
         pair = F.when(F.col("norm").isin(*words), F.lit(i)).otherwise(pair)
+    longest = max(len(w) for words in fixed.BOOLEAN_PAIRS for w in words)
     marked = (vf.withColumn("ok", held()).withColumn("trimmed", strip(value))
-              .withColumn("norm", F.lower("trimmed"))
-              .withColumn("int_text", F.col("trimmed").rlike(INTEGER_SHAPE))
-              .withColumn("float_text", F.col("trimmed").rlike(NUMBER_SHAPE) | F.col("trimmed").rlike(INFINITY_SHAPE))
-              .withColumn("pair", F.when(F.col("ok"), pair)))
-    ok, norm, trimmed = F.col("ok"), F.col("norm"), F.col("trimmed")
+              .withColumn("norm", F.when(F.col("ok") & (F.length("trimmed") <= longest), F.lower("trimmed")))
+              .withColumn("pair", pair))
+    ok, trimmed = F.col("ok"), F.col("trimmed")
+    labels = [] if stored else [
+        count_of(trimmed.rlike(INTEGER_SHAPE)).alias("n_int_text"),
+        count_of(trimmed.rlike(NUMBER_SHAPE) | trimmed.rlike(INFINITY_SHAPE)).alias("n_float_text"),
+        count_of(looks_boolean(value)).alias("n_bool_text")]
     sums = marked.groupBy("position").agg(
         F.sum("n").alias("n_rows"), count_of(value.isNull()).alias("n_null"),
         count_of(F.col("placeholder")).alias("disguised_null_count"),
-        F.array_sort(F.collect_set(F.when(F.col("placeholder"), norm))).alias("disguised_null_tokens"),
         count_of(ok).alias("n_held"), F.count_if(ok).alias("n_distinct"),
         count_of(ok & x.isNotNull()).alias("n_number"), count_of(ok & ts.isNotNull()).alias("n_date"),
         count_of(ok & (value != trimmed)).alias("n_edge_space"),
         F.sum(F.when(ok, F.length(value) * n)).alias("n_chars"),
         F.coalesce(F.sum(F.octet_length(value) * n), F.lit(0)).alias("raw_bytes"),
-        count_of(F.col("int_text")).alias("n_int_text"), count_of(F.col("float_text")).alias("n_float_text"),
-        count_of(looks_boolean(value)).alias("n_bool_text"),
-        F.count("pair").alias("n_paired"), (F.min("pair") == F.max("pair")).alias("one_pair"),
+        *labels, F.count("pair").alias("n_paired"), (F.min("pair") == F.max("pair")).alias("one_pair"),
         F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.sum(x * n).alias("sum_x"),
         count_of(x == 0).alias("zeros"), count_of(x < 0).alias("negatives"), F.count("x").alias("n_number_values"),
         F.min("ts").alias("min_date"), F.max("ts").alias("max_date"),
         count_of(ts > F.lit(as_of).cast("timestamp")).alias("future_count"),
     )
+    # Kept apart: a set among the sums would take the whole aggregate out of generated code.
+    tokens = vf.where("placeholder").groupBy("position").agg(
+        F.array_sort(F.collect_set(normal_form(value))).alias("disguised_null_tokens"))
+    sums = sums.join(tokens, "position", "left").withColumn(
+        "disguised_null_tokens", F.coalesce("disguised_null_tokens", F.array().cast("array<string>")))
     share = F.try_divide(F.col("n_number"), F.col("n_held"))
     named = (sums.withColumn("name", by_position(names))
              .withColumn("stored_as", by_position(stored) if stored else storage_label())

@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.expressions import pct
+from ledgerlens.operators.profile.frequency import carrier_of
 
 HOT_COPIES = 1_000_000
 SALTS = 64
@@ -51,28 +52,25 @@ def identical_pairs(df: DataFrame) -> list[tuple[str, str]]:
 
     Each column gets a fingerprint bound to the row it sits in, from one pass
     without a shuffle. Only columns with equal fingerprints are compared row by
-    row, all of them in a second pass.
+    row, all of them in a second pass. What comes back is one row per pass.
     """
+    carriers = [carrier_of(f.dataType) for f in df.schema.fields]
     rows = positional(df)
+    rows = rows.select(*[F.col(c).cast(t).alias(c) for c, t in zip(rows.columns, carriers)])
     columns = rows.columns
     marks = rows.withColumn("row_mark", F.xxhash64(*columns)).agg(
-        *[F.bit_xor(F.when(F.col(c).isNotNull(), F.xxhash64("row_mark", F.col(c).cast("string")))).alias(c)
-          for c in columns],
+        *[F.bit_xor(F.when(F.col(c).isNotNull(), F.xxhash64("row_mark", c))).alias(c) for c in columns],
         *[F.count(c).alias(f"{c}_n") for c in columns]).first()
     groups: dict[tuple, list[int]] = {}
     for i, c in enumerate(columns):
         if marks[f"{c}_n"]:
-            groups.setdefault((marks[c], marks[f"{c}_n"]), []).append(i)
-    candidates = [pair for members in groups.values() for pair in combinations(members, 2)]
+            groups.setdefault((carriers[i], marks[c], marks[f"{c}_n"]), []).append(i)
+    candidates = sorted(pair for members in groups.values() for pair in combinations(members, 2))
     if not candidates:
         return []
-
-    def same(i: int, j: int) -> Column:
-        return F.col(f"c{i}").cast("string").eqNullSafe(F.col(f"c{j}").cast("string"))
-
-    agree = rows.agg(*[F.bool_and(same(i, j)).alias(f"p{k}") for k, (i, j) in enumerate(candidates)]).first()
-    return [(df.columns[i], df.columns[j]) for k, (i, j) in sorted(enumerate(candidates), key=lambda e: e[1])
-            if agree[f"p{k}"]]
+    agree = rows.agg(*[F.bool_and(F.col(f"c{i}").eqNullSafe(F.col(f"c{j}"))).alias(f"p{k}")
+                       for k, (i, j) in enumerate(candidates)]).first()
+    return [(df.columns[i], df.columns[j]) for k, (i, j) in enumerate(candidates) if agree[f"p{k}"]]
 
 
 def unnamed_columns(names: list[str]) -> list[str]:
