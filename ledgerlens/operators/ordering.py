@@ -18,58 +18,68 @@ SMALL_ROWS = 1_000_000
 ROWS_PER_PART = 2_000_000
 
 
+def merged_rows(df: DataFrame, columns: Sequence[str], weight: str | None) -> DataFrame:
+    return df.groupBy(*columns).agg(F.sum(weight).alias(weight)) if weight else df
+
+
 def ordered_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, weight: str | None = None,
                   descending: bool = False) -> DataFrame:
     """``df`` with a ``part`` number that follows the sort order; equal rows merge if there is a ``weight``.
 
-    ``rows`` is an upper bound on the rows of ``df``. Up to ``SMALL_ROWS`` they
-    share part 0. Beyond that the parts are the range partitions of (keys,
-    order), balanced by Spark's sampling; one key with most of the rows is
-    spread over many parts because the order column splits it. Range placement
-    already brings equal rows together, so merging them needs no other shuffle.
+    The parts are the range partitions of (keys, order), balanced by Spark's
+    sampling; one key with most of the rows is spread over many parts because
+    the order column splits it. Range placement already brings equal rows
+    together, so merging them needs no other shuffle.
     """
-    def merged(placed: DataFrame) -> DataFrame:
-        return placed.groupBy(*keys, *order).agg(F.sum(weight).alias(weight)) if weight else placed
-
-    if rows <= SMALL_ROWS:
-        return merged(df).withColumn("part", F.lit(0))
     sort = [F.asc(k) for k in keys] + [F.desc(c) if descending else F.asc(c) for c in order]
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(shuffle, -(-rows // ROWS_PER_PART))
-    placed = merged(df.repartitionByRange(n, *sort)).withColumn("part", F.spark_partition_id())
-    return materialize(placed, "ordered")
+    placed = merged_rows(df.repartitionByRange(n, *sort), [*keys, *order], weight)
+    return materialize(placed.withColumn("part", F.spark_partition_id()), "ordered")
 
 
-def running_weight(parts: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None,
+def running_weight(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, weight: str | None = None,
                    descending: bool = False, neighbours: str | None = None, total: str | None = None) -> DataFrame:
     """Adds ``before``: the weight of all rows of the same key that sort earlier.
 
-    With ``neighbours`` naming the order column it also adds ``previous`` and
-    ``next``, the adjacent values across part borders; ``total`` names a column
-    for the weight of the whole key. The per-part table has one row per key and
-    part, so its size follows the number of partitions.
+    ``rows`` is an upper bound on the rows of ``df``; rows of equal keys and order
+    merge if there is a ``weight``. With ``neighbours`` naming the order column it
+    also adds ``previous`` and ``next``, the adjacent values; ``total`` names a
+    column for the weight of the whole key.
+
+    Up to ``SMALL_ROWS`` rows one window per key does it. Beyond that windows run
+    inside parts, and a table with one row per key and part, whose size follows
+    the number of partitions, carries sums and edge values across the borders.
     """
+    spread = rows > SMALL_ROWS
+    if spread:
+        parts, group = ordered_parts(df, keys, order, rows, weight, descending), [*keys, "part"]
+    else:
+        parts, group = merged_rows(df, [*keys, *order], weight), list(keys)
     w = F.col(weight) if weight else F.lit(1)
+    within = Window.partitionBy(*group).orderBy(*[F.desc(c) if descending else F.asc(c) for c in order])
+    to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = parts.withColumn("before", F.sum(w).over(to_here) - w)
+    if neighbours:
+        local = local.withColumn("previous", F.lag(neighbours).over(within)).withColumn(
+            "next", F.lead(neighbours).over(within))
+    if not spread:
+        return local.withColumn(total, F.sum(w).over(Window.partitionBy(*keys))) if total else local
+
     edges = [F.min(neighbours).alias("part_min"), F.max(neighbours).alias("part_max")] if neighbours else []
     by_part = Window.partitionBy(*keys).orderBy("part")
-    offsets = parts.groupBy(*keys, "part").agg(F.sum(w).alias("part_weight"), *edges).withColumn(
+    offsets = parts.groupBy(*group).agg(F.sum(w).alias("part_weight"), *edges).withColumn(
         "part_before", F.sum("part_weight").over(by_part) - F.col("part_weight"))
     if total:
         offsets = offsets.withColumn(total, F.sum("part_weight").over(Window.partitionBy(*keys)))
     if neighbours:
         offsets = (offsets.withColumn("previous_max", F.lag("part_max").over(by_part))
                    .withColumn("next_min", F.lead("part_min").over(by_part)))
-    within = Window.partitionBy(*keys, "part").orderBy(*[F.desc(c) if descending else F.asc(c) for c in order])
-    to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = parts.withColumn("before", F.sum(w).over(to_here) - w)
-    if neighbours:
-        local = local.withColumn("previous", F.lag(neighbours).over(within)).withColumn(
-            "next", F.lead(neighbours).over(within))
-    joined = local.join(offsets, [*keys, "part"]).withColumn("before", F.col("before") + F.col("part_before"))
+    joined = local.join(offsets, group).withColumn("before", F.col("before") + F.col("part_before"))
     if neighbours:
         joined = joined.withColumn("previous", F.coalesce("previous", "previous_max")).withColumn(
             "next", F.coalesce("next", "next_min"))
-    return joined.drop("part_weight", "part_before", "part_min", "part_max", "previous_max", "next_min")
+    return joined.drop("part", "part_weight", "part_before", "part_min", "part_max", "previous_max", "next_min")
 
 
 def quantile_picks(value: str, weight: str, total: Column, probabilities: dict[str, float]) -> list[Column]:
@@ -113,7 +123,7 @@ def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str], rows: int)
     if rows > SMALL_ROWS:  # often far fewer distinct values than rows, and then no range placement is needed
         counts = materialize(counts, "counts")
         rows = counts.count()
-    ranked = running_weight(ordered_parts(counts, [], [by], rows, "n", descending=True), [], [by], "n", descending=True)
+    ranked = running_weight(counts, [], [by], rows, "n", descending=True)
     cut = ranked.where((F.col("before") < k) & (F.col("before") + F.col("n") >= k)).select(by, "before", "n").first()
     if cut is None:
         return df
@@ -121,7 +131,7 @@ def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str], rows: int)
     wanted = k - cut["before"]
     if wanted == cut["n"]:
         return df.where(F.col(by) >= F.lit(cut[by]))
-    placed = running_weight(ordered_parts(ties, [], tie_keys, rows=cut["n"]), [], tie_keys)
+    placed = running_weight(ties, [], tie_keys, rows=cut["n"])
     return above.unionByName(placed.where(F.col("before") < wanted).select(*df.columns))
 
 

@@ -55,10 +55,16 @@ class Profile:
         """At most ten rows per column."""
         return materialize(C.binned_numbers(self.ranked, self.summary).coalesce(1), "bins")
 
-    @property
-    def stats(self) -> DataFrame:
-        """One row per numeric column."""
-        return C.number_stats(self.binned, self.summary)
+    @cached_property
+    def numeric(self) -> DataFrame:
+        """Statistics of the numeric columns, one row per column."""
+        s = self.summary
+        counts = s.where("has_stats").select(
+            "position", "name", F.col("n_held").alias("count"), F.col("n_distinct").alias("unique_count"))
+        joined = counts.join(C.number_stats(self.binned, s), "position").join(
+            C.typical_gaps(self.ranked, self.distinct_numbers), "position", "left")
+        return materialize(joined.withColumn(
+            "typical_value_gap", F.coalesce("typical_value_gap", F.lit(0.0))).coalesce(1), "numeric")
 
     @property
     def histogram(self) -> DataFrame:
@@ -67,15 +73,14 @@ class Profile:
     @cached_property
     def frequent_values(self) -> DataFrame:
         """At most sixty rows per numeric column."""
-        return materialize(C.frequent_numbers(self.ranked, self.stats, self.summary).coalesce(1), "frequent")
+        return materialize(C.frequent_numbers(self.ranked, self.numeric, self.summary).coalesce(1), "frequent")
 
     @cached_property
     def columns(self) -> DataFrame:
         """The column profile: one row per column."""
         s = self.summary
         joined = (
-            s.join(self.stats, "position", "left")
-            .join(C.typical_gaps(self.ranked, self.distinct_numbers), "position", "left")
+            s.join(self.numeric.drop("name", "count", "unique_count"), "position", "left")
             .join(C.collapsed_distinct(self.frequencies, s), "position", "left")
             .join(C.listed(C.top_values(self.frequencies, s)), "position", "left")
             .join(C.sample_values(self.df, s), "position", "left"))

@@ -10,7 +10,7 @@ from ledgerlens.functions.parsing import (
     INFINITY_SHAPE, INTEGER_SHAPE, NUMBER_SHAPE, is_placeholder, looks_boolean, normal_form, strip,
 )
 from ledgerlens.operators.ordering import (
-    merge_picks, ordered_parts, quantile_columns, quantile_picks, running_weight,
+    merge_picks, quantile_columns, quantile_picks, running_weight,
 )
 from ledgerlens.operators.profile.frequency import column_at
 
@@ -130,10 +130,14 @@ def among(vf: DataFrame, summary: DataFrame, condition: Column | str, *carry: st
 
 
 def collapsed_distinct(vf: DataFrame, summary: DataFrame) -> DataFrame:
-    """Distinct values left once case and edge space are ignored, for text-like columns."""
+    """Distinct values left once case and edge space are ignored, for text-like columns.
+
+    Only their number is wanted, so long texts travel as a SHA-256 digest.
+    """
     rows = among(vf, summary, F.col("inferred_type").isin(*TEXT_TYPES)).where(held())
-    return (rows.groupBy("position", normal_form(F.col("value")).alias("norm")).agg(F.lit(1))
-            .groupBy("position").agg(F.count("*").alias("case_collapsed_unique")))
+    norms = rows.select("position", normal_form(F.col("value")).alias("norm"))
+    keys = norms.select("position", F.when(F.length("norm") > 64, F.sha2("norm", 256)).otherwise(F.col("norm")).alias("key"))
+    return keys.distinct().groupBy("position").agg(F.count("*").alias("case_collapsed_unique"))
 
 
 def top_values(vf: DataFrame, summary: DataFrame, k: int = fixed.TOP_VALUES) -> DataFrame:
@@ -155,8 +159,7 @@ def ranked_numbers(vf: DataFrame, summary: DataFrame, rows: int) -> DataFrame:
     Numbers spelled apart are merged on the way. ``rows`` bounds their number.
     """
     numbers = among(vf, summary, "has_stats").where(held() & F.col("x").isNotNull()).select("position", "x", "n")
-    parts = ordered_parts(numbers, ["position"], ["x"], rows, "n")
-    return running_weight(parts, ["position"], ["x"], "n", neighbours="x")
+    return running_weight(numbers, ["position"], ["x"], rows, "n", neighbours="x")
 
 
 def binned_numbers(ranked: DataFrame, summary: DataFrame, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
@@ -206,8 +209,7 @@ def typical_gaps(ranked: DataFrame, rows: int) -> DataFrame:
     """Median step between neighbouring distinct numbers, for columns with at least three of them."""
     steps = ranked.where(F.col("next").isNotNull()).select(
         "position", (F.col("next") - F.col("x")).alias("step"), F.lit(1).cast("bigint").alias("n"))
-    placed = running_weight(ordered_parts(steps, ["position"], ["step"], rows, "n"), ["position"], ["step"], "n",
-                            total="n_steps")
+    placed = running_weight(steps, ["position"], ["step"], rows, "n", total="n_steps")
     middle = {"typical_value_gap": 0.5}
     return placed.where("n_steps >= 2").groupBy("position").agg(
         *quantile_picks("step", "n", F.col("n_steps"), middle)).select("position", *quantile_columns(middle))
@@ -234,7 +236,7 @@ def sample_values(df: DataFrame, summary: DataFrame, k: int = fixed.SAMPLE_VALUE
 
     The first rows of the table nearly always hold them, and reading those stops
     after one or two partitions. Columns that are still short of values there are
-    searched in full, keeping only ``k`` rows per task.
+    searched in full, all in one pass that keeps ``k`` rows per column and task.
     """
     spark = df.sparkSession
     text = df.select(*[column_at(df, i).cast("string").alias(f"c{i}") for i in range(len(df.columns))])
@@ -248,11 +250,14 @@ def sample_values(df: DataFrame, summary: DataFrame, k: int = fixed.SAMPLE_VALUE
         long = numbered.unpivot(["row"], [str(i) for i in positions], "position", "value")
         return long.where(F.col("value").isNotNull() & ~is_placeholder(F.col("value")))
 
-    found = held_in(first, list(available)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    lists = {int(r["position"]): r["values"] for r in found.groupBy("position").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("row", "value"))), lambda e: e["value"]).alias("values")).collect()}
+    def first_held(rows: DataFrame, positions: list[int]) -> dict[int, list[str]]:
+        ranked = held_in(rows, positions).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        values = F.transform(F.array_sort(F.collect_list(F.struct("row", "value"))), lambda e: e["value"])
+        return {int(r["position"]): r["values"] for r in ranked.groupBy("position").agg(values.alias("values")).collect()}
+
+    lists = first_held(first, list(available))
     short = [i for i, n in available.items() if len(lists.get(i, [])) < min(k, n)]
-    for i in short:
-        lists[i] = [r["value"] for r in held_in(text, [i]).orderBy("row").limit(k).collect()]
+    if short:
+        lists.update(first_held(text, short))
     return spark.createDataFrame([(i, lists.get(i, [])) for i in available],
                                  "position int, sample_values array<string>")
