@@ -36,7 +36,7 @@ class Profile:
     def summary(self) -> DataFrame:
         """One row per column; bounded by the width of the schema."""
         stored = None if self.text else [f.dataType.simpleString() for f in self.df.schema.fields]
-        summary = materialize(C.summarize(self.frequencies, self.df.columns, stored, self.as_of).coalesce(1), "summary")
+        summary = materialize(C.summarize(self.frequencies, self.df.columns, stored, self.as_of).repartition(1), "summary")
         if summary.isEmpty():
             raise ValueError(f"{self.source} holds no rows")
         return summary
@@ -53,7 +53,7 @@ class Profile:
     @cached_property
     def binned(self) -> DataFrame:
         """At most ten rows per column."""
-        return materialize(C.binned_numbers(self.ranked, self.summary).coalesce(1), "bins")
+        return materialize(C.binned_numbers(self.ranked, self.summary).repartition(1), "bins")
 
     @cached_property
     def numeric(self) -> DataFrame:
@@ -64,7 +64,7 @@ class Profile:
         joined = counts.join(C.number_stats(self.binned, s), "position").join(
             C.typical_gaps(self.ranked, self.distinct_numbers), "position", "left")
         return materialize(joined.withColumn(
-            "typical_value_gap", F.coalesce("typical_value_gap", F.lit(0.0))).coalesce(1), "numeric")
+            "typical_value_gap", F.coalesce("typical_value_gap", F.lit(0.0))).repartition(1), "numeric")
 
     @property
     def histogram(self) -> DataFrame:
@@ -73,7 +73,7 @@ class Profile:
     @cached_property
     def frequent_values(self) -> DataFrame:
         """At most sixty rows per numeric column."""
-        return materialize(C.frequent_numbers(self.ranked, self.numeric, self.summary).coalesce(1), "frequent")
+        return materialize(C.frequent_numbers(self.ranked, self.numeric, self.summary).repartition(1), "frequent")
 
     @cached_property
     def columns(self) -> DataFrame:
@@ -96,7 +96,7 @@ class Profile:
             "numeric_parseable_pct", "date_parseable_pct", "is_boolean_like", "mixed_type_count",
             F.when(F.col("has_stats"), stats).alias("stats"), F.when(is_date, dates).alias("date_stats"),
             F.coalesce("typical_value_gap", F.lit(0.0)).alias("typical_value_gap"))
-        return materialize(profile.coalesce(1), "columns")
+        return materialize(profile.repartition(1), "columns")
 
     @cached_property
     def dataset(self) -> DataFrame:
