@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import mixing, quality, secrets, sharding
+from ledgerlens.llm import mixing, pieces, quality, secrets, sharding, token_files
 from ledgerlens.llm.common import table
 from ledgerlens.llm.queries_sql import ORACLES as ORACLES
 
 SHARDS = 40
+END_ID = 2
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,4 +35,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op4_mixing, op6_sharding)}
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op4_mixing, op6_sharding, op7_token_files, op10_sentencepiece)}
