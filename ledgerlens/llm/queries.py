@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import mixing, pieces, quality, secrets, sharding, token_files
+from ledgerlens.llm import mixing, neardup, pieces, quality, secrets, sharding, token_files
 from ledgerlens.llm.common import table
 from ledgerlens.llm.queries_sql import ORACLES as ORACLES
 
@@ -30,6 +30,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.ordered(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.assign(table(spark, sf_dir, "documents"), [1.0] * SHARDS, added=[1.0])
     return shards.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -43,4 +47,4 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op4_mixing, op6_sharding, op7_token_files, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op4_mixing, op5_near_duplicates, op6_sharding, op7_token_files, op10_sentencepiece)}
