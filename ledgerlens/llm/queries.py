@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import mixing, neardup, pieces, quality, secrets, sharding, token_files
+from ledgerlens.llm import mixing, neardup, passages, pieces, quality, secrets, sharding, token_files
 from ledgerlens.llm.common import table
 from ledgerlens.llm.queries_sql import ORACLES as ORACLES
 
@@ -26,6 +26,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("kept", ~base & quality.passes(F.col("failed"), quality.LATEST)))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.dedup_units(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.ordered(mixing.mix(table(spark, sf_dir, "documents")))
 
@@ -47,4 +51,4 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op4_mixing, op5_near_duplicates, op6_sharding, op7_token_files, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_substring_dedup, op4_mixing, op5_near_duplicates, op6_sharding, op7_token_files, op10_sentencepiece)}
