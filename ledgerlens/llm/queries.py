@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import mixing, neardup, passages, pieces, quality, secrets, sharding, token_files
+from ledgerlens.llm import licences, mixing, neardup, passages, pieces, quality, secrets, sharding, token_files, vectors
 from ledgerlens.llm.common import table
 from ledgerlens.llm.queries_sql import ORACLES as ORACLES
 
@@ -47,8 +47,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID)
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.find_licences(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_substring_dedup, op4_mixing, op5_near_duplicates, op6_sharding, op7_token_files, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_substring_dedup, op4_mixing, op5_near_duplicates, op6_sharding, op7_token_files, op8_top_k, op9_licence_scan, op10_sentencepiece)}
