@@ -8,12 +8,19 @@ from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(9,4)"
+#: Below this a double still has halves.
+EXACT = 4.0e15
 
 
 def half_up(x: Column, digits: int) -> Column:
-    """Round a double at ``digits`` places; the same arithmetic in any engine."""
+    """Round a double at ``digits`` places, ties away from zero; the same arithmetic in any engine.
+
+    Values too large to have such places, and infinities, stay as they are.
+    """
     scale = float(10**digits)
-    return F.floor(x * scale + F.lit(0.5)) / F.lit(scale)
+    size = F.abs(x) * F.lit(scale)
+    rounded = F.signum(x) * F.floor(size + F.lit(0.5)) / F.lit(scale) + F.lit(0.0)
+    return F.when(size < F.lit(EXACT), rounded).otherwise(x)
 
 
 def money(x: Column, digits: int = 2) -> Column:

@@ -64,24 +64,54 @@ def parse_date(v: Column) -> Column:
     return stripped_to_date(strip(v))
 
 
-def stripped_to_date(text: Column) -> Column:
-    """The date layouts on text without edge whitespace."""
-    numeric_day = r"^[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}$"
+WEEKDAY = r"(?i)^(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?\.?,? +"
+CLOCK = r"^(.+?)(?:,? +|T)([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.[0-9]+)?)? ?([AaPp][Mm])?$"
+COMPACT_CLOCK = r"^([0-9]{8})T([0-9]{2})([0-9]{2})([0-9]{2})?$"
+LONGEST_DATE = 45
+
+
+def two_digit_year(day: Column) -> Column:
+    """A year without its century lies from 1969 to 2068."""
+    return F.when(F.year(day) >= 2069, F.add_months(day, -1200).cast("timestamp")).otherwise(day)
+
+
+def day_of(text: Column) -> Column:
+    """The day layouts, without a time: numbers in either order, and names of months."""
     dashed = F.translate(text, "/.", "--")
-    month_first = r"^([A-Za-z]{3})[a-z]*\.? ([0-9]{1,2}),? ([0-9]{4})$"
-    day_first = r"^([0-9]{1,2})[ -]([A-Za-z]{3})[a-z]*[ -]([0-9]{4})$"
+    month_first = r"^([A-Za-z]{3})[a-z]*\.?[ -]([0-9]{1,2})(?:st|nd|rd|th)?,?[ -]([0-9]{4}|[0-9]{2})$"
+    day_first = r"^([0-9]{1,2})(?:st|nd|rd|th)?[ -]([A-Za-z]{3})[a-z]*\.?,?[ -]([0-9]{4}|[0-9]{2})$"
+    month_only = r"^([A-Za-z]{3})[a-z]*\.?,?[ -]([0-9]{4})$"
     named = F.initcap(F.when(text.rlike(month_first), F.regexp_replace(text, month_first, "$1 $2 $3"))
-                      .when(text.rlike(day_first), F.regexp_replace(text, day_first, "$2 $1 $3")))
+                      .when(text.rlike(day_first), F.regexp_replace(text, day_first, "$2 $1 $3"))
+                      .when(text.rlike(month_only), F.regexp_replace(text, month_only, "$1 1 $2")))
+    parsed = lambda x, *layouts: F.coalesce(*[F.try_to_timestamp(x, F.lit(p)) for p in layouts])
     return (
-        F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-        .when(text.rlike(r"^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}([ T].*)?)?)?$"), F.try_to_timestamp(text))
-        .when(text.rlike(r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}( .*)?$"),
-              F.try_to_timestamp(F.translate(text, "/", "-")))
-        .when(text.rlike(numeric_day),
-              F.coalesce(F.try_to_timestamp(dashed, F.lit("M-d-yyyy")),
-                         F.try_to_timestamp(dashed, F.lit("d-M-yyyy"))))
-        .when(named.isNotNull(), F.try_to_timestamp(named, F.lit("MMM d yyyy")))
-    )
+        F.when(text.rlike(r"^[0-9]{8}$"), parsed(text, "yyyyMMdd"))
+        .when(dashed.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.try_to_timestamp(dashed))
+        .when(text.rlike(r"^[0-9]{4}(-[0-9]{1,2})?$"), F.try_to_timestamp(text))
+        .when(dashed.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"), parsed(dashed, "M-d-yyyy", "d-M-yyyy"))
+        .when(dashed.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"), two_digit_year(parsed(dashed, "M-d-yy", "d-M-yy")))
+        .when(named.rlike(" [0-9]{4}$"), parsed(named, "MMM d yyyy"))
+        .when(named.rlike(" [0-9]{2}$"), two_digit_year(parsed(named, "MMM d yy"))))
+
+
+def stripped_to_date(text: Column) -> Column:
+    """The date layouts on text without edge whitespace: a day alone, with a clock time, or with a weekday in front."""
+    text = F.when((F.length(text) <= LONGEST_DATE) & text.rlike("[0-9]"), text)
+    text = F.regexp_replace(text, WEEKDAY, "")
+    iso = text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T].*$")
+    compact = F.when(text.rlike(COMPACT_CLOCK), F.regexp_replace(text, COMPACT_CLOCK, "$1 $2:$3:$4")).otherwise(text)
+    clocked = F.regexp_replace(compact, r":$", ":00")
+    part = lambda i: F.regexp_extract(clocked, CLOCK, i)
+    hour, minute = part(2).try_cast("int"), part(3).try_cast("int")
+    second = F.coalesce(F.nullif(part(4), F.lit("")).try_cast("int"), F.lit(0))
+    mark = F.lower(part(5))
+    hour = F.when(mark == "pm", hour % 12 + 12).when(mark == "am", hour % 12).otherwise(hour)
+    real = (hour < 24) & (minute < 60) & (second < 60)
+    seconds = F.unix_timestamp(day_of(part(1))) + hour * 3600 + minute * 60 + second
+    return (F.when(iso, F.coalesce(F.try_to_timestamp(text), F.when(text.rlike(CLOCK) & real, F.timestamp_seconds(seconds))))
+            .when(clocked.rlike(CLOCK), F.when(real, F.timestamp_seconds(seconds)))
+            .otherwise(day_of(text)))
 
 
 def parse_boolean(v: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.parsing import is_placeholder, normal_form, parse_boolean, parse_date, parse_number, strip
-from ledgerlens.operators.profile.dataset import identical_pairs, positional, repeated_rows, unnamed_columns
+from ledgerlens.operators.profile.dataset import digest_counts, digested, identical_pairs, positional, unnamed_columns
 
 
 def named(column: str) -> Column:
@@ -30,17 +30,13 @@ def _replace(df: DataFrame, columns: Sequence[str], change) -> DataFrame:
 def list_repeated_rows(df: DataFrame) -> DataFrame:
     """Every copy of every row that occurs more than once, sorted by all columns.
 
-    The rows are found by a semi join with the repeated ones, so no group of
+    The rows are found by a semi join with the repeated digests, so no group of
     copies has to fit in one task.
     """
-    rows, repeats = positional(df), repeated_rows(df).drop("copies")
-    repeats = repeats.toDF(*[f"r{i}" for i in range(len(df.columns))])
-    rows = rows.withColumn("mark", F.xxhash64(*rows.columns))
-    repeats = repeats.withColumn("repeat_mark", F.xxhash64(*repeats.columns))
-    same = F.col("mark") == F.col("repeat_mark")
-    for i in range(len(df.columns)):
-        same = same & F.col(f"c{i}").eqNullSafe(F.col(f"r{i}"))
-    copies = rows.join(repeats, same, "left_semi").drop("mark").withColumn("row", F.monotonically_increasing_id())
+    rows = positional(df)
+    suspects = digest_counts(rows).where("copies > 1").drop("copies")
+    copies = digested(rows).join(suspects, ["digest_a", "digest_b"], "left_semi").select(
+        *rows.columns, F.monotonically_increasing_id().alias("row"))
     # The row number as last key lets the range sort split a long run of equal rows over several tasks.
     ordered = copies.orderBy(*[F.asc_nulls_last(c) for c in copies.columns])
     return ordered.drop("row").toDF(*df.columns)
@@ -107,12 +103,13 @@ def sentinels_to_null(df: DataFrame, column: str, values: Sequence[float]) -> Da
 def pool_rare_categories(df: DataFrame, column: str, keep: int, other: str = "Other") -> DataFrame:
     """Keeps the ``keep`` most frequent categories and pools the rest.
 
-    The kept list has ``keep`` rows by construction, so it can be broadcast.
+    Whether the short list of kept names is broadcast is left to Spark's size limit.
     """
-    counts = df.where(named(column).isNotNull()).groupBy(named(column).alias("kept")).agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "kept").limit(keep).select("kept")
-    joined = df.join(F.broadcast(top), named(column) == F.col("kept"), "left")
-    pooled = F.when(named(column).isNull() | F.col("kept").isNotNull(), named(column)).otherwise(F.lit(other))
+    counts = df.where(named(column).isNotNull()).groupBy(named(column).alias("v")).agg(F.count("*").alias("n"))
+    mark = next(m for m in (f"kept_{i}" for i in range(len(df.columns) + 1)) if m not in {c.lower() for c in df.columns})
+    top = counts.orderBy(F.desc("n"), "v").limit(keep).select(F.col("v").alias(mark))
+    joined = df.join(top, named(column) == F.col(mark), "left")
+    pooled = F.when(named(column).isNull() | F.col(mark).isNotNull(), named(column)).otherwise(F.lit(other))
     return joined.select(*[pooled.alias(c) if c == column else named(c) for c in df.columns])
 
 

@@ -13,10 +13,10 @@ from ledgerlens.operators.profile import Profile
 
 
 def flagged(profiles: Mapping[str, Profile], rates: Sequence[float] = fixed.SWEEP_RATES) -> DataFrame:
-    """(rate, dataset, column, value, n) for every flag; at most sixty per numeric column and rate."""
+    """(rate, dataset, column, value, n) for every flag; at most 1 / rate to a column."""
     hits = None
     for name, profile in profiles.items():
-        rows = sentinel_hits(profile.numeric, profile.frequent_values, list(rates)).select(
+        rows = sentinel_hits(profile.numeric, profile.repeated_values, list(rates)).select(
             "rate", F.lit(name).alias("dataset"), F.col("name").alias("column"), "value", "n")
         hits = rows if hits is None else hits.unionByName(rows)
     return hits

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.session import materialize
 
-SMALL_ROWS = 1_000_000
 ROWS_PER_PART = 2_000_000
 
 
@@ -26,15 +25,15 @@ def ordered_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows
                   descending: bool = False) -> DataFrame:
     """``df`` with a ``part`` number that follows the sort order; equal rows merge if there is a ``weight``.
 
-    The parts are the range partitions of (keys, order), balanced by Spark's
-    sampling; one key with most of the rows is spread over many parts because
-    the order column splits it. Range placement already brings equal rows
-    together, so merging them needs no other shuffle.
+    Equal rows merge first, combined map-side, so that a value most rows share is
+    a handful of rows by the time it is placed. The parts are the range partitions
+    of (keys, order), balanced by Spark's sampling; one key with most of the rows
+    is spread over many parts because the order column splits it.
     """
     sort = [F.asc(k) for k in keys] + [F.desc(c) if descending else F.asc(c) for c in order]
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(shuffle, -(-rows // ROWS_PER_PART))
-    placed = merged_rows(df.repartitionByRange(n, *sort), [*keys, *order], weight)
+    placed = merged_rows(df, [*keys, *order], weight).repartitionByRange(n, *sort)
     return materialize(placed.withColumn("part", F.spark_partition_id()), "ordered")
 
 
@@ -47,15 +46,11 @@ def running_weight(df: DataFrame, keys: Sequence[str], order: Sequence[str], row
     also adds ``previous`` and ``next``, the adjacent values; ``total`` names a
     column for the weight of the whole key.
 
-    Up to ``SMALL_ROWS`` rows one window per key does it. Beyond that windows run
-    inside parts, and a table with one row per key and part, whose size follows
-    the number of partitions, carries sums and edge values across the borders.
+    Windows run inside parts, and a table with one row per key and part, whose
+    size follows the number of partitions, carries sums and edge values across the
+    borders.
     """
-    spread = rows > SMALL_ROWS
-    if spread:
-        parts, group = ordered_parts(df, keys, order, rows, weight, descending), [*keys, "part"]
-    else:
-        parts, group = merged_rows(df, [*keys, *order], weight), list(keys)
+    parts, group = ordered_parts(df, keys, order, rows, weight, descending), [*keys, "part"]
     w = F.col(weight) if weight else F.lit(1)
     within = Window.partitionBy(*group).orderBy(*[F.desc(c) if descending else F.asc(c) for c in order])
     to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -63,9 +58,6 @@ def running_weight(df: DataFrame, keys: Sequence[str], order: Sequence[str], row
     if neighbours:
         local = local.withColumn("previous", F.lag(neighbours).over(within)).withColumn(
             "next", F.lead(neighbours).over(within))
-    if not spread:
-        return local.withColumn(total, F.sum(w).over(Window.partitionBy(*keys))) if total else local
-
     edges = [F.min(neighbours).alias("part_min"), F.max(neighbours).alias("part_max")] if neighbours else []
     by_part = Window.partitionBy(*keys).orderBy("part")
     offsets = parts.groupBy(*group).agg(F.sum(w).alias("part_weight"), *edges).withColumn(
@@ -120,9 +112,6 @@ def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str], rows: int)
         return df.where(F.lit(False))
     df = df.where(F.col(by).isNotNull())
     counts = df.groupBy(by).agg(F.count("*").alias("n"))
-    if rows > SMALL_ROWS:  # often far fewer distinct values than rows, and then no range placement is needed
-        counts = materialize(counts, "counts")
-        rows = counts.count()
     ranked = running_weight(counts, [], [by], rows, "n", descending=True)
     cut = ranked.where((F.col("before") < k) & (F.col("before") + F.col("n") >= k)).select(by, "before", "n").first()
     if cut is None:
@@ -136,7 +125,8 @@ def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str], rows: int)
 
 
 def top_fraction(df: DataFrame, fraction: float, by: str, tie_keys: Sequence[str]) -> DataFrame:
-    """The largest ``fraction`` of all rows, rounded down to whole rows."""
+    """The largest ``fraction`` of the rows that have a value, rounded down to whole rows; rows without one never count."""
+    df = df.where(F.col(by).isNotNull())
     rows = df.count()
     return top_rows(df, int(Decimal(str(fraction)) * rows), by, tie_keys, rows)
 

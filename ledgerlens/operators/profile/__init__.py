@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerlens.functions import fixed
 from ledgerlens.operators.profile import columns as C
-from ledgerlens.operators.profile.dataset import dataset_profile
+from ledgerlens.operators.profile.dataset import dataset_profile, positional
 from ledgerlens.operators.profile.frequency import value_frequencies
 from ledgerlens.session import materialize
+from ledgerlens.sources.delimited import duplicate_names, header_of, read_delimited
 
 
 @dataclass
@@ -30,7 +32,7 @@ class Profile:
 
     @cached_property
     def frequencies(self) -> DataFrame:
-        return materialize(value_frequencies(self.df), "frequencies")
+        return materialize(value_frequencies(positional(self.df)), "frequencies")
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -71,9 +73,14 @@ class Profile:
         return C.histogram(self.binned, self.summary)
 
     @cached_property
+    def repeated_values(self) -> DataFrame:
+        """Numbers frequent enough for the lowest rate of the sweep; at most 1 / rate to a column."""
+        return materialize(C.repeated_numbers(self.ranked, self.numeric, self.summary, min(fixed.SWEEP_RATES)), "repeated")
+
+    @property
     def frequent_values(self) -> DataFrame:
-        """At most sixty rows per numeric column."""
-        return materialize(C.frequent_numbers(self.ranked, self.numeric, self.summary).repartition(1), "frequent")
+        """A listing of at most sixty rows per numeric column, drawn from all that repeat."""
+        return C.frequent_numbers(C.repeated_numbers(self.ranked, self.numeric, self.summary, 0.0))
 
     @cached_property
     def columns(self) -> DataFrame:
@@ -83,7 +90,7 @@ class Profile:
             s.join(self.numeric.drop("name", "count", "unique_count"), "position", "left")
             .join(C.collapsed_distinct(self.frequencies, s), "position", "left")
             .join(C.listed(C.top_values(self.frequencies, s)), "position", "left")
-            .join(C.sample_values(self.df, s), "position", "left"))
+            .join(C.sample_values(positional(self.df), s), "position", "left"))
         stats = F.struct("mean", "std", F.col("min_x").alias("min"), "q1", "median", "q3", F.col("max_x").alias("max"),
                          "zeros", "negatives", "skew")
         span = F.timestamp_diff("DAY", F.col("min_date"), F.col("max_date")).cast("int")
@@ -102,3 +109,9 @@ class Profile:
     def dataset(self) -> DataFrame:
         """The dataset profile: one row."""
         return materialize(dataset_profile(self.df, self.summary, self.source, list(self.repeated_names)), "dataset")
+
+
+def profile_file(spark: SparkSession, path: str, as_of: str, header: list[str | None] | None = None, **options) -> Profile:
+    """The profile of a delimited text file, with the names that its header repeats."""
+    names = header if header is not None else header_of(spark, path, **options)
+    return Profile(read_delimited(spark, path, header=header, **options), path, as_of, repeated_names=tuple(duplicate_names(names)))

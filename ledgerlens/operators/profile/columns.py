@@ -215,20 +215,23 @@ def typical_gaps(ranked: DataFrame, rows: int) -> DataFrame:
         *quantile_picks("step", "n", F.col("n_steps"), middle)).select("position", *quantile_columns(middle))
 
 
-def frequent_numbers(ranked: DataFrame, medians: DataFrame, summary: DataFrame,
-                     repeats: int = fixed.FREQUENT_REPEATS, kept: int = fixed.FREQUENT_KEPT) -> DataFrame:
-    """Numbers seen at least three times, with the distance to the nearest other number.
+def repeated_numbers(ranked: DataFrame, numeric: DataFrame, summary: DataFrame, share: float,
+                     repeats: int = fixed.FREQUENT_REPEATS) -> DataFrame:
+    """All numbers seen at least ``repeats`` times and in ``share`` of the values, with the gap to the nearest other one.
 
-    Where there are more than the kept number, those furthest from the median
-    stay: a rare code far from the bulk must not be pushed out by common values.
+    At most 1 / ``share`` numbers of a column can be that frequent, so no other limit is needed.
     """
-    rows = ranked.where(F.col("n") >= repeats).join(F.broadcast(medians.select("position", "median")), "position")
-    w = Window.partitionBy("position").orderBy(F.desc(F.abs(F.col("x") - F.col("median"))), F.asc("x"))
-    best = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= kept)
+    rows = ranked.join(F.broadcast(summary.select("position", "name", "n_held", "n_number_values")), "position")
+    often = rows.where(F.col("n") >= F.greatest(F.lit(float(repeats)), F.lit(float(share)) * F.col("n_held")))
     gap = F.least(F.col("x") - F.col("previous"), F.col("next") - F.col("x"))
-    named = best.join(F.broadcast(summary.select("position", "name", "n_number_values")), "position")
-    return named.select("position", "name", F.col("x").alias("value"), "n",
-                        F.when(F.col("n_number_values") >= 3, gap).alias("gap"))
+    return often.join(F.broadcast(numeric.select("position", "median")), "position").select(
+        "position", "name", F.col("x").alias("value"), "n", F.when(F.col("n_number_values") >= 3, gap).alias("gap"), "median")
+
+
+def frequent_numbers(repeated: DataFrame, kept: int = fixed.FREQUENT_KEPT) -> DataFrame:
+    """The listing of repeated numbers: the ``kept`` ones furthest from the median of each column."""
+    w = Window.partitionBy("position").orderBy(F.desc(F.abs(F.col("value") - F.col("median"))), F.asc("value"))
+    return repeated.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= kept).drop("rank", "median")
 
 
 def sample_values(df: DataFrame, summary: DataFrame, k: int = fixed.SAMPLE_VALUES, head: int = 100) -> DataFrame:

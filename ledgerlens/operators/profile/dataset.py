@@ -9,68 +9,73 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlens.functions.expressions import pct
 from ledgerlens.operators.profile.frequency import carrier_of
 
-HOT_COPIES = 1_000_000
-SALTS = 64
-
 
 def positional(df: DataFrame) -> DataFrame:
     """The same rows under names c0, c1, ... so that any header is safe in expressions."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
+def digested(rows: DataFrame) -> DataFrame:
+    """Adds a 128-bit digest of the whole row, nulls and their places included, as two numbers."""
+    nulls = [F.col(c).isNull() for c in rows.columns]
+    return rows.withColumn("digest_a", F.xxhash64(*rows.columns, *nulls)).withColumn(
+        "digest_b", F.xxhash64(F.lit(20_011), *nulls, *rows.columns[::-1]))
+
+
+def digest_counts(rows: DataFrame) -> DataFrame:
+    return digested(rows).groupBy("digest_a", "digest_b").agg(F.count("*").alias("copies"))
+
+
 def repeated_rows(df: DataFrame) -> DataFrame:
     """Every distinct row that occurs more than once, with its number of ``copies``.
 
-    Only an eight-byte fingerprint of each row is shuffled at first, counted
-    map-side. Full rows move only where a fingerprint repeats, and the exact
-    grouping there settles any collision. Rows with very many copies are spread
-    over salts for the join and are combined map-side before the grouping, so
-    their number does not matter to any single task.
+    Digests are counted first, combined map-side. Full rows are joined only to
+    digests that repeat, in a join whose hot keys Spark can split, and the exact
+    grouping combines them map-side again.
     """
     rows = positional(df)
-    columns = rows.columns
-    marked = rows.withColumn("fingerprint", F.xxhash64(*columns))
-    suspects = marked.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1")
-    # There are at most (rows / HOT_COPIES) hot fingerprints, one in a million rows: small enough to broadcast.
-    hot = F.broadcast(suspects.where(F.col("n") > HOT_COPIES).select("fingerprint", F.lit(True).alias("hot")))
-    salted = marked.join(hot, "fingerprint", "left").withColumn(
-        "salt", F.when(F.col("hot"), F.monotonically_increasing_id() % SALTS).otherwise(F.lit(0).cast("bigint")))
-    last_salt = F.when(F.col("n") > HOT_COPIES, SALTS - 1).otherwise(0).cast("bigint")
-    spread = suspects.select("fingerprint", F.explode(F.sequence(F.lit(0).cast("bigint"), last_salt)).alias("salt"))
-    exact = salted.join(spread, ["fingerprint", "salt"], "left_semi").groupBy("fingerprint", *columns).agg(
-        F.count("*").alias("copies")).where("copies > 1").drop("fingerprint")
+    suspects = digest_counts(rows).where("copies > 1").drop("copies")
+    exact = digested(rows).join(suspects, ["digest_a", "digest_b"], "left_semi").groupBy(*rows.columns).agg(
+        F.count("*").alias("copies")).where("copies > 1")
     return exact.toDF(*df.columns, "copies")
 
 
 def surplus_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier row."""
-    return repeated_rows(df).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    """How many rows repeat an earlier row; only 16-byte digests are counted, no row moves."""
+    return digest_counts(positional(df)).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def identical_pairs(df: DataFrame) -> list[tuple[str, str]]:
     """Column pairs that agree in every row, nulls included; all-null pairs are left out.
 
-    Each column gets a fingerprint bound to the row it sits in, from one pass
-    without a shuffle. Only columns with equal fingerprints are compared row by
-    row, all of them in a second pass. What comes back is one row per pass.
+    Each column gets the sum of its hashes bound to the row they sit in, from one
+    pass without a shuffle. Columns with equal sums are compared row by row with
+    the first of their group, all groups in one pass; those that differ from it
+    after all form a group of their own for another pass. What comes back is one
+    row per pass.
     """
     carriers = [carrier_of(f.dataType) for f in df.schema.fields]
     rows = positional(df)
     rows = rows.select(*[F.col(c).cast(t).alias(c) for c, t in zip(rows.columns, carriers)])
     columns = rows.columns
     marks = rows.withColumn("row_mark", F.xxhash64(*columns)).agg(
-        *[F.bit_xor(F.when(F.col(c).isNotNull(), F.xxhash64("row_mark", c))).alias(c) for c in columns],
+        *[F.sum(F.when(F.col(c).isNotNull(), F.xxhash64("row_mark", c)).cast("decimal(20,0)")).alias(c) for c in columns],
         *[F.count(c).alias(f"{c}_n") for c in columns]).first()
     groups: dict[tuple, list[int]] = {}
     for i, c in enumerate(columns):
         if marks[f"{c}_n"]:
             groups.setdefault((carriers[i], marks[c], marks[f"{c}_n"]), []).append(i)
-    candidates = sorted(pair for members in groups.values() for pair in combinations(members, 2))
-    if not candidates:
-        return []
-    agree = rows.agg(*[F.bool_and(F.col(f"c{i}").eqNullSafe(F.col(f"c{j}"))).alias(f"p{k}")
-                       for k, (i, j) in enumerate(candidates)]).first()
-    return [(df.columns[i], df.columns[j]) for k, (i, j) in enumerate(candidates) if agree[f"p{k}"]]
+    open_, pairs = [g for g in groups.values() if len(g) > 1], []
+    while open_:
+        agree = rows.agg(*[F.bool_and(F.col(f"c{g[0]}").eqNullSafe(F.col(f"c{j}"))).alias(f"p{g[0]}_{j}")
+                           for g in open_ for j in g[1:]]).first()
+        rest = []
+        for g in open_:
+            same = [g[0], *[j for j in g[1:] if agree[f"p{g[0]}_{j}"]]]
+            pairs += combinations(same, 2)
+            rest.append([j for j in g if j not in same])
+        open_ = [g for g in rest if len(g) > 1]
+    return [(df.columns[i], df.columns[j]) for i, j in sorted(pairs)]
 
 
 def unnamed_columns(names: list[str]) -> list[str]:

@@ -45,11 +45,11 @@ def overview(df: DataFrame, date: str = "date",
 
 
 def segment_split(df: DataFrame, by: str = "client_type", measure: str = "total") -> DataFrame:
-    grouped = df.groupBy(by).agg(F.count("*").alias("n"), F.sum(measure).alias("s"))
-    whole = grand_totals(grouped, "n", "s")
+    grouped = df.groupBy(by).agg(F.count("*").alias("n"), F.count(measure).alias("held"), F.sum(measure).alias("s"))
+    whole = grand_totals(grouped, "n", "held", "s")
     return grouped.select(
         by, F.col("n").alias("n_orders"), money(F.col("s")).alias("gross_revenue"),
-        mean_of(F.col("s"), F.col("n")).alias("avg_order_value"),
+        mean_of(F.col("s"), F.col("held")).alias("avg_order_value"),
         pct(F.col("n"), whole["n"]).alias("pct_of_orders"),
         pct(F.col("s"), whole["s"]).alias("pct_of_revenue"),
     ).orderBy(F.desc_nulls_first("gross_revenue"))
@@ -72,37 +72,33 @@ def segment_performance(df: DataFrame, by: str = "warehouse", highlight: Column
     """Orders, gross, average order and the share of gross from the highlighted rows."""
     highlight = F.col("client_type") == "Wholesale" if highlight is None else highlight
     grouped = df.groupBy(by).agg(
-        F.count("*").alias("n"), F.sum("total").alias("s"),
+        F.count("*").alias("n"), F.count("total").alias("held"), F.sum("total").alias("s"),
         F.sum(when_value(highlight, F.col("total"))).alias("h"))
     return grouped.select(
         by, F.col("n").alias("n_orders"), money(F.col("s")).alias("gross_revenue"),
-        mean_of(F.col("s"), F.col("n")).alias("avg_order_value"),
+        mean_of(F.col("s"), F.col("held")).alias("avg_order_value"),
         money(F.col("h")).alias("wholesale_revenue"), pct(F.col("h"), F.col("s")).alias("pct_wholesale"),
     ).orderBy(F.desc_nulls_first("gross_revenue"))
 
 
 def product_performance(df: DataFrame, by: str = "product_line") -> DataFrame:
     grouped = df.groupBy(by).agg(
-        F.count("*").alias("n"), F.sum("total").alias("s"), F.sum("quantity").alias("units_sold"))
+        F.count("*").alias("n"), F.count("total").alias("held"), F.sum("total").alias("s"), F.sum("quantity").alias("units_sold"))
     return grouped.select(
         by, F.col("n").alias("n_orders"), money(F.col("s")).alias("gross_revenue"),
-        mean_of(F.col("s"), F.col("n")).alias("avg_order_value"), "units_sold",
+        mean_of(F.col("s"), F.col("held")).alias("avg_order_value"), "units_sold",
     ).orderBy(F.desc_nulls_first("gross_revenue"))
 
 
 def payment_mix(df: DataFrame, by: str = "payment") -> DataFrame:
-    """Orders, share of orders, average fee rate and fees per payment method.
-
-    The share comes from a window over the grouped rows, one per method: a
-    subquery on the counts alone would be pruned to another shuffle than the one
-    with the fees, and Spark would read the fact table twice.
-    """
+    """Orders, share of orders, average fee rate and fees per payment method."""
     grouped = df.groupBy(by).agg(
-        F.count("*").alias("n"), F.sum("payment_fee").alias("rates"), F.sum(fee_dollars()).alias("fees"))
-    all_orders = F.sum("n").over(Window.partitionBy())
+        F.count("*").alias("n"), F.count("payment_fee").alias("held"), F.sum("payment_fee").alias("rates"),
+        F.sum(fee_dollars()).alias("fees"))
+    whole = grand_totals(grouped, "n", "held", "rates", "fees")
     return grouped.select(
-        by, F.col("n").alias("n_orders"), pct(F.col("n"), all_orders).alias("pct_of_orders"),
-        ratio(F.col("rates"), F.col("n"), 2, scale=100.0).alias("avg_fee_pct"),
+        by, F.col("n").alias("n_orders"), pct(F.col("n"), whole["n"]).alias("pct_of_orders"),
+        ratio(F.col("rates"), F.col("held"), 2, scale=100.0).alias("avg_fee_pct"),
         money(F.col("fees")).alias("total_fees_paid"),
     ).orderBy(F.desc_nulls_first("total_fees_paid"))
 
@@ -134,10 +130,11 @@ def determined_by(df: DataFrame, dependent: str = "payment", determinant: str =
 
 def price_and_quantity(df: DataFrame, by: Sequence[str] = ("product_line", "client_type")) -> DataFrame:
     grouped = df.groupBy(*by).agg(
-        F.sum("unit_price").alias("p"), F.sum("quantity").alias("q"), F.count("*").alias("n"))
+        F.sum("unit_price").alias("p"), F.count("unit_price").alias("p_held"), F.sum("quantity").alias("q"),
+        F.count("quantity").alias("q_held"), F.count("*").alias("n"))
     return grouped.select(
-        *by, mean_of(F.col("p"), F.col("n")).alias("avg_unit_price"),
-        mean_of(F.col("q"), F.col("n"), 1).alias("avg_quantity_per_order"), F.col("n").alias("n_orders"),
+        *by, mean_of(F.col("p"), F.col("p_held")).alias("avg_unit_price"),
+        mean_of(F.col("q"), F.col("q_held"), 1).alias("avg_quantity_per_order"), F.col("n").alias("n_orders"),
     ).orderBy(*[F.asc_nulls_last(c) for c in by])
 
 
@@ -219,12 +216,18 @@ def win_tally(df: DataFrame, item: str = "warehouse", **kwargs) -> DataFrame:
 
 def sales_profit_pivot(df: DataFrame, region: str, category: str, categories: Sequence[str],
                        measures: Sequence[str] = ("sales", "profit")) -> DataFrame:
-    """Region by category cross-tab; the category list is given, so no extra pass finds it."""
+    """Region by category cross-tab in wide form, for a caller who names the categories that are wanted."""
     wide = df.groupBy(region).pivot(category, list(categories)).agg(*[F.sum(m).alias(m) for m in measures])
     return wide.select(region, *[money(F.col(f"`{c}_{m}`")).alias(f"{c}_{m}".lower())
                                  for c in categories for m in measures])
 
 
+def sales_profit_cells(df: DataFrame, region: str, category: str, measures: Sequence[str] = ("sales", "profit")) -> DataFrame:
+    """The same cross-tab in long form: every category that occurs, whatever their number."""
+    grouped = df.groupBy(region, category).agg(*[F.sum(m).alias(m) for m in measures])
+    return grouped.select(region, category, *[money(F.col(m)).alias(m) for m in measures])
+
+
 def time_summary(df: DataFrame, date: str = "date") -> DataFrame:
     """Sales, profit and margin per calendar month."""
     grouped = df.groupBy(month_start(date).alias("month")).agg(F.sum("sales").alias("s"), F.sum("profit").alias("p"))

@@ -11,7 +11,6 @@ from ledgerlens.plans.views import dashboard_view, sales_view, season, survey_vi
 KEY = ("order_number",)
 ALL_SALES = ("order_number", "date", "warehouse", "client_type", "product_line", "quantity", "unit_price",
              "total", "payment", "payment_fee")
-CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 SALES_SQL = """WITH sales AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_number,
@@ -42,7 +41,8 @@ DASHBOARD_SQL = """WITH retail AS (
 
 
 def _up(x: str, digits: int) -> str:
-    return f"floor(({x}) * 1e{digits} + 0.5) / 1e{digits}"
+    x = f"({x})"
+    return f"(CASE WHEN abs({x}) * 1e{digits} < 4e15 THEN sign({x}) * floor(abs({x}) * 1e{digits} + 0.5) / 1e{digits} + 0.0 ELSE {x} END)"
 
 
 def _money(x: str) -> str:
@@ -262,7 +262,7 @@ SELECT count(*) AS n_orders, min(date) AS first_order_date, max(date) AS last_or
   min(todep) >= 0 AND max(todep) <= 27 AS phq_range_ok, min(tosc) >= 8 AND max(tosc) <= 48 AS scs_range_ok,
   min(toas) >= 36 AND max(toas) <= 180 AS as_range_ok FROM students WHERE {INTER}"""),
     "c05_segment_split": (_apply(revenue.segment_split, _sales("client_type", "total")), SALES_SQL + f"""SELECT client_type,
-  count(*) AS n_orders, {_money('sum(total)')} AS gross_revenue, {_ratio('sum(total)', 'count(*)', 2)} AS avg_order_value,
+  count(*) AS n_orders, {_money('sum(total)')} AS gross_revenue, {_ratio('sum(total)', 'count(total)', 2)} AS avg_order_value,
   {_pct('count(*)', '(SELECT count(*) FROM sales)')} AS pct_of_orders,
   {_pct('sum(total)', '(SELECT sum(total) FROM sales)')} AS pct_of_revenue FROM sales GROUP BY 1"""),
     "c06_wholesale_revenue_cells": (
@@ -271,17 +271,17 @@ SELECT count(*) AS n_orders, min(date) AS first_order_date, max(date) AS last_or
 WHERE client_type = 'Wholesale' GROUP BY 1, 2, 3"""),
     "c07_warehouse_performance": (
         _apply(revenue.segment_performance, _sales("warehouse", "client_type", "total")), SALES_SQL + f"""SELECT warehouse,
-  count(*) AS n_orders, {_money('sum(total)')} AS gross_revenue, {_ratio('sum(total)', 'count(*)', 2)} AS avg_order_value,
+  count(*) AS n_orders, {_money('sum(total)')} AS gross_revenue, {_ratio('sum(total)', 'count(total)', 2)} AS avg_order_value,
   {_money("sum(CASE WHEN client_type = 'Wholesale' THEN total ELSE 0 END)")} AS wholesale_revenue,
   {_pct("sum(CASE WHEN client_type = 'Wholesale' THEN total ELSE 0 END)", "sum(total)")} AS pct_wholesale
 FROM sales GROUP BY 1"""),
     "c08_product_performance": (
         _apply(revenue.product_performance, _sales("product_line", "total", "quantity")), SALES_SQL + f"""SELECT product_line,
-  count(*) AS n_orders, {_money('sum(total)')} AS gross_revenue, {_ratio('sum(total)', 'count(*)', 2)} AS avg_order_value,
+  count(*) AS n_orders, {_money('sum(total)')} AS gross_revenue, {_ratio('sum(total)', 'count(total)', 2)} AS avg_order_value,
   CAST(sum(quantity) AS BIGINT) AS units_sold FROM sales GROUP BY 1"""),
     "c09_payment_mix": (_apply(revenue.payment_mix, _sales("payment", "total", "payment_fee")), SALES_SQL + f"""SELECT payment,
   count(*) AS n_orders, {_pct('count(*)', '(SELECT count(*) FROM sales)')} AS pct_of_orders,
-  {_pct('sum(payment_fee)', 'count(*)', 2)} AS avg_fee_pct, {_money(FEES)} AS total_fees_paid FROM sales GROUP BY 1"""),
+  {_pct('sum(payment_fee)', 'count(payment_fee)', 2)} AS avg_fee_pct, {_money(FEES)} AS total_fees_paid FROM sales GROUP BY 1"""),
     "c10_fee_burden": (_apply(revenue.fee_burden, _sales("total", "payment_fee")), SALES_SQL + f"""SELECT
   {_money(FEES)} AS total_fees_paid, {_money('sum(total)')} AS gross_revenue, {_pct(FEES, 'sum(total)')} AS pct_of_gross
 FROM sales"""),
@@ -295,8 +295,8 @@ FROM sales"""),
   count(DISTINCT client_type) <= 1 AS no_overlap FROM sales GROUP BY 1"""),
     "c13_price_and_quantity": (
         _apply(revenue.price_and_quantity, _sales("product_line", "client_type", "unit_price", "quantity")),
-        SALES_SQL + f"""SELECT product_line, client_type, {_ratio('sum(unit_price)', 'count(*)', 2)} AS avg_unit_price,
-  {_ratio('sum(quantity)', 'count(*)', 1)} AS avg_quantity_per_order, count(*) AS n_orders FROM sales GROUP BY 1, 2"""),
+        SALES_SQL + f"""SELECT product_line, client_type, {_ratio('sum(unit_price)', 'count(unit_price)', 2)} AS avg_unit_price,
+  {_ratio('sum(quantity)', 'count(quantity)', 1)} AS avg_quantity_per_order, count(*) AS n_orders FROM sales GROUP BY 1, 2"""),
     "c14_price_difference": (
         _apply(revenue.price_difference, _sales("product_line", "client_type", "unit_price")), SALES_SQL + f""", p AS (
   SELECT product_line,
@@ -329,10 +329,8 @@ FROM students WHERE {INTER} GROUP BY 1"""),
   {_pct("count(*) FILTER (WHERE depsev IN ('Mod', 'ModSev', 'Sev'))", 'count(*)')} AS pct_tail
 FROM students WHERE {INTER}"""),
     "c20_sales_profit_pivot": (
-        lambda s, d: revenue.sales_profit_pivot(dashboard_view(s, d), "region", "category", CATEGORIES),
-        DASHBOARD_SQL + "SELECT region, " + ", ".join(
-            f"{_money(f'sum({m}) FILTER (WHERE category = {c!r})')} AS {c.lower()}_{m}"
-            for c in CATEGORIES for m in ("sales", "profit")) + " FROM retail GROUP BY 1"),
+        lambda s, d: revenue.sales_profit_cells(dashboard_view(s, d), "region", "category"),
+        DASHBOARD_SQL + f"SELECT region, category, {_money('sum(sales)')} AS sales, {_money('sum(profit)')} AS profit FROM retail GROUP BY 1, 2"),
     "c20_time_summary": (_apply(revenue.time_summary, dashboard_view), DASHBOARD_SQL + f"""SELECT {MONTH} AS month,
   {_money('sum(sales)')} AS sales, {_money('sum(profit)')} AS profit, {_pct('sum(profit)', 'sum(sales)', 2)} AS margin_pct
 FROM retail GROUP BY 1"""),
@@ -372,7 +370,7 @@ SELECT {LABEL} AS month, {_money('net')} AS net_revenue, {_money('net - lag(net)
         _apply(revenue.win_tally, _sales("date", "warehouse", "client_type", "product_line", "total", "payment_fee")),
         TOP_SQL + "SELECT warehouse, count(*) AS n_wins FROM r WHERE k = 1 GROUP BY 1"),
     "d10_steady_decline": (
-        _apply(revenue.steady_decline, _season("warehouse", "date", "total", "payment_fee")), SEASON_SQL + f""", m AS (
+        _apply(revenue.steady_decline, _sales("warehouse", "date", "total", "payment_fee")), SALES_SQL.rstrip() + f""", m AS (
   SELECT warehouse, {MONTH} AS month, {NET} AS net FROM sales GROUP BY 1, 2),
 c AS (SELECT *, net - lag(net) OVER (PARTITION BY warehouse ORDER BY month) AS change FROM m)
 SELECT warehouse, count(*) AS n_months, count(*) FILTER (WHERE change < 0) AS n_falls,

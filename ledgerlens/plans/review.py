@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,14 +11,14 @@ from ledgerlens.functions import fixed
 from ledgerlens.functions.expressions import half_up
 from ledgerlens.functions.parsing import null_default_tokens, parse_date, parse_number
 from ledgerlens.operators import cleaning, diagnose, evaluate, planting
-from ledgerlens.operators.profile import Profile, columns as profile_columns, dataset as profile_dataset
+from ledgerlens.operators.profile import Profile, profile_file, columns as profile_columns, dataset as profile_dataset
 from ledgerlens.plans import review_sql as sql
 from ledgerlens.plans.views import table
 from ledgerlens.session import materialize, work_path
 from ledgerlens.sources import delimited, sinks
 
 AS_OF = sql.AS_OF
-TEXT_SETS = ("planted", "control", "rare")
+TEXT_SETS = ("planted", "control", "rare", "coded")
 TYPED_COLUMNS = {
     "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
     "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
@@ -45,6 +46,8 @@ def dataset(spark: SparkSession, d: str, name: str) -> DataFrame:
         return planting.clean_control(table(spark, d, "orders"))
     if name == "rare":
         return planting.plant_rare_defects(table(spark, d, "orders"))
+    if name == "coded":
+        return planting.plant_many_codes(table(spark, d, "orders"))
     df = table(spark, d, name)
     # Timestamps of the test tables carry no zone; the session zone is fixed, so reading them as instants is exact.
     return df.select(*[F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes])
@@ -66,9 +69,11 @@ def forget_profiles() -> None:
 
 def _source_sql(name: str) -> tuple[list[str], str, tuple[str, ...], dict[int, str] | None]:
     if name == "planted":
-        return [sql.planted(planting.CITY_SPELLINGS, planting.SALES_REPS, planting.CHANNELS)], "planted", sql.PLANTED_COLUMNS, None
+        return [sql.PLANTED], "planted", sql.PLANTED_COLUMNS, None
     if name == "control":
         return [sql.CONTROL], "control", sql.CONTROL_COLUMNS, None
+    if name == "coded":
+        return [sql.CODED], "coded", sql.CODED_COLUMNS, None
     if name == "rare":
         sparse = lambda m: f"CASE WHEN o_orderkey % {m} = 0 THEN 'note ' || CAST(o_orderkey % 40 AS VARCHAR) END"
         return [f"""rare AS (SELECT o_orderkey, 0 AS copy,
@@ -81,7 +86,7 @@ def _source_sql(name: str) -> tuple[list[str], str, tuple[str, ...], dict[int, s
     return [], name, TYPED_COLUMNS[name], dict(enumerate(TYPED_STORAGE[name]))
 
 
-IDENTICAL = {"planted": 1, "control": 0, "rare": 0, "customer": 0, "orders": 0, "lineitem": 0, "events": 0, "documents": 0}
+IDENTICAL = {"planted": 1, "coded": 0, "control": 0, "rare": 0, "customer": 0, "orders": 0, "lineitem": 0, "events": 0, "documents": 0}
 
 
 def with_profile(name: str, select: str, *more: str) -> str:
@@ -141,11 +146,11 @@ def g02_placeholder_tokens(spark, d):
 
 def g05_parse_numbers(spark, d):
     df = dataset(spark, d, "planted")
-    return df.select("Email", *[parse_number(F.col(f"`{c}`")).alias(c.lower()) for c in ("Revenue", "Discount", "Quantity", "City")])
+    return df.select("Scan Url", *[parse_number(F.col(f"`{c}`")).alias(c) for c in ("Amount", "Tax Share", "Crate Count", "Priority")])
 
 
 def g07_parse_dates(spark, d):
-    return dataset(spark, d, "planted").select("Email", parse_date(F.col("order_date")).cast("date").alias("day"))
+    return dataset(spark, d, "planted").select("Scan Url", parse_date(F.col("Promised")).cast("date").alias("day"))
 
 
 def g12_identifier_names(spark, d):
@@ -292,7 +297,7 @@ def i01_list_repeated(spark, d):
 
 def i16_outliers(spark, d):
     p = profile_of(spark, d, "planted")
-    return cleaning.outlier_rows(p.df, "Quantity", p.columns).select("Email", "Quantity")
+    return cleaning.outlier_rows(p.df, "Crate Count", p.columns).select("Scan Url", "Crate Count")
 
 
 def truth_of(spark: SparkSession) -> DataFrame:
@@ -326,33 +331,85 @@ COUNTS_SQL = """count(*) FILTER (WHERE outcome = 'found') AS found,
   count(*) FILTER (WHERE outcome = 'false alarm') AS false_alarms, count(*) FILTER (WHERE outcome = 'missed') AS missed"""
 
 
-def round_trip(name: str, suffix: str, columns: tuple[str, ...]):
+def round_trip(name: str, suffix: str, columns: tuple[str, ...], multi_line: bool = False):
     """Writes a table as delimited text, reads it back through the library and returns every row."""
     def query(spark, d):
-        path = work_path(spark, f"export-{name}{suffix}")
+        path = fresh_path(spark, f"export-{name}") + suffix
         source = table(spark, d, name).select(*columns)
-        source.write.mode("overwrite").option("escape", '"').option("sep", delimited.SEPARATORS[suffix]).csv(path, header=True)
-        return delimited.read_delimited(spark, path)
+        source.write.option("escape", '"').option("sep", delimited.SEPARATORS[suffix]).csv(path, header=True)
+        return delimited.read_delimited(spark, path, multi_line=multi_line)
     cast = ", ".join(f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in columns)
     return query, f"SELECT {cast} FROM {name}"
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path that no other call writes to."""
+    return work_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+#: Header of the export below: a repeat, a name that a repeat would get, and no name.
+EXPORT_HEADER = ["nation", "name", "name", "name.1", None]
+
+
+def bare_export(spark: SparkSession, d: str) -> str:
+    """Suppliers as delimited text without a header line."""
+    path = fresh_path(spark, "export-suppliers") + ".csv"
+    table(spark, d, "supplier").select("s_nationkey", "s_name", "s_suppkey", "s_acctbal", "s_name").toDF(*"abcde").write.csv(path)
+    return path
+
+
+def a05_header_repair(spark, d):
+    return delimited.read_delimited(spark, bare_export(spark, d), header=EXPORT_HEADER)
+
+
+def g30_repeated_names(spark, d):
+    return profile_file(spark, bare_export(spark, d), AS_OF, header=EXPORT_HEADER).dataset.select(
+        F.explode("duplicate_column_names").alias("name"), "rows")
+
+
+def _typed_export(name: str, view, load):
+    """A view written as delimited text with a header and read by the typed loader."""
+    def query(spark, d):
+        path = fresh_path(spark, f"export-{name}")
+        view(spark, d).write.option("escape", '"').csv(path, header=True)
+        return load(spark, path, None)
+    return query
+
+
+#: Layouts of dates, the day first only in those where the month has a name or the day is above 12.
+LAYOUTS = ("MM/dd/yyyy HH:mm", "MM/dd/yyyy hh:mm a", "MM/dd/yy", "M/d/yy", "yyyy-MM-dd hh:mm a", "MMM d, yyyy HH:mm", "yyyy.MM.dd",
+           "d-MMM-yy", "EEEE, MMMM d, yyyy", "EEE d MMM yyyy HH:mm:ss", "yyyyMMdd'T'HHmmss", "yyyy/MM/dd HH:mm", "yyyyMMdd", "MMMM d, yyyy")
+DAY_FIRST = ("dd/MM/yyyy HH:mm", "dd/MM/yy", "dd.MM.yyyy HH:mm", "dd-MM-yyyy")
+
+
+def g07_date_layouts(spark, d):
+    """Every order's date in one layout of the list, read back."""
+    day, key = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey")
+    def pick(layouts):
+        chain = F.date_format(day, layouts[0])
+        for i, layout in enumerate(layouts[1:], 1):
+            chain = F.when(key % len(layouts) == i, F.date_format(day, layout)).otherwise(chain)
+        return chain
+    text = F.when((F.dayofmonth(day) > 12) & (key % 3 == 0), pick(DAY_FIRST)).otherwise(pick(LAYOUTS))
+    return table(spark, d, "orders").select("o_orderkey", parse_date(text).cast("date").alias("day"))
+
+
 def a04_default_na(spark, d):
     df = dataset(spark, d, "planted")
-    return df.select("Email", *[null_default_tokens(F.col(c)).alias(c) for c in ("Revenue", "City")])
+    return df.select("Scan Url", *[null_default_tokens(F.col(c)).alias(c) for c in ("Amount", "Priority")])
 
 
 def a12_review_sink(spark, d):
     """Writes the review of the planted table and reads the findings back."""
     p, findings = found(spark, d)
-    folder = work_path(spark, "review")
+    folder = fresh_path(spark, "review")
     paths = sinks.write_review({"column_profile": p.columns, "dataset_profile": p.dataset, "findings": findings}, "planted", folder)
     back = spark.read.parquet(paths["findings"]).where("source = 'planted'")
     return back.select("severity", "kind", "rule_id", "column")
 
 
 def a11_result_sink(spark, d):
-    path = work_path(spark, "result")
+    path = fresh_path(spark, "result")
     orders = table(spark, d, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     sinks.write_result(orders, path)
     return spark.read.csv(path, header=True, schema="o_orderstatus string, n bigint")
@@ -362,21 +419,25 @@ def fixed_silence(spark, d):
     """Findings left once every mechanical repair has been carried out on the planted table."""
     df = dataset(spark, d, "planted")
     df = cleaning.drop_unnamed_columns(cleaning.drop_identical_columns(cleaning.drop_uninformative_columns(df)))
-    df = cleaning.placeholders_to_null(df, ["City", "Revenue"])
-    df = cleaning.normalise_category(cleaning.strip_whitespace(df, ["Sales Rep"]), ["City"])
-    df = cleaning.text_to_number(df, ["Revenue", "Discount", "Quantity", "Customer Age"])
-    df = cleaning.text_to_boolean(cleaning.text_to_date(df, ["order_date"]), ["Is Member"])
+    df = cleaning.placeholders_to_null(df, ["Priority", "Amount"])
+    df = cleaning.normalise_category(cleaning.strip_whitespace(df, ["Packed By"]), ["Priority"])
+    df = cleaning.text_to_number(df, ["Amount", "Tax Share", "Crate Count", "Age Days"])
+    df = cleaning.text_to_boolean(cleaning.text_to_date(df, ["Promised"]), ["Fragile"])
     p = Profile(materialize(df, "cleaned"), "cleaned", AS_OF, text=False)
     return diagnose.diagnose(p).where("kind = 'fix'").groupBy("kind").agg(F.count("*").alias("n_left"))
 
 
 SPECS: dict[str, tuple] = {
-    "a01_csv_text_scan": round_trip("customer", ".csv", ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")),
-    "a03_tsv_text_scan": round_trip("supplier", ".tsv", ("s_suppkey", "s_name", "s_nationkey")),
-    "a01_csv_multi_line_scan": round_trip("documents", ".csv", ("doc_id", "text", "lang", "source")),
-    "a04_default_na": (a04_default_na, from_source("planted", f"""SELECT "Email",
-  CASE WHEN "Revenue" NOT IN {sql.words(fixed.DEFAULT_NA)} THEN "Revenue" END AS "Revenue",
-  CASE WHEN "City" NOT IN {sql.words(fixed.DEFAULT_NA)} THEN "City" END AS "City" FROM planted""")),
+    "a01_csv_text_scan": round_trip("customer", ".csv", ("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")),
+    "a03_tsv_text_scan": round_trip("supplier", ".tsv", ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")),
+    "a01_csv_multi_line_scan": round_trip("documents", ".csv", ("doc_id", "text", "lang", "source", "n_chars"), multi_line=True),
+    "a04_default_na": (a04_default_na, from_source("planted", f"""SELECT "Scan Url",
+  CASE WHEN "Amount" NOT IN {sql.words(fixed.DEFAULT_NA)} THEN "Amount" END AS "Amount",
+  CASE WHEN "Priority" NOT IN {sql.words(fixed.DEFAULT_NA)} THEN "Priority" END AS "Priority" FROM planted""")),
+    "a05_header_repair": (a05_header_repair, """SELECT CAST(s_nationkey AS VARCHAR) AS nation, s_name AS name, CAST(s_suppkey AS VARCHAR) AS "name.2",
+  CAST(s_acctbal AS VARCHAR) AS "name.1", s_name AS "Unnamed: 4" FROM supplier"""),
+    "g30_repeated_names": (g30_repeated_names, "SELECT 'name' AS name, count(*) AS rows FROM supplier HAVING count(*) > 0"),
+    "g07_date_layouts": (g07_date_layouts, "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders"),
     "a11_result_sink": (a11_result_sink, "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1"),
     "a12_review_sink": (a12_review_sink, with_findings("planted", 'SELECT severity, kind, rule_id, "column" FROM findings')),
     "g01_placeholder_count": (_columns("planted", "name", "disguised_null_count"),
@@ -387,12 +448,12 @@ SPECS: dict[str, tuple] = {
                         with_profile("planted", "SELECT name, n_held AS count, null_count, null_pct FROM full_prof")),
     "g04_distinct_counts": (_columns("planted", "name", "unique_count", "unique_pct"),
                             with_profile("planted", "SELECT name, n_distinct AS unique_count, unique_pct FROM full_prof")),
-    "g05_parse_numbers": (g05_parse_numbers, from_source("planted", 'SELECT "Email", ' + ", ".join(
-        f'{sql.to_number(chr(34) + c + chr(34))} AS {c.lower()}' for c in ("Revenue", "Discount", "Quantity", "City")) + " FROM planted")),
+    "g05_parse_numbers": (g05_parse_numbers, from_source("planted", 'SELECT "Scan Url", ' + ", ".join(
+        f'{sql.to_number(chr(34) + c + chr(34))} AS "{c}"' for c in ("Amount", "Tax Share", "Crate Count", "Priority")) + " FROM planted")),
     "g06_numeric_share": (_columns("rare", "name", "numeric_parseable_pct"),
                           with_profile("rare", "SELECT name, numeric_parseable_pct FROM full_prof")),
     "g07_parse_dates": (g07_parse_dates, from_source(
-        "planted", f'SELECT "Email", CAST({sql.to_date("order_date")} AS DATE) AS day FROM planted')),
+        "planted", f'SELECT "Scan Url", CAST({sql.to_date("Promised")} AS DATE) AS day FROM planted')),
     "g08_date_share": (_columns("planted", "name", "date_parseable_pct"),
                        with_profile("planted", "SELECT name, date_parseable_pct FROM full_prof")),
     "g09_storage_label": (_columns("planted", "name", "stored_as"),
@@ -442,11 +503,11 @@ LEFT JOIN (SELECT position, CAST(least(floor((x - min_x) / (max_x - min_x) * 10)
 FROM full_prof WHERE inferred_type = 'datetime'""")),
     "g25_g31_dataset_profile": whole_table("planted"),
     "g27_duplicates_typed": (
-        lambda s, d: profile_dataset.surplus_rows(table(s, d, "lineitem").select("l_partkey", "l_quantity", "l_returnflag")),
-        """SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM
-  (SELECT DISTINCT l_partkey, l_quantity, l_returnflag FROM lineitem)) AS duplicate_rows"""),
+        lambda s, d: profile_dataset.surplus_rows(table(s, d, "lineitem").unionByName(table(s, d, "lineitem").where("l_orderkey % 10 = 3"))),
+        "SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) "
+        "+ (SELECT count(*) FROM lineitem WHERE l_orderkey % 10 = 3) AS duplicate_rows"),
     "g28_identical_columns": (g28_identical_columns, g28_identical_sql()),
-    "g29_unnamed_columns": (g29_unnamed, "SELECT 'Unnamed: 14' AS name FROM orders HAVING count(*) > 0"),
+    "g29_unnamed_columns": (g29_unnamed, "SELECT 'Unnamed: 6' AS name FROM orders HAVING count(*) > 0"),
     "g_profile_customer": whole_profile("customer"),
     "g_profile_orders": whole_profile("orders"),
     "g_profile_lineitem": whole_profile("lineitem"),
@@ -461,6 +522,10 @@ FROM full_prof WHERE inferred_type = 'datetime'""")),
     "h01_h22_findings_orders": findings_of("orders"),
     "h01_h22_findings_lineitem": findings_of("lineitem"),
     "h01_h22_findings_events": findings_of("events"),
+    "h17_many_codes": (
+        lambda s, d: diagnose.sentinel_hits(profile_of(s, d, "coded").numeric, profile_of(s, d, "coded").repeated_values,
+                                            [fixed.SENTINEL_RATE]),
+        with_profile("coded", "SELECT rate, name, value, n FROM hits", sql.hits([fixed.SENTINEL_RATE]))),
     "h23_h30_findings_listing": (h23_order, with_findings("planted", H23_SQL)),
     "h24_starting_points": (h24_starting_points, with_findings("planted", "").rstrip() + H24_SQL),
     "h24_usable_columns": (h24_usable, with_profile("planted", """SELECT position, name FROM full_prof
@@ -484,56 +549,56 @@ FROM ranked_tops t JOIN full_prof p USING (position) WHERE t.rank <= 6 AND p.inf
 QUALIFY count(*) OVER (PARTITION BY {PLAIN}) > 1""")),
     "i01_drop_repeated_rows": (_clean(cleaning.drop_repeated_rows), from_source("planted", f"SELECT DISTINCT {PLAIN} FROM planted")),
     "i02_drop_identical_columns": (_clean(cleaning.drop_identical_columns), from_source("planted", "SELECT " + _sql_cols(
-        *[c for c in sql.PLANTED_COLUMNS if c != "Sales Channel"]) + " FROM planted")),
+        *[c for c in sql.PLANTED_COLUMNS if c != "Lot Status"]) + " FROM planted")),
     "i03_drop_unnamed_columns": (_clean(cleaning.drop_unnamed_columns), from_source(
-        "planted", "SELECT " + _sql_cols(*sql.PLANTED_COLUMNS[:-1]) + " FROM planted")),
+        "planted", "SELECT " + _sql_cols(*[c for c in sql.PLANTED_COLUMNS if c != "Unnamed: 6"]) + " FROM planted")),
     "i04_drop_uninformative_columns": (_clean(cleaning.drop_uninformative_columns), from_source("planted", "SELECT " + _sql_cols(
-        *[c for c in sql.PLANTED_COLUMNS if c not in ("Currency", "Notes", "Unnamed: 14")]) + " FROM planted")),
+        *[c for c in sql.PLANTED_COLUMNS if c not in ("Depot", "Inspection Note", "Unnamed: 6")]) + " FROM planted")),
     "i05_placeholders_to_null": (
-        _clean(lambda df: cleaning.placeholders_to_null(df, ["City", "Revenue"]), "Email", "City", "Revenue"),
-        from_source("planted", 'SELECT "Email", ' + ", ".join(
-            f'CASE WHEN NOT {sql.placeholder(chr(34) + c + chr(34))} THEN "{c}" END AS "{c}"' for c in ("City", "Revenue")) + " FROM planted")),
+        _clean(lambda df: cleaning.placeholders_to_null(df, ["Priority", "Amount"]), "Scan Url", "Priority", "Amount"),
+        from_source("planted", 'SELECT "Scan Url", ' + ", ".join(
+            f'CASE WHEN NOT {sql.placeholder(chr(34) + c + chr(34))} THEN "{c}" END AS "{c}"' for c in ("Priority", "Amount")) + " FROM planted")),
     "i06_text_to_number": (
-        _clean(lambda df: cleaning.text_to_number(df, ["Revenue", "Discount"]), "Email", "Revenue", "Discount"),
-        from_source("planted", 'SELECT "Email", ' + ", ".join(
-            f'{sql.to_number(chr(34) + c + chr(34))} AS "{c}"' for c in ("Revenue", "Discount")) + " FROM planted")),
+        _clean(lambda df: cleaning.text_to_number(df, ["Amount", "Tax Share"]), "Scan Url", "Amount", "Tax Share"),
+        from_source("planted", 'SELECT "Scan Url", ' + ", ".join(
+            f'{sql.to_number(chr(34) + c + chr(34))} AS "{c}"' for c in ("Amount", "Tax Share")) + " FROM planted")),
     "i07_text_to_date": (
-        _clean(lambda df: cleaning.text_to_date(df, ["order_date"]).withColumn("order_date", F.to_date("order_date")),
-               "Email", "order_date"),
-        from_source("planted", f'SELECT "Email", CAST({sql.to_date("order_date")} AS DATE) AS order_date FROM planted')),
+        _clean(lambda df: cleaning.text_to_date(df, ["Promised"]).withColumn("Promised", F.to_date("Promised")),
+               "Scan Url", "Promised"),
+        from_source("planted", f'SELECT "Scan Url", CAST({sql.to_date("Promised")} AS DATE) AS Promised FROM planted')),
     "i08_text_to_boolean": (
-        _clean(lambda df: cleaning.text_to_boolean(df, ["Is Member"]), "Email", "Is Member"), from_source(
-            "planted", """SELECT "Email", "Is Member" = 'Yes' AS "Is Member" FROM planted""")),
+        _clean(lambda df: cleaning.text_to_boolean(df, ["Fragile"]), "Scan Url", "Fragile"), from_source(
+            "planted", """SELECT "Scan Url", "Fragile" = 'Y' AS "Fragile" FROM planted""")),
     "i09_unparseable_values": (
         lambda s, d: cleaning.unparseable_values(dataset(s, d, "rare"), "grade"), from_source("rare", f"""SELECT grade AS value, count(*) AS n
 FROM rare WHERE grade IS NOT NULL AND {sql.to_number('grade')} IS NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 20""")),
     "i10_normalise_category": (
-        _clean(lambda df: cleaning.normalise_category(df, ["City"]), "Email", "City"),
-        from_source("planted", f'SELECT "Email", lower({sql.strip(chr(34) + "City" + chr(34))}) AS "City" FROM planted')),
+        _clean(lambda df: cleaning.normalise_category(df, ["Priority"]), "Scan Url", "Priority"),
+        from_source("planted", f'SELECT "Scan Url", lower({sql.strip(chr(34) + "Priority" + chr(34))}) AS "Priority" FROM planted')),
     "i11_strip_whitespace": (
-        _clean(lambda df: cleaning.strip_whitespace(df, ["Sales Rep"]), "Email", "Sales Rep"),
-        from_source("planted", f'SELECT "Email", {sql.strip(chr(34) + "Sales Rep" + chr(34))} AS "Sales Rep" FROM planted')),
+        _clean(lambda df: cleaning.strip_whitespace(df, ["Packed By"]), "Scan Url", "Packed By"),
+        from_source("planted", f'SELECT "Scan Url", {sql.strip(chr(34) + "Packed By" + chr(34))} AS "Packed By" FROM planted')),
     "i12_describe_missing": (
-        lambda s, d: cleaning.describe_missing(dataset(s, d, "planted"), "Customer Age"), from_source("planted", " UNION ALL ".join(
+        lambda s, d: cleaning.describe_missing(dataset(s, d, "planted"), "Age Days"), from_source("planted", " UNION ALL ".join(
             f"""SELECT count(*) AS rows, {sql.text(c)} AS name, count("{c}") AS count, min("{c}") AS min, max("{c}") AS max
-FROM planted WHERE "Customer Age" IS NULL""" for c in sql.PLANTED_COLUMNS if c != "Customer Age"))),
+FROM planted WHERE "Age Days" IS NULL""" for c in sql.PLANTED_COLUMNS if c != "Age Days"))),
     "i13_repeated_identifiers": (
-        lambda s, d: cleaning.repeated_identifiers(dataset(s, d, "planted"), "Order ID"), from_source("planted", """SELECT "Order ID" AS value,
+        lambda s, d: cleaning.repeated_identifiers(dataset(s, d, "planted"), "Lot Ref"), from_source("planted", """SELECT "Lot Ref" AS value,
   count(*) AS n FROM planted GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, value LIMIT 20""")),
     "i14_negative_rows": (
         lambda s, d: cleaning.negative_rows(table(s, d, "customer"), "c_acctbal", ["c_custkey"]).select("c_custkey", "c_acctbal"),
         "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 20"),
     "i15_value_counts": (
-        lambda s, d: cleaning.value_counts(dataset(s, d, "planted"), "Quantity"), from_source("planted", """SELECT "Quantity" AS value,
-  count(*) AS n FROM planted WHERE "Quantity" IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 15""")),
+        lambda s, d: cleaning.value_counts(dataset(s, d, "planted"), "Crate Count"), from_source("planted", """SELECT "Crate Count" AS value,
+  count(*) AS n FROM planted WHERE "Crate Count" IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 15""")),
     "i15_sentinels_to_null": (
-        _clean(lambda df: cleaning.sentinels_to_null(df, "Quantity", [-1, 999]), "Email", "Quantity"), from_source(
-            "planted", """SELECT "Email", CASE WHEN "Quantity" NOT IN ('-1', '999') THEN "Quantity" END AS "Quantity" FROM planted""")),
-    "i16_outlier_rows": (i16_outliers, with_profile("planted", """SELECT "Email", "Quantity" FROM planted, full_prof p WHERE p.name = 'Quantity'
-  AND (CAST("Quantity" AS DOUBLE) < q1 - 1.5 * (q3 - q1) OR CAST("Quantity" AS DOUBLE) > q3 + 1.5 * (q3 - q1))""")),
+        _clean(lambda df: cleaning.sentinels_to_null(df, "Crate Count", [-4, 5000]), "Scan Url", "Crate Count"), from_source(
+            "planted", """SELECT "Scan Url", CASE WHEN "Crate Count" NOT IN ('-4', '5000') THEN "Crate Count" END AS "Crate Count" FROM planted""")),
+    "i16_outlier_rows": (i16_outliers, with_profile("planted", """SELECT "Scan Url", "Crate Count" FROM planted, full_prof p WHERE p.name = 'Crate Count'
+  AND (CAST("Crate Count" AS DOUBLE) < q1 - 1.5 * (q3 - q1) OR CAST("Crate Count" AS DOUBLE) > q3 + 1.5 * (q3 - q1))""")),
     "i17_future_rows": (
-        _clean(lambda df: cleaning.future_rows(df, "order_date", AS_OF), "Email", "order_date"), from_source(
-            "planted", f"""SELECT "Email", order_date FROM planted WHERE {sql.to_date('order_date')} > TIMESTAMP '{AS_OF}'""")),
+        _clean(lambda df: cleaning.future_rows(df, "Promised", AS_OF), "Scan Url", "Promised"), from_source(
+            "planted", f"""SELECT "Scan Url", Promised FROM planted WHERE {sql.to_date('Promised')} > TIMESTAMP '{AS_OF}'""")),
     "i18_pool_rare_categories": (
         lambda s, d: cleaning.pool_rare_categories(dataset(s, d, "rare"), "segment_code", 10).groupBy("segment_code").agg(
             F.count("*").alias("n")),

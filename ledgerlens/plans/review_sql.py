@@ -16,7 +16,8 @@ def words(values) -> str:
 
 
 def up(x: str, digits: int) -> str:
-    return f"floor(({x}) * 1e{digits} + 0.5) / 1e{digits}"
+    x = f"CAST(({x}) AS DOUBLE)"
+    return f"(CASE WHEN abs({x}) * 1e{digits} < 4e15 THEN sign({x}) * floor(abs({x}) * 1e{digits} + 0.5) / 1e{digits} + 0.0 ELSE {x} END)"
 
 
 def pct(a: str, b: str, digits: int = 2) -> str:
@@ -53,38 +54,40 @@ def to_date(v: str) -> str:
 
 
 # Planted and control tables over orders; "copy" and o_orderkey give the row order.
-PLANTED_COLUMNS = ("Order ID", "order_date", "City", "Revenue", "Discount", "Quantity", "Customer Age", "Is Member",
-                   "Channel", "Sales Channel", "Currency", "Sales Rep", "Email", "Notes", "Unnamed: 14")
-CONTROL_COLUMNS = ("transaction_id", "date", "product", "units", "unit_price", "in_stock")
-
-
-def planted(cities, reps, channels) -> str:
-    pick = lambda values, i: f"list_extract([{', '.join(text(v) for v in values)}], CAST(({i}) % {len(values)} + 1 AS INT))"
-    return f"""planted_once AS (SELECT o_orderkey, o_custkey,
-  'ORD-' || CAST(CASE WHEN o_orderkey % 50 = 7 THEN o_orderkey - 1 ELSE o_orderkey END AS VARCHAR) AS "Order ID",
-  CASE WHEN o_orderkey % 151 = 0 THEN '2031-08-14' WHEN o_orderkey % 23 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
-       ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
-  CASE WHEN o_orderkey % 29 = 3 THEN 'unknown' WHEN o_orderkey % 79 = 5 THEN '-' ELSE {pick(cities, 'o_custkey')} END AS "City",
-  CASE WHEN o_orderkey % 37 = 0 THEN 'N/A' ELSE '$' || format('{{:,}}', CAST(floor(CAST(o_totalprice AS DECIMAL(18,2))) AS BIGINT))
-       || '.' || lpad(CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS "Revenue",
-  CAST((o_custkey * 7 % 350) // 10 AS VARCHAR) || '.' || CAST(o_custkey * 7 % 350 % 10 AS VARCHAR) || '%' AS "Discount",
-  CAST(CASE WHEN o_orderkey % 101 = 0 THEN -1 WHEN o_orderkey % 71 = 1 THEN 999 ELSE o_orderkey % 11 + 1 END AS VARCHAR) AS "Quantity",
-  CAST(CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 211 = 1 THEN 0 WHEN o_orderkey % 307 = 2 THEN 217
-       ELSE o_custkey * 13 % 37 + 20 END AS VARCHAR) AS "Customer Age",
-  CASE WHEN o_custkey % 3 = 0 THEN 'Yes' ELSE 'No' END AS "Is Member",
-  {pick(channels, 'o_orderkey + o_custkey')} AS "Channel", {pick(channels, 'o_orderkey + o_custkey')} AS "Sales Channel",
-  'INR' AS "Currency", {pick(reps, 'o_custkey')} AS "Sales Rep",
-  'customer' || CAST(o_orderkey AS VARCHAR) || '@example.com' AS "Email", CAST(NULL AS VARCHAR) AS "Notes", '' AS "Unnamed: 14"
-  FROM orders),
-planted AS (SELECT *, 0 AS copy FROM planted_once UNION ALL SELECT *, 1 AS copy FROM planted_once WHERE o_orderkey % 41 = 0)"""
-
-
-CONTROL = """control AS (SELECT o_orderkey, 0 AS copy, 'TX' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS transaction_id,
-  strftime(o_orderdate, '%Y-%m-%d') AS date,
-  list_extract(['Lamp', 'Chair', 'Table'], CAST(o_custkey % 3 + 1 AS INT)) AS product,
-  CAST(o_orderkey * 7 % 19 + 1 AS VARCHAR) AS units,
-  CAST(o_custkey * 11 % 45 + 5 AS VARCHAR) || '.' || lpad(CAST(o_orderkey * 13 % 100 AS VARCHAR), 2, '0') AS unit_price,
-  CASE WHEN o_custkey % 2 = 0 THEN 'True' ELSE 'False' END AS in_stock FROM orders)"""
+PLANTED_COLUMNS = ("Inspection Note", "Lot Ref", "Priority", "Status", "Promised", "Amount", "Unnamed: 6", "Tax Share", "Crate Count",
+                   "Age Days", "Fragile", "Depot", "Lot Status", "Packed By", "Scan Url")
+CONTROL_COLUMNS = ("lot_id", "route", "rate", "booked", "pallets", "sealed")
+
+STATUS = "CASE o_orderstatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' ELSE 'Part' END"
+PLANTED = f"""planted_once AS (SELECT o_orderkey, CAST(NULL AS VARCHAR) AS "Inspection Note",
+  'L' || CASE WHEN o_orderkey % 40 = 9 THEN o_orderkey - 2 ELSE o_orderkey END AS "Lot Ref",
+  CASE WHEN o_orderkey % 31 = 4 THEN 'tbd' WHEN o_orderkey % 83 = 6 THEN '?' ELSE CASE (o_orderkey + o_custkey) % 8
+    WHEN 0 THEN upper(o_orderpriority[3:]) WHEN 1 THEN lower(o_orderpriority[3:]) WHEN 2 THEN ' ' || o_orderpriority[3:]
+    WHEN 3 THEN o_orderpriority[3:] || ' ' ELSE list_reduce(list_transform(string_split(lower(o_orderpriority[3:]), ' '),
+      lambda w: upper(w[1:1]) || w[2:]), lambda a, w: a || ' ' || w) END END AS "Priority",
+  {STATUS} AS "Status",
+  CASE WHEN o_orderkey % 139 = 0 THEN '2044-12-31' WHEN o_orderkey % 19 = 0 THEN strftime(o_orderdate, '%m/%d/%Y')
+    ELSE strftime(o_orderdate, '%Y-%m-%d') END AS "Promised",
+  CASE WHEN o_orderkey % 43 = 0 THEN 'n/a' ELSE '€' || format('{{:,}}', CAST(floor(CAST(o_totalprice AS DECIMAL(18,2))) AS BIGINT))
+    || '.' || lpad(CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS "Amount",
+  '' AS "Unnamed: 6", (o_custkey * 11 % 270) // 10 || '.' || o_custkey * 11 % 270 % 10 || '%' AS "Tax Share",
+  CAST(CASE WHEN o_orderkey % 97 = 0 THEN -4 WHEN o_orderkey % 67 = 2 THEN 5000 ELSE o_orderkey % 14 + 1 END AS VARCHAR) AS "Crate Count",
+  CAST(CASE WHEN o_orderkey % 8 = 3 THEN NULL WHEN o_orderkey % 199 = 1 THEN 1 WHEN o_orderkey % 293 = 5 THEN 400
+    ELSE o_custkey * 17 % 41 + 30 END AS VARCHAR) AS "Age Days",
+  CASE WHEN o_custkey % 4 = 0 THEN 'Y' ELSE 'N' END AS "Fragile", 'D1' AS "Depot", {STATUS} AS "Lot Status",
+  CASE WHEN o_custkey % 2 = 0 THEN 'team ' || o_custkey % 6 || ' ' ELSE ' team ' || o_custkey % 6 END AS "Packed By",
+  'lots/' || o_orderkey AS "Scan Url" FROM orders),
+planted AS (SELECT *, 0 AS copy FROM planted_once UNION ALL SELECT *, 1 AS copy FROM planted_once WHERE o_orderkey % 37 = 0)"""
+
+CONTROL = """control AS (SELECT o_orderkey, 0 AS copy, 'C' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS lot_id,
+  o_orderpriority[3:] AS route, o_custkey * 7 % 60 + 3 || '.' || lpad(CAST(o_orderkey * 29 % 100 AS VARCHAR), 2, '0') AS rate,
+  strftime(o_orderdate, '%Y-%m-%d') AS booked, CAST(o_orderkey * 5 % 23 + 1 AS VARCHAR) AS pallets,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END AS sealed FROM orders)"""
+
+CODED_COLUMNS = ("row_key", "reading")
+CODED = """coded AS (SELECT o_orderkey, 0 AS copy, CAST(o_orderkey AS VARCHAR) AS row_key, CAST(CASE WHEN o_orderkey % 4 = 1
+  THEN CASE WHEN o_orderkey // 4 % 75 < 5 THEN -5000 - o_orderkey // 4 % 75 * 10 ELSE 9000 + o_orderkey // 4 % 75 * 10 END
+  ELSE o_custkey % 200 + 100 END AS VARCHAR) AS reading FROM orders)"""
 
 
 def cells(source: str, columns) -> str:
@@ -143,13 +146,13 @@ freq AS (SELECT c.position, any_value(c.name) AS name, x, count(*) AS n FROM cel
   WHERE p.has_stats AND x IS NOT NULL GROUP BY c.position, x),
 steps AS (SELECT *, x - lag(x) OVER w AS below, lead(x) OVER w - x AS above FROM freq WINDOW w AS (PARTITION BY position ORDER BY x)),
 gaps AS (SELECT position, CASE WHEN count(*) >= 3 THEN median(above) ELSE 0 END AS typical_value_gap FROM steps GROUP BY position),
-frequent AS (SELECT s.position, s.name, s.x AS value, s.n, CASE WHEN p.n_number_values >= 3 THEN least(below, above) END AS gap
-  FROM steps s JOIN prof p USING (position) WHERE s.n >= 3
-  QUALIFY row_number() OVER (PARTITION BY s.position ORDER BY abs(s.x - p.median) DESC, s.x) <= 60),
+repeated AS (SELECT s.position, s.name, s.x AS value, s.n, CASE WHEN p.n_number_values >= 3 THEN least(below, above) END AS gap, p.median
+  FROM steps s JOIN prof p USING (position) WHERE s.n >= 3),
+frequent AS (SELECT * FROM repeated QUALIFY row_number() OVER (PARTITION BY position ORDER BY abs(value - median) DESC, value) <= 60),
 full_prof AS (SELECT prof.*, coalesce(typical_value_gap, 0) AS typical_value_gap FROM prof LEFT JOIN gaps USING (position))"""
 
 
-def hits(rates, frequent: str = "frequent", prof: str = "full_prof") -> str:
+def hits(rates, frequent: str = "repeated", prof: str = "full_prof") -> str:
     rate_rows = ", ".join(f"({r})" for r in rates)
     return f"""hits AS (SELECT CAST(r.rate AS DOUBLE) AS rate, f.name, f.value, f.n FROM {frequent} f JOIN {prof} p USING (position),
   (VALUES {rate_rows}) r(rate)

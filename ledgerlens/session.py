@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -22,10 +22,8 @@ def by_name(p):
     return {r["name"]: r for r in p.columns.collect()}
 
 
-@pytest.mark.parametrize("small", [200_000, 0])
-def test_numeric_measures_agree_with_pandas(spark, monkeypatch, small):
-    """``small=0`` sends even these rows through range partitions with several parts."""
-    monkeypatch.setattr(ordering, "SMALL_ROWS", small)
+def test_numeric_measures_agree_with_pandas(spark):
+    """Distinct numbers lie in several range partitions here, as on a large table."""
     rng = np.random.default_rng(3)
     data = {"a": rng.gamma(2, 50, 400).round(2), "b": rng.integers(0, 12, 400), "c": [7] * 399 + [8]}
     p = profile(spark, data)
@@ -108,9 +106,28 @@ def test_identical_columns_need_the_same_rows_not_only_the_same_values(spark):
     assert whole.identical_pairs(df) == [("a", "b")]
 
 
-def test_hot_duplicates_take_the_salted_way(spark, monkeypatch):
-    """With a low limit every repeated row counts as hot; the counts stay exact."""
-    monkeypatch.setattr(whole, "HOT_COPIES", 3)
+def test_many_copies_of_one_row(spark):
     rows = [("hot", None)] * 500 + [("cold", "x")] * 2 + [(f"u{i}", "x") for i in range(50)]
     df = spark.createDataFrame(rows, "k string, v string").repartition(8)
     assert {tuple(r) for r in whole.repeated_rows(df).collect()} == {("hot", None, 500), ("cold", "x", 2)}
+    assert whole.surplus_rows(df).first()[0] == 500
+
+
+def test_only_digests_move_to_count_duplicates(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plan = whole.surplus_rows(df)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("digest_a" in e and "c0" not in e for e in exchanges)
+
+
+def test_columns_of_doubled_rows_are_not_taken_for_copies(spark):
+    df = spark.createDataFrame([(i, i * i, -i, i % 3) for i in range(20)] * 2, "a int, b int, c int, d int")
+    assert whole.identical_pairs(df.selectExpr("*", "a as e", "c as f")) == [("a", "e"), ("c", "f")]
+
+
+def test_values_are_placed_in_several_parts(spark):
+    df = spark.range(5000).selectExpr("1 as k", "cast(id as double) as x", "1L as n")
+    parts = ordering.ordered_parts(df, ["k"], ["x"], 5000, "n")
+    assert parts.select("part").distinct().count() > 1
+    hot = ordering.ordered_parts(spark.range(5000).selectExpr("1 as k", "1.0 as x", "1L as n"), ["k"], ["x"], 5000, "n")
+    assert [(r["x"], r["n"]) for r in hot.collect()] == [(1.0, 5000)]

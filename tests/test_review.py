@@ -26,16 +26,16 @@ def found(p):
 
 def test_planted_defects_are_all_found_and_nothing_else(planted):
     assert found(planted) == {
-        ("H1", None), ("H2", None), ("H3", None), ("H5", "Notes"), ("H5", "Unnamed: 14"), ("H6", "Currency"),
-        ("H7", "City"), ("H8", "Revenue"), ("H8", "Discount"), ("H9", "order_date"), ("H10", "Is Member"), ("H12", "City"),
-        ("H13", "Sales Rep"), ("H14", "Customer Age"), ("H15", "Order ID"), ("H15", "Email"), ("H16", "Quantity"),
-        ("H17", "Quantity"), ("H17", "Customer Age"), ("H19", "Quantity"), ("H20", "Quantity"), ("H20", "Customer Age"),
-        ("H21", "order_date")}
+        ("H1", None), ("H2", None), ("H3", None), ("H5", "Inspection Note"), ("H5", "Unnamed: 6"), ("H6", "Depot"),
+        ("H7", "Priority"), ("H8", "Amount"), ("H8", "Tax Share"), ("H9", "Promised"), ("H10", "Fragile"), ("H12", "Priority"),
+        ("H13", "Packed By"), ("H14", "Age Days"), ("H15", "Lot Ref"), ("H15", "Scan Url"), ("H16", "Crate Count"),
+        ("H17", "Crate Count"), ("H17", "Age Days"), ("H19", "Crate Count"), ("H20", "Crate Count"), ("H20", "Age Days"),
+        ("H21", "Promised")}
 
 
 def test_clean_control_raises_only_text_dates(spark):
     p = Profile(planting.clean_control(table(spark, SF, "orders")), "control", AS_OF)
-    assert found(p) == {("H9", "date")}
+    assert found(p) == {("H9", "booked")}
 
 
 def test_findings_are_ordered_by_severity_then_column(planted):
@@ -49,7 +49,7 @@ def test_starting_points(planted):
     steps = diagnose.starting_points(planted, diagnose.diagnose(planted)).collect()
     assert [(r["step"], r["rule"]) for r in steps] == list(enumerate(
         ["placeholders", "types", "spellings", "keys", "duplicates", "analyse"], 1))
-    assert '"order_date", "Revenue", "Discount", "Quantity", "Customer Age"' in steps[-1]["text"]
+    assert '"Promised", "Amount", "Tax Share", "Crate Count", "Age Days"' in steps[-1]["text"]
 
 
 def test_strict_names_ask_for_whole_words(spark):
@@ -62,13 +62,13 @@ def test_strict_names_ask_for_whole_words(spark):
 def test_repairs_silence_their_findings(planted):
     df = planted.df
     df = cleaning.drop_unnamed_columns(cleaning.drop_identical_columns(cleaning.drop_uninformative_columns(df)))
-    df = cleaning.strip_whitespace(cleaning.normalise_category(cleaning.placeholders_to_null(df, ["City"]), ["City"]), ["Sales Rep"])
-    df = cleaning.text_to_boolean(cleaning.text_to_date(df, ["order_date"]), ["Is Member"])
-    df = cleaning.sentinels_to_null(df, "Quantity", [-1, 999])
-    df = cleaning.drop_repeated_rows(cleaning.text_to_number(df, ["Revenue", "Discount", "Quantity", "Customer Age"]))
+    df = cleaning.strip_whitespace(cleaning.normalise_category(cleaning.placeholders_to_null(df, ["Priority"]), ["Priority"]), ["Packed By"])
+    df = cleaning.text_to_boolean(cleaning.text_to_date(df, ["Promised"]), ["Fragile"])
+    df = cleaning.sentinels_to_null(df, "Crate Count", [-4, 5000])
+    df = cleaning.drop_repeated_rows(cleaning.text_to_number(df, ["Amount", "Tax Share", "Crate Count", "Age Days"]))
     left = found(Profile(df, "cleaned", AS_OF, text=False))
     assert {r for r, _ in left} == {"H14", "H15", "H17", "H20", "H21"}
-    assert ("H17", "Quantity") not in left
+    assert ("H17", "Crate Count") not in left
 
 
 def test_repeated_rows_are_listed_with_every_copy(spark):
@@ -80,6 +80,8 @@ def test_pooling_keeps_nulls_and_the_most_frequent(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [("c",), (None,)], "g string")
     got = {r[0]: r[1] for r in cleaning.pool_rare_categories(df, "g", 2).groupBy("g").count().collect()}
     assert got == {"a": 3, "b": 2, "Other": 1, None: 1}
+    clash = cleaning.pool_rare_categories(df.selectExpr("g as kept", "1 as kept_0"), "kept", 2)
+    assert clash.columns == ["kept", "kept_0"] and clash.where("kept = 'Other'").count() == 1
 
 
 def test_sweep_loses_recall_as_the_rate_grows(spark, planted):
@@ -90,6 +92,13 @@ def test_sweep_loses_recall_as_the_rate_grows(spark, planted):
     assert all(r["false_alarms"] == 0 for r in rows) and rows[-1]["precision"] is None
 
 
+def test_more_than_sixty_codes_are_all_found(spark):
+    p = Profile(planting.plant_many_codes(table(spark, "/root/testdata/sf0.01", "orders")), "coded", AS_OF)
+    hits = diagnose.sentinel_hits(p.numeric, p.repeated_values, [0.002]).collect()
+    assert len({r["value"] for r in hits if abs(r["value"]) > 1000}) == planting.MANY_CODES
+    assert p.frequent_values.where("name = 'reading'").count() == 60  # the listing alone is short
+
+
 def test_a_false_alarm_lowers_precision(spark):
     hits = spark.createDataFrame([(0.002, "t", "c", 5.0, 9)], "rate double, dataset string, `column` string, value double, n bigint")
     truth = spark.createDataFrame([("t", "c", 1.0)], "dataset string, column string, value double")

@@ -2,6 +2,7 @@
 
 import pytest
 
+from ledgerlens.operators.profile import profile_file
 from ledgerlens.sources import delimited, sinks, tables
 
 
@@ -21,16 +22,38 @@ def test_header_repair(spark, tmp_path):
     path = write(tmp_path, "a.csv", "a,A,a,,a.1,\n1,2,3,4,5,6\n")
     assert delimited.read_delimited(spark, path).toDF(*"abcdef").first().asDict() == dict(zip("abcdef", "123456"))
     assert delimited.repair_header(["a", "A", "a", None, "b", None]) == ["a", "A", "a.1", "Unnamed: 3", "b", "Unnamed: 5"]
+    assert delimited.repair_header(["a", "a", "a.1", "a"]) == ["a", "a.2", "a.1", "a.3"]
     assert delimited.duplicate_names(["a", "b", "a", "a", None]) == ["a"]
 
 
 def test_quotes_and_line_breaks_inside_fields(spark, tmp_path):
     path = write(tmp_path, "a.csv", 'id,text\n1,"say ""hi"", ok"\n2,"two\nlines"\n3, padded \n')
-    assert delimited.spans_lines(spark, path)
-    assert {r["id"]: r["text"] for r in delimited.read_delimited(spark, path).collect()} == {
+    assert delimited.lines_with_open_quotes(spark, path) == 2
+    assert {r["id"]: r["text"] for r in delimited.read_delimited(spark, path, multi_line=True).collect()} == {
         "1": 'say "hi", ok', "2": "two\nlines", "3": " padded "}
 
 
+def test_surplus_fields_are_an_error_and_short_records_are_filled(spark, tmp_path):
+    path = write(tmp_path, "a.csv", "a,b\n1,2\n3,4,5\n")
+    with pytest.raises(Exception, match="more than 2 fields"):
+        delimited.read_delimited(spark, path).select("a").collect()
+    short = write(tmp_path, "b.csv", "a,b\n1\n2,3\n")
+    assert sorted(map(tuple, delimited.read_delimited(spark, short).collect())) == [("1", None), ("2", "3")]
+
+
+def test_a_stray_quote_does_not_change_how_the_file_is_read(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'k,v\n1,5" pipe\n2,x\n')
+    assert delimited.lines_with_open_quotes(spark, path) == 1
+    assert delimited.read_delimited(spark, path).count() == 2
+
+
+def test_names_that_differ_by_case_can_be_profiled(spark, tmp_path):
+    path = write(tmp_path, "a.csv", "a,A,b,b\n" + "".join(f"{i},x,{i % 3},q\n" for i in range(40)))
+    p = profile_file(spark, path, "2026-08-09")
+    assert [r["name"] for r in p.columns.orderBy("position").collect()] == ["a", "A", "b", "b.1"]
+    assert p.dataset.first()["duplicate_column_names"] == ["b"]
+
+
 def test_tab_separated_files(spark, tmp_path):
     for name in ("a.tsv", "a.txt"):
         path = write(tmp_path, name, "x\ty\n1,5\t2\n")
