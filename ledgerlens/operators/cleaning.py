@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.parsing import is_placeholder, normal_form, parse_boolean, parse_date, parse_number, strip
@@ -138,15 +138,34 @@ def negative_rows(df: DataFrame, column: str, order: Sequence[str], k: int = 20)
 
 
 def describe_missing(df: DataFrame, column: str) -> DataFrame:
-    """The rows in which ``column`` is missing: rows, values held and extremes of every other column."""
+    """The rows in which ``column`` is missing, summed up over every other column.
+
+    Count, distinct values, the commonest value (the smallest of those) and its
+    count, extremes, and for numeric columns mean and deviation. Values are counted
+    once, combined map-side.
+    """
     missing = df.where(named(column).isNull())
     others = [c for c in df.columns if c != column]
-    sums = missing.agg(F.count("*").alias("rows"), *[f(named(c)).alias(f"{k}{i}") for i, c in enumerate(others)
-                                                     for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))])
-    lines = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"n{i}").alias("count"),
-                               F.col(f"lo{i}").cast("string").alias("min"), F.col(f"hi{i}").cast("string").alias("max"))
-                      for i, c in enumerate(others)])
-    return sums.select("rows", F.inline(lines))
+    numeric = [i for i, c in enumerate(others) if isinstance(df.schema[c].dataType, T.NumericType)]
+    cells = missing.select(*[named(c).cast("string").alias(str(i)) for i, c in enumerate(others)], F.lit("").alias("rows"))
+    values = cells.unpivot([], [str(i) for i in range(len(others))] + ["rows"], "place", "v").groupBy("place", "v").agg(F.count("*").alias("n"))
+    x = F.when(F.col("place").isin(*[str(i) for i in numeric]), F.col("v").try_cast("double")) if numeric else F.lit(None).cast("double")
+    held = F.col("v").isNotNull()
+    top = F.min(F.when(held, F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))))
+    sums = values.groupBy("place").agg(
+        F.coalesce(F.sum(F.when(held, F.col("n"))), F.lit(0)).alias("count"), F.count("v").alias("unique"), top.alias("top"),
+        F.max(F.when(held, F.col("n"))).alias("freq"), F.min("v").alias("min"), F.max("v").alias("max"),
+        F.min(x).alias("low"), F.max(x).alias("high"), F.sum(x * F.col("n")).alias("s"), F.sum(F.when(x.isNotNull(), F.col("n"))).alias("k"),
+        F.sum(x * x * F.col("n")).alias("s2"))
+    whole = sums.where("place = 'rows'").select(F.col("count").alias("rows"))
+    frame = df.sparkSession.createDataFrame([(str(i), c) for i, c in enumerate(others)], "place string, name string")
+    mean = F.try_divide(F.col("s"), F.col("k"))
+    spread = F.try_divide(F.col("s2") - mean * mean * F.col("k"), F.col("k") - 1)
+    end = lambda text, number: F.coalesce(F.col(number).cast("string"), F.col(text))
+    return frame.join(sums, "place", "left").select(
+        F.coalesce(whole.scalar(), F.lit(0)).cast("bigint").alias("rows"), "name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+        F.coalesce("unique", F.lit(0)).cast("bigint").alias("unique"), F.col("top.v").alias("top"), "freq",
+        end("min", "low").alias("min"), end("max", "high").alias("max"), mean.alias("mean"), F.when(spread.isNotNull(), F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("std"))
 
 
 def outlier_rows(df: DataFrame, column: str, columns: DataFrame) -> DataFrame:

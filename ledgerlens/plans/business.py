@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.functions import expressions as ex, fixed
 from ledgerlens.operators import checks, ordering, revenue, survey
-from ledgerlens.plans.views import dashboard_view, sales_view, season, survey_view, table
+from ledgerlens.plans.views import dashboard_view, sales_view, season, survey_table, survey_view, table
+from ledgerlens.session import work_path
+from ledgerlens.sources import tables
 
 KEY = ("order_number",)
 ALL_SALES = ("order_number", "date", "warehouse", "client_type", "product_line", "quantity", "unit_price",
@@ -32,6 +36,18 @@ STUDENTS_SQL = """WITH students AS (
          CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS INT) AS toas
   FROM documents LEFT JOIN labels USING (doc_id))
 """
+STUDENTS_TABLE_SQL = """SELECT CASE quality WHEN 1 THEN 'Inter' WHEN 0 THEN 'Dom' END AS inter_dom, lang AS region,
+  CASE doc_id % 2 WHEN 0 THEN 'Female' ELSE 'Male' END AS gender, CASE doc_id % 3 WHEN 0 THEN 'Grad' ELSE 'Under' END AS academic,
+  CAST(17 + doc_id % 14 AS INT) AS age, CAST(doc_id % 14 // 3 + 1 AS INT) AS age_cate, stay,
+  CASE WHEN stay <= 1 THEN 'Short' WHEN stay <= 3 THEN 'Medium' WHEN stay > 3 THEN 'Long' END AS stay_cate,
+  CAST(doc_id % 5 + 1 AS INT) AS japanese, CASE WHEN doc_id % 5 < 2 THEN 'Low' WHEN doc_id % 5 = 2 THEN 'Average' ELSE 'High' END AS japanese_cate,
+  CAST(doc_id // 5 % 5 + 1 AS INT) AS english, CASE WHEN doc_id // 5 % 5 < 2 THEN 'Low' WHEN doc_id // 5 % 5 = 2 THEN 'Average' ELSE 'High' END AS english_cate,
+  CAST(n_chars AS INT) AS todep,
+  CASE WHEN n_chars <= 500 THEN 'Min' WHEN n_chars <= 1500 THEN 'Mild' WHEN n_chars <= 4000 THEN 'Mod' WHEN n_chars <= 9000 THEN 'ModSev' ELSE 'Sev' END AS depsev,
+  CAST(length(text) - length(replace(text, ' ', '')) + 1 AS INT) AS tosc, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS INT) AS toas,
+  CASE toxic WHEN 1 THEN 'Yes' WHEN 0 THEN 'No' END AS suicide
+FROM (SELECT *, CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) AS stay FROM documents) LEFT JOIN labels USING (doc_id)
+"""
 DASHBOARD_SQL = """WITH retail AS (
   SELECT l_returnflag AS region, p_type AS category, p_brand AS product, CAST(l_shipdate AS DATE) AS date,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS sales,
@@ -63,9 +79,20 @@ MONTH = "CAST(date_trunc('month', date) AS DATE)"
 LABEL = "CASE month_num WHEN 6 THEN 'June' WHEN 7 THEN 'July' WHEN 8 THEN 'August' END"
 
 
+def exported(view: DataFrame, name: str) -> str:
+    """A view written as delimited text with a header, at a path of its own."""
+    path = work_path(view.sparkSession, f"export-{name}-{uuid.uuid4().hex}")
+    view.write.option("escape", '"').csv(path, header=True)
+    return path
+
+
 def a06_sales_table(spark, d):
-    return sales_view(spark, d, ALL_SALES).select(
-        *[F.col(c).cast("double").alias(c) if c in ("unit_price", "total", "payment_fee") else c for c in ALL_SALES])
+    sales = tables.load_sales(spark, exported(sales_view(spark, d, ALL_SALES), "sales"), None)
+    return sales.select(*[F.col(c).cast("double").alias(c) if c in ("unit_price", "total", "payment_fee") else c for c in ALL_SALES])
+
+
+def a07_students_table(spark, d):
+    return tables.load_students(spark, exported(survey_table(spark, d), "students"), None)
 
 
 def a08_primary_key_check(spark, d):
@@ -211,7 +238,7 @@ SPECS = {
     "a06_sales_table": (a06_sales_table, SALES_SQL + """SELECT order_number, date, warehouse, client_type, product_line,
   quantity, CAST(unit_price AS DOUBLE) AS unit_price, CAST(total AS DOUBLE) AS total, payment,
   CAST(payment_fee AS DOUBLE) AS payment_fee FROM sales"""),
-    "a07_students_table": (_students(), STUDENTS_SQL + "SELECT * FROM students"),
+    "a07_students_table": (a07_students_table, STUDENTS_TABLE_SQL),
     "a08_primary_key_check": (a08_primary_key_check, """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY ALL HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL"""),
     "a08_primary_key_clean": (a08_primary_key_clean, SALES_SQL + """SELECT order_number, count(*) AS n_rows FROM sales

@@ -36,7 +36,7 @@ TYPED_STORAGE = {
 }
 RARE_COLUMNS = ("grade", "points", "reply", "referrer", "segment_code", "remark", "memo", "comment")
 
-_profiles: dict[tuple[str, str, str], Profile] = {}
+_profiles: dict[tuple, Profile] = {}
 
 
 def dataset(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -53,9 +53,16 @@ def dataset(spark: SparkSession, d: str, name: str) -> DataFrame:
     return df.select(*[F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes])
 
 
+def listing(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files below ``path``; their content is not read."""
+    files = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "length")
+    return tuple(sorted(map(tuple, files.collect())))
+
+
 def profile_of(spark: SparkSession, d: str, name: str) -> Profile:
-    """One profile per table and session: its written parts serve every query over the table."""
-    key = (spark.sparkContext.applicationId, d, name)
+    """One profile for each state of a table and session: its written parts serve every query over the table."""
+    source = "orders" if name in TEXT_SETS else name
+    key = (spark.sparkContext.applicationId, name, listing(spark, f"{d.rstrip('/')}/{source}.parquet"))
     if key not in _profiles:
         _profiles[key] = Profile(dataset(spark, d, name), name, AS_OF, text=name in TEXT_SETS)
     return _profiles[key]
@@ -86,12 +93,9 @@ def _source_sql(name: str) -> tuple[list[str], str, tuple[str, ...], dict[int, s
     return [], name, TYPED_COLUMNS[name], dict(enumerate(TYPED_STORAGE[name]))
 
 
-IDENTICAL = {"planted": 1, "coded": 0, "control": 0, "rare": 0, "customer": 0, "orders": 0, "lineitem": 0, "events": 0, "documents": 0}
-
-
 def with_profile(name: str, select: str, *more: str) -> str:
     before, source, columns, stored = _source_sql(name)
-    parts = [*before, sql.cells(source, columns), sql.profile(stored), sql.whole(source, columns, IDENTICAL[name]), *more]
+    parts = [*before, sql.cells(source, columns), sql.profile(stored), sql.whole(source, columns, sql.identical(source, columns, stored)), *more]
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 
@@ -146,11 +150,12 @@ def g02_placeholder_tokens(spark, d):
 
 def g05_parse_numbers(spark, d):
     df = dataset(spark, d, "planted")
-    return df.select("Scan Url", *[parse_number(F.col(f"`{c}`")).alias(c) for c in ("Amount", "Tax Share", "Crate Count", "Priority")])
+    parsed = ("Amount", "Tax Share", "Crate Count", "Priority")
+    return df.select(*[parse_number(cleaning.named(c)).alias(c) if c in parsed else cleaning.named(c) for c in df.columns])
 
 
 def g07_parse_dates(spark, d):
-    return dataset(spark, d, "planted").select("Scan Url", parse_date(F.col("Promised")).cast("date").alias("day"))
+    return dataset(spark, d, "planted").withColumn("Promised", parse_date(F.col("Promised")).cast("date"))
 
 
 def g12_identifier_names(spark, d):
@@ -277,11 +282,15 @@ ranked_tops AS (SELECT *, CAST(row_number() OVER (PARTITION BY position ORDER BY
 """
 
 
-def _clean(change: Callable[[DataFrame], DataFrame], *show: str | Column):
-    def query(spark, d):
-        out = change(dataset(spark, d, "planted"))
-        return out.select(*show) if show else out
-    return query
+def _clean(change: Callable[[DataFrame], DataFrame]):
+    """A repair of the planted table; whole rows are returned, so that the rest is seen to survive."""
+    return lambda spark, d: change(dataset(spark, d, "planted"))
+
+
+def changed(**columns: str) -> str:
+    """All planted columns in SQL, some of them replaced; underscores stand for the spaces of a name."""
+    new = {k.replace("_", " "): v for k, v in columns.items()}
+    return "SELECT " + ", ".join(f'{new[c]} AS "{c}"' if c in new else f'"{c}"' for c in sql.PLANTED_COLUMNS) + " FROM planted"
 
 
 def _sql_cols(*names: str) -> str:
@@ -297,7 +306,7 @@ def i01_list_repeated(spark, d):
 
 def i16_outliers(spark, d):
     p = profile_of(spark, d, "planted")
-    return cleaning.outlier_rows(p.df, "Crate Count", p.columns).select("Scan Url", "Crate Count")
+    return cleaning.outlier_rows(p.df, "Crate Count", p.columns)
 
 
 def truth_of(spark: SparkSession) -> DataFrame:
@@ -367,15 +376,6 @@ def g30_repeated_names(spark, d):
         F.explode("duplicate_column_names").alias("name"), "rows")
 
 
-def _typed_export(name: str, view, load):
-    """A view written as delimited text with a header and read by the typed loader."""
-    def query(spark, d):
-        path = fresh_path(spark, f"export-{name}")
-        view(spark, d).write.option("escape", '"').csv(path, header=True)
-        return load(spark, path, None)
-    return query
-
-
 #: Layouts of dates, the day first only in those where the month has a name or the day is above 12.
 LAYOUTS = ("MM/dd/yyyy HH:mm", "MM/dd/yyyy hh:mm a", "MM/dd/yy", "M/d/yy", "yyyy-MM-dd hh:mm a", "MMM d, yyyy HH:mm", "yyyy.MM.dd",
            "d-MMM-yy", "EEEE, MMMM d, yyyy", "EEE d MMM yyyy HH:mm:ss", "yyyyMMdd'T'HHmmss", "yyyy/MM/dd HH:mm", "yyyyMMdd", "MMMM d, yyyy")
@@ -396,7 +396,7 @@ def g07_date_layouts(spark, d):
 
 def a04_default_na(spark, d):
     df = dataset(spark, d, "planted")
-    return df.select("Scan Url", *[null_default_tokens(F.col(c)).alias(c) for c in ("Amount", "Priority")])
+    return df.select(*[null_default_tokens(cleaning.named(c)).alias(c) for c in df.columns])
 
 
 def a12_review_sink(spark, d):
@@ -416,7 +416,7 @@ def a11_result_sink(spark, d):
 
 
 def fixed_silence(spark, d):
-    """Findings left once every mechanical repair has been carried out on the planted table."""
+    """Mechanical findings per rule before and after every mechanical repair of the planted table."""
     df = dataset(spark, d, "planted")
     df = cleaning.drop_unnamed_columns(cleaning.drop_identical_columns(cleaning.drop_uninformative_columns(df)))
     df = cleaning.placeholders_to_null(df, ["Priority", "Amount"])
@@ -424,16 +424,18 @@ def fixed_silence(spark, d):
     df = cleaning.text_to_number(df, ["Amount", "Tax Share", "Crate Count", "Age Days"])
     df = cleaning.text_to_boolean(cleaning.text_to_date(df, ["Promised"]), ["Fragile"])
     p = Profile(materialize(df, "cleaned"), "cleaned", AS_OF, text=False)
-    return diagnose.diagnose(p).where("kind = 'fix'").groupBy("kind").agg(F.count("*").alias("n_left"))
+    count = lambda findings, name: findings.where("kind = 'fix'").groupBy("rule_id").agg(F.count("*").alias(name))
+    before, after = count(found(spark, d)[1], "n_before"), count(diagnose.diagnose(p), "n_after")
+    return before.join(after, "rule_id", "full_outer").select(
+        "rule_id", F.coalesce("n_before", F.lit(0)).cast("bigint").alias("n_before"), F.coalesce("n_after", F.lit(0)).cast("bigint").alias("n_after"))
 
 
 SPECS: dict[str, tuple] = {
     "a01_csv_text_scan": round_trip("customer", ".csv", ("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")),
     "a03_tsv_text_scan": round_trip("supplier", ".tsv", ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")),
     "a01_csv_multi_line_scan": round_trip("documents", ".csv", ("doc_id", "text", "lang", "source", "n_chars"), multi_line=True),
-    "a04_default_na": (a04_default_na, from_source("planted", f"""SELECT "Scan Url",
-  CASE WHEN "Amount" NOT IN {sql.words(fixed.DEFAULT_NA)} THEN "Amount" END AS "Amount",
-  CASE WHEN "Priority" NOT IN {sql.words(fixed.DEFAULT_NA)} THEN "Priority" END AS "Priority" FROM planted""")),
+    "a04_default_na": (a04_default_na, from_source("planted", changed(
+        **{c: f'CASE WHEN "{c}" NOT IN {sql.words(fixed.DEFAULT_NA)} THEN "{c}" END' for c in sql.PLANTED_COLUMNS}))),
     "a05_header_repair": (a05_header_repair, """SELECT CAST(s_nationkey AS VARCHAR) AS nation, s_name AS name, CAST(s_suppkey AS VARCHAR) AS "name.2",
   CAST(s_acctbal AS VARCHAR) AS "name.1", s_name AS "Unnamed: 4" FROM supplier"""),
     "g30_repeated_names": (g30_repeated_names, "SELECT 'name' AS name, count(*) AS rows FROM supplier HAVING count(*) > 0"),
@@ -448,12 +450,11 @@ SPECS: dict[str, tuple] = {
                         with_profile("planted", "SELECT name, n_held AS count, null_count, null_pct FROM full_prof")),
     "g04_distinct_counts": (_columns("planted", "name", "unique_count", "unique_pct"),
                             with_profile("planted", "SELECT name, n_distinct AS unique_count, unique_pct FROM full_prof")),
-    "g05_parse_numbers": (g05_parse_numbers, from_source("planted", 'SELECT "Scan Url", ' + ", ".join(
-        f'{sql.to_number(chr(34) + c + chr(34))} AS "{c}"' for c in ("Amount", "Tax Share", "Crate Count", "Priority")) + " FROM planted")),
+    "g05_parse_numbers": (g05_parse_numbers, from_source("planted", changed(
+        **{c: sql.to_number(f'"{c}"') for c in ("Amount", "Tax Share", "Crate Count", "Priority")}))),
     "g06_numeric_share": (_columns("rare", "name", "numeric_parseable_pct"),
                           with_profile("rare", "SELECT name, numeric_parseable_pct FROM full_prof")),
-    "g07_parse_dates": (g07_parse_dates, from_source(
-        "planted", f'SELECT "Scan Url", CAST({sql.to_date("Promised")} AS DATE) AS day FROM planted')),
+    "g07_parse_dates": (g07_parse_dates, from_source("planted", changed(Promised=f"""CAST({sql.to_date('"Promised"')} AS DATE)"""))),
     "g08_date_share": (_columns("planted", "name", "date_parseable_pct"),
                        with_profile("planted", "SELECT name, date_parseable_pct FROM full_prof")),
     "g09_storage_label": (_columns("planted", "name", "stored_as"),
@@ -555,33 +556,32 @@ QUALIFY count(*) OVER (PARTITION BY {PLAIN}) > 1""")),
     "i04_drop_uninformative_columns": (_clean(cleaning.drop_uninformative_columns), from_source("planted", "SELECT " + _sql_cols(
         *[c for c in sql.PLANTED_COLUMNS if c not in ("Depot", "Inspection Note", "Unnamed: 6")]) + " FROM planted")),
     "i05_placeholders_to_null": (
-        _clean(lambda df: cleaning.placeholders_to_null(df, ["Priority", "Amount"]), "Scan Url", "Priority", "Amount"),
-        from_source("planted", 'SELECT "Scan Url", ' + ", ".join(
-            f'CASE WHEN NOT {sql.placeholder(chr(34) + c + chr(34))} THEN "{c}" END AS "{c}"' for c in ("Priority", "Amount")) + " FROM planted")),
+        _clean(lambda df: cleaning.placeholders_to_null(df, ["Priority", "Amount"])),
+        from_source("planted", changed(**{c: f"""CASE WHEN NOT {sql.placeholder(f'"{c}"')} THEN "{c}" END""" for c in ("Priority", "Amount")}))),
     "i06_text_to_number": (
-        _clean(lambda df: cleaning.text_to_number(df, ["Amount", "Tax Share"]), "Scan Url", "Amount", "Tax Share"),
-        from_source("planted", 'SELECT "Scan Url", ' + ", ".join(
-            f'{sql.to_number(chr(34) + c + chr(34))} AS "{c}"' for c in ("Amount", "Tax Share")) + " FROM planted")),
+        _clean(lambda df: cleaning.text_to_number(df, ["Amount", "Tax Share"])),
+        from_source("planted", changed(Amount=sql.to_number('"Amount"'), Tax_Share=sql.to_number('"Tax Share"')))),
     "i07_text_to_date": (
-        _clean(lambda df: cleaning.text_to_date(df, ["Promised"]).withColumn("Promised", F.to_date("Promised")),
-               "Scan Url", "Promised"),
-        from_source("planted", f'SELECT "Scan Url", CAST({sql.to_date("Promised")} AS DATE) AS Promised FROM planted')),
+        _clean(lambda df: cleaning.text_to_date(df, ["Promised"]).withColumn("Promised", F.to_date("Promised"))),
+        from_source("planted", changed(Promised=f'CAST({sql.to_date(chr(34) + "Promised" + chr(34))} AS DATE)'))),
     "i08_text_to_boolean": (
-        _clean(lambda df: cleaning.text_to_boolean(df, ["Fragile"]), "Scan Url", "Fragile"), from_source(
-            "planted", """SELECT "Scan Url", "Fragile" = 'Y' AS "Fragile" FROM planted""")),
+        _clean(lambda df: cleaning.text_to_boolean(df, ["Fragile"])), from_source("planted", changed(Fragile="\"Fragile\" = 'Y'"))),
     "i09_unparseable_values": (
         lambda s, d: cleaning.unparseable_values(dataset(s, d, "rare"), "grade"), from_source("rare", f"""SELECT grade AS value, count(*) AS n
 FROM rare WHERE grade IS NOT NULL AND {sql.to_number('grade')} IS NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 20""")),
     "i10_normalise_category": (
-        _clean(lambda df: cleaning.normalise_category(df, ["Priority"]), "Scan Url", "Priority"),
-        from_source("planted", f'SELECT "Scan Url", lower({sql.strip(chr(34) + "Priority" + chr(34))}) AS "Priority" FROM planted')),
+        _clean(lambda df: cleaning.normalise_category(df, ["Priority"])),
+        from_source("planted", changed(Priority=f'lower({sql.strip(chr(34) + "Priority" + chr(34))})'))),
     "i11_strip_whitespace": (
-        _clean(lambda df: cleaning.strip_whitespace(df, ["Packed By"]), "Scan Url", "Packed By"),
-        from_source("planted", f'SELECT "Scan Url", {sql.strip(chr(34) + "Packed By" + chr(34))} AS "Packed By" FROM planted')),
+        _clean(lambda df: cleaning.strip_whitespace(df, ["Packed By"])),
+        from_source("planted", changed(Packed_By=sql.strip('"Packed By"')))),
     "i12_describe_missing": (
         lambda s, d: cleaning.describe_missing(dataset(s, d, "planted"), "Age Days"), from_source("planted", " UNION ALL ".join(
-            f"""SELECT count(*) AS rows, {sql.text(c)} AS name, count("{c}") AS count, min("{c}") AS min, max("{c}") AS max
-FROM planted WHERE "Age Days" IS NULL""" for c in sql.PLANTED_COLUMNS if c != "Age Days"))),
+            f"""SELECT (SELECT count(*) FROM gone) AS rows, {sql.text(c)} AS name, count("{c}") AS count, count(DISTINCT "{c}") AS "unique",
+  (SELECT "{c}" FROM gone WHERE "{c}" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top,
+  (SELECT count(*) FROM gone WHERE "{c}" IS NOT NULL GROUP BY "{c}" ORDER BY 1 DESC LIMIT 1) AS freq,
+  min("{c}") AS min, max("{c}") AS max, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std FROM gone"""
+            for c in sql.PLANTED_COLUMNS if c != "Age Days"), """gone AS (SELECT * FROM planted WHERE "Age Days" IS NULL)""")),
     "i13_repeated_identifiers": (
         lambda s, d: cleaning.repeated_identifiers(dataset(s, d, "planted"), "Lot Ref"), from_source("planted", """SELECT "Lot Ref" AS value,
   count(*) AS n FROM planted GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, value LIMIT 20""")),
@@ -592,20 +592,21 @@ FROM planted WHERE "Age Days" IS NULL""" for c in sql.PLANTED_COLUMNS if c != "A
         lambda s, d: cleaning.value_counts(dataset(s, d, "planted"), "Crate Count"), from_source("planted", """SELECT "Crate Count" AS value,
   count(*) AS n FROM planted WHERE "Crate Count" IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 15""")),
     "i15_sentinels_to_null": (
-        _clean(lambda df: cleaning.sentinels_to_null(df, "Crate Count", [-4, 5000]), "Scan Url", "Crate Count"), from_source(
-            "planted", """SELECT "Scan Url", CASE WHEN "Crate Count" NOT IN ('-4', '5000') THEN "Crate Count" END AS "Crate Count" FROM planted""")),
-    "i16_outlier_rows": (i16_outliers, with_profile("planted", """SELECT "Scan Url", "Crate Count" FROM planted, full_prof p WHERE p.name = 'Crate Count'
+        _clean(lambda df: cleaning.sentinels_to_null(df, "Crate Count", [-4, 5000])), from_source("planted", changed(
+            Crate_Count="""CASE WHEN "Crate Count" NOT IN ('-4', '5000') THEN "Crate Count" END"""))),
+    "i16_outlier_rows": (i16_outliers, with_profile("planted", f"""SELECT {PLAIN} FROM planted, full_prof p WHERE p.name = 'Crate Count'
   AND (CAST("Crate Count" AS DOUBLE) < q1 - 1.5 * (q3 - q1) OR CAST("Crate Count" AS DOUBLE) > q3 + 1.5 * (q3 - q1))""")),
     "i17_future_rows": (
-        _clean(lambda df: cleaning.future_rows(df, "Promised", AS_OF), "Scan Url", "Promised"), from_source(
-            "planted", f"""SELECT "Scan Url", Promised FROM planted WHERE {sql.to_date('Promised')} > TIMESTAMP '{AS_OF}'""")),
+        _clean(lambda df: cleaning.future_rows(df, "Promised", AS_OF)), from_source(
+            "planted", f"""SELECT {PLAIN} FROM planted WHERE {sql.to_date('"Promised"')} > TIMESTAMP '{AS_OF}'""")),
     "i18_pool_rare_categories": (
         lambda s, d: cleaning.pool_rare_categories(dataset(s, d, "rare"), "segment_code", 10).groupBy("segment_code").agg(
             F.count("*").alias("n")),
         from_source("rare", """SELECT CASE WHEN segment_code IN (SELECT v FROM top) OR segment_code IS NULL THEN segment_code ELSE 'Other' END AS segment_code,
   count(*) AS n FROM rare GROUP BY 1""", """top AS (SELECT segment_code AS v, count(*) AS n FROM rare WHERE segment_code IS NOT NULL
   GROUP BY 1 ORDER BY n DESC, v LIMIT 10)""")),
-    "i_fix_then_silence": (fixed_silence, "SELECT 'fix' AS kind, CAST(0 AS BIGINT) AS n_left FROM orders WHERE false"),
+    "i_fix_then_silence": (fixed_silence, with_findings(
+        "planted", "SELECT rule_id, count(*) AS n_before, CAST(0 AS BIGINT) AS n_after FROM findings WHERE kind = 'fix' GROUP BY 1")),
     "j01_rate_sweep_flags": (
         lambda s, d: evaluate.flagged({n: profile_of(s, d, n) for n in ("planted", "control")}),
         sweep_sql('SELECT rate, dataset, name AS "column", value, n FROM flags')),

@@ -161,7 +161,14 @@ def hits(rates, frequent: str = "repeated", prof: str = "full_prof") -> str:
       OR (p.n_distinct <= 30 AND coalesce(f.gap > 0 AND p.typical_value_gap > 0 AND f.gap > 1.5 * p.typical_value_gap, false))))"""
 
 
-def whole(source: str, columns, identical: int) -> str:
+def identical(source: str, columns, stored: dict[int, str] | None) -> str:
+    """How many pairs of columns of one type agree in every row, counted by comparing all of them."""
+    pairs = [(a, b) for j, b in enumerate(columns) for i, a in enumerate(columns[:j]) if not stored or stored[i] == stored[j]]
+    agree = " + ".join(f'CAST(bool_and("{a}" IS NOT DISTINCT FROM "{b}") AND count("{a}") > 0 AS INTEGER)' for a, b in pairs) or "0"
+    return f"(SELECT {agree} FROM {source})"
+
+
+def whole(source: str, columns, identical: str) -> str:
     """The one-row dataset profile; ``columns`` are quoted names of the source."""
     names = ", ".join(f'"{c}"' for c in columns)
     unnamed = sum(1 for c in columns if not c.strip() or c.lower().startswith("unnamed:"))

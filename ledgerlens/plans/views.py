@@ -69,6 +69,25 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def survey_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey with all columns of its typed table; those that documents lack follow from the document's number."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = documents.join(labels.select("doc_id", "quality", "toxic"), "doc_id", "left")
+    level = lambda x: F.when(x < 2, "Low").when(x == 2, "Average").otherwise("High")
+    i, text, stay = F.col("doc_id"), F.col("text"), F.regexp_extract("source", "([0-9]+)", 1).cast("int")
+    many = lambda c: (F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) + 1).cast("int")
+    todep, second = F.col("n_chars").cast("int"), F.floor(i / 5) % 5
+    return rows.select(
+        F.when(F.col("quality") == 1, "Inter").when(F.col("quality") == 0, "Dom").alias("inter_dom"), F.col("lang").alias("region"),
+        F.when(i % 2 == 0, "Female").otherwise("Male").alias("gender"), F.when(i % 3 == 0, "Grad").otherwise("Under").alias("academic"),
+        (i % 14 + 17).cast("int").alias("age"), (F.floor(i % 14 / 3) + 1).cast("int").alias("age_cate"), stay.alias("stay"),
+        F.when(stay <= 1, "Short").when(stay <= 3, "Medium").when(stay > 3, "Long").alias("stay_cate"),
+        (i % 5 + 1).cast("int").alias("japanese"), level(i % 5).alias("japanese_cate"),
+        (second + 1).cast("int").alias("english"), level(second).alias("english_cate"), todep.alias("todep"),
+        banded(todep, DEPRESSION_BOUNDS, fixed.SEVERITY_BANDS).alias("depsev"), many(" ").alias("tosc"), many("\n").alias("toas"),
+        F.when(F.col("toxic") == 1, "Yes").when(F.col("toxic") == 0, "No").alias("suicide"))
+
+
 def dashboard_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail sales by region and category; the two rates of a line give a profit that can be a loss."""
     sales = F.col("l_extendedprice").cast(MONEY)
