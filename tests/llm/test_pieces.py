@@ -60,7 +60,7 @@ def test_pieces_are_committed_while_the_text_streams():
     given, behind = "", 0
     for p in pieces.search(model, stream()):
         behind = max(behind, read - len(given))
-        given += p
+        given += model.piece(p)
     assert given == text and behind <= 4 * pieces.LOOK_AFTER * model.longest
     assert pieces.piece_ids(model, pieces.search(model, "▁" + text)) == LIBRARY.encode(text)
 
