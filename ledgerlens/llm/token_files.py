@@ -126,7 +126,7 @@ class Encoder:
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        os.environ |= {"TOKENIZERS_PARALLELISM": "false", "RAYON_NUM_THREADS": "1"}  # a task has one core
         if path not in cls._own:
             cls._own[path] = cls(path)
         return cls._own[path]
@@ -135,7 +135,7 @@ class Encoder:
         split = [t.split() if t else [] for t in texts]
         missing: set[bytes] = set()
         for words in split:
-            missing |= set(words) - self.cache.keys()
+            missing |= set(words).difference(self.cache)
         found = self.learn(list(missing))
         out = [b"".join([self.cache[w] if w in self.cache else found[w] for w in words]) if found else
                b"".join([self.cache[w] for w in words]) for words in split]
