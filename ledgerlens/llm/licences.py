@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerlens.llm.common import bounded_batches, column
+from ledgerlens.llm.common import bounded_batches, bounded_sample, column
 
 UNKNOWN = "unknown"
 #: Documents, and most characters of each, whose lines stand for the class of everything else in training.
@@ -220,8 +220,8 @@ def scanner(model: Classifier):
 def sampled_lines(df: DataFrame, id_column: str, text_column: str) -> list[str]:
     """Lines without anchors of a bounded sample of documents, by a hash of their id."""
     text = column(text_column)
-    docs = (df.select(column(id_column).alias("id"), text.alias("text")).filter(F.length("text").between(1, SAMPLE_CHARS))
-            .orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCS).select("text").collect())
+    short = df.select(column(id_column).alias("id"), text.alias("text")).filter(F.length("text").between(1, SAMPLE_CHARS))
+    docs = bounded_sample(short, "id", SAMPLE_DOCS).select("text").collect()
     lines = [x for r in docs for x in r["text"].split("\n") if x.strip() and not any(a in x.lower().encode() for a in ANCHORS)]
     return lines[:SAMPLE_LINES]
 

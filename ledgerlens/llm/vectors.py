@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ledgerlens.llm.common import bounded_batches, column, shuffle_partitions
+from ledgerlens.llm.common import bounded_batches, bounded_sample, column, shuffle_partitions
 from ledgerlens.session import materialize
 
 SCALE = 256.0
@@ -234,7 +234,7 @@ def top_products(df: DataFrame, queries: Column, k: int = 5, id_column: str = "v
     if facts["most"] is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     most, dim = facts["most"], max(1, facts["bytes"] // 4)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").collect()
+    sample = bounded_sample(rows, "id", SAMPLE).select("vec").collect()
     pivots = centres(lifted(rows_of([bytes(r["vec"]) for r in sample], dim), most))
 
     place = Window.partitionBy("vec").orderBy("id")
