@@ -30,8 +30,8 @@ from ledgerlens.session import materialize
 
 HALVES = 8
 HASHES = 4 * HALVES
-#: Signatures of a pair may fall short of what the threshold lets expect by so many standard deviations.
-SLACK = 5
+#: Ways in which the ids are ordered to choose the members that stand for a bucket.
+ORDERS = 2
 #: Words that a Python worker remembers the hash of, and shingles that are hashed at once.
 CACHED, AT_ONCE = 1 << 20, 1 << 14
 #: The map that thins out the texts to be read again has so many numbers of 64 bits, whatever the input.
@@ -84,8 +84,7 @@ def minhashes(sets: np.ndarray) -> np.ndarray:
 
 
 HALF_NAMES = [f"{side}{i}" for side in "ab" for i in range(HALVES)]
-MARK_NAMES = [f"s{i}" for i in range(HASHES // 8)]
-LONGS = ["n", "lo", "hi", *HALF_NAMES, *MARK_NAMES]
+LONGS = ["n", "lo", "hi", *HALF_NAMES]
 SKETCH = T.StructType([T.StructField("doc", T.LongType())] + [T.StructField(c, T.LongType()) for c in LONGS])
 
 
@@ -105,8 +104,7 @@ def sketcher(width: int):
                 m = minhashes(s)
                 rows[r, 0] = len(s)
                 rows[r, 1:3] = digest(s)
-                rows[r, 3:3 + 2 * HALVES] = mixed(m[0::2] * M1 + m[1::2]).view(np.int64)
-                rows[r, 3 + 2 * HALVES:] = ((m >> np.uint64(24)) & np.uint64(255)).astype(np.uint8).view(np.int64)
+                rows[r, 3:] = mixed(m[0::2] * M1 + m[1::2]).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(len(LONGS)))],
                                              names=SKETCH.names)
 
@@ -145,28 +143,6 @@ def thinned(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return kept.join(ids, F.col("doc") == F.col("id"), "left_semi")
 
 
-def equal_marks(left: str, right: str) -> Column:
-    """How many of the minhashes of two sides have equal low bytes."""
-    differing = F.lit(0)
-    for s in MARK_NAMES:
-        x = F.col(f"{left}{s}").bitwiseXOR(F.col(f"{right}{s}"))
-        for k in (4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, k))
-        differing += F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
-    return F.lit(HASHES) - differing
-
-
-def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the similarity and whose minhashes do not speak clearly against it."""
-    t = percent / 100
-    least = int(HASHES * t - SLACK * (HASHES * t * (1 - t)) ** 0.5)
-    for side in "ab":
-        pairs = pairs.join(reps.select(F.col("rep").alias(f"{side}_id"), *[F.col(c).alias(f"{side}_{c}") for c in ("n", *MARK_NAMES)]),
-                           F.col(side) == F.col(f"{side}_id"))
-    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
-    return pairs.filter(sizes & (equal_marks("a_", "b_") >= least)).select("a", "b").distinct()
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     for side in "ab":
@@ -179,14 +155,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def pivoted(reps: DataFrame) -> DataFrame:
     """(bucket, id, first, second): members of buckets of two or more, with the two that stand for the bucket.
 
-    The low bits of a bucket's key tell its first half, and each first half orders
-    the ids by a mask of its own, so that different members stand for the buckets
-    of one group.
+    They are the first and the last member in an order of the ids that a mask
+    gives, one of ORDERS masks by the low bits of the bucket's key. So a group that
+    fills many buckets is compared with few of its members, but not with one only.
     """
-    keys = F.array(*[F.xxhash64(F.lit(i * HALVES + j), F.col(f"a{i}"), F.col(f"b{j}")).bitwiseAND(F.lit(~(HALVES - 1))).bitwiseOR(F.lit(i))
+    keys = F.array(*[F.xxhash64(F.lit(i * HALVES + j), F.col(f"a{i}"), F.col(f"b{j}"))
                      for i in range(HALVES) for j in range(HALVES)])
     tables = reps.select(F.col("rep").alias("id"), F.explode(keys).alias("bucket"))
-    masked = F.xxhash64(F.lit(3), F.col("bucket").bitwiseAND(F.lit(HALVES - 1)))
+    masked = F.xxhash64(F.lit(3), F.col("bucket").bitwiseAND(F.lit(ORDERS - 1)))
     ends = tables.groupBy("bucket").agg(F.min(F.col("id").bitwiseXOR(masked)).alias("first"), F.max(F.col("id").bitwiseXOR(masked)).alias("second"))
     several = ends.filter("first <> second").select(
         "bucket", F.col("first").bitwiseXOR(masked).alias("first"), F.col("second").bitwiseXOR(masked).alias("second"))
@@ -242,14 +218,14 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_colum
     docs = df.select(column(id_column).cast("bigint").alias("doc"), column(text_column).alias("text"))
     sketch = materialize(docs.mapInArrow(sketcher(shingle), SKETCH), "sketches")
     reps = materialize(sketch.filter("n > 0").groupBy("lo", "hi").agg(
-        F.min("doc").alias("rep"), *[F.first(c).alias(c) for c in ("n", *HALF_NAMES, *MARK_NAMES)]), "classes")
+        F.min("doc").alias("rep"), *[F.first(c).alias(c) for c in HALF_NAMES]), "classes")
     members = materialize(pivoted(reps.filter("rep is not null")), "members")
     pairs = (members.select("id", F.explode(F.array("first", "second")).alias("p")).filter("id <> p")
              .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
     sets = materialize(thinned(docs, members.select("id").distinct()).mapInArrow(set_reader(shingle), SETS), "sets")
-    links = materialize(confirmed(likely(pairs, reps, percent), sets, percent), "links")
+    links = materialize(confirmed(pairs, sets, percent), "links")
     rest = materialize(unsettled(members, connected(links)), "unsettled")
-    more = confirmed(likely(across(sets, rest, percent), reps, percent), sets, percent)
+    more = confirmed(across(sets, rest, percent), sets, percent)
     components = connected(links.unionByName(more))
     # Distinct classes can share an id; it is then one node, and their rows one document.
     node = reps.select("lo", "hi", "rep").join(components, F.col("rep") == F.col("id"), "left").select(
