@@ -225,7 +225,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_colum
     sets = materialize(thinned(docs, members.select("id").distinct()).mapInArrow(set_reader(shingle), SETS), "sets")
     links = materialize(confirmed(pairs, sets, percent), "links")
     rest = materialize(unsettled(members, connected(links)), "unsettled")
-    more = confirmed(across(sets, rest, percent), sets, percent)
+    more = confirmed(across(sets, rest, percent).join(pairs, ["a", "b"], "left_anti"), sets, percent)
     components = connected(links.unionByName(more))
     # Distinct classes can share an id; it is then one node, and their rows one document.
     node = reps.select("lo", "hi", "rep").join(components, F.col("rep") == F.col("id"), "left").select(
