@@ -57,12 +57,20 @@ class Model:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.id = {p.piece: i for i, p in enumerate(m.pieces) if p.type == NORMAL}
         self.longest = max(map(len, self.id))
-        self.suffixes = {p[k:] for p in self.id for k in range(len(p))}
+        #: The pieces read backwards: a dict for each next character, the piece's number under 0.
+        self.trie: dict = {}
+        for p, number in self.id.items():
+            node = self.trie
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[0] = number
         self.least = min(self.scores[i] for i in self.id.values()) - UNKNOWN_PENALTY
         #: No piece has a space after another character: every run of spaces begins a chunk that stands alone.
         self.leading_spaces = not any(SPACE in p.lstrip(SPACE) for p in self.id)
+        #: Neighbours within some piece; between two other characters every path has a border.
+        self.inside = {p[k:k + 2] for p in self.id for k in range(len(p) - 1)}
         self.chunks: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.text = ["" if p.type not in (NORMAL, UNKNOWN) else p.piece.replace(SPACE, " ") if p.type == NORMAL else " ⁇ " for p in m.pieces]
 
     @classmethod
@@ -86,105 +94,121 @@ class Model:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stable(self, left: str, right: str) -> bool:
-        """Whether two pieces stay as they are next to each other; ``left`` may be empty."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > CACHED:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [p for p in (left, right) if p]
+    def piece(self, number: int) -> str:
+        """The piece of a number in a path; numbers below START are characters without a piece."""
+        return self.pieces[number] if number >= 0 else "" if number == START else chr(START - 1 - number)
+
+    def stable(self, left: int, right: int) -> bool:
+        """Whether two pieces stay as they are next to each other; ``left`` may be START."""
+        if len(self.pairs) > CACHED:
+            self.pairs.clear()
+        parts = [p for p in (self.piece(left), self.piece(right)) if p]
+        known = self.pairs[left, right] = self.merged("".join(parts)) == parts
         return known
 
 
-def search(model: Model, text: Iterable[str]) -> Iterator[str]:
-    """The pieces of a normalised text, given out as soon as they are final. ``text`` may be a stream of characters."""
-    held = ""  # characters from position ``base`` on
-    base = 0
-    back: dict[int, tuple[str, int, float]] = {0: ("", 0, 0.0)}  # last piece, its start, score of the path
-    look = LOOK_AFTER * model.longest
-    numbers, suffixes, merges, stable = model.id, model.suffixes, model.merges, model.stable
-
-    def reach(i: int) -> None:
-        """The best path to position ``i``; its last piece begins in the window."""
-        best: tuple[str, int, float] | None = None
-        for start in range(i - 1, max(base, i - model.longest) - 1, -1):
-            piece = held[start - base:i - base]
-            if i - start > 1:
-                if piece not in suffixes:
-                    break
-                if piece not in numbers:
-                    continue
-            before = back.get(start)
-            if before is None:
-                continue
-            if merges:
-                if (i - start == 1 or stable("", piece)) and (not before[0] or stable(before[0], piece)):
-                    best = (piece, start, 0.0)
-                    break
-            else:
-                number = numbers.get(piece)
-                total = before[2] + (model.least if number is None else model.scores[number])
-                if best is None or total >= best[2]:
-                    best = (piece, start, total)
-        if best is not None:
-            back[i] = best
-
-    def path(end: int, stop: int) -> list[str]:
+#: In place of a piece's number: the beginning of the text, and a position that no path reaches.
+START, NOWHERE = -1, -(1 << 62)
+
+
+def search(model: Model, text: Iterable[str]) -> Iterator[int]:
+    """The pieces of a normalised text as numbers, given out as soon as they are final; see :meth:`Model.piece`.
+
+    ``text`` may be a stream of characters.
+    """
+    merges, pairs, longest = model.merges, model.pairs, model.longest
+    held = ""  # characters that are not committed
+    # For each position from the last committed one: the last piece of its path, where it begins, the path's score.
+    last, begin, score = [START], [0], [0.0]
+    look = LOOK_AFTER * longest
+
+    def path(end: int, stop: int) -> list[int]:
         out = []
         while end > stop:
-            piece, end, _ = back[end]
-            out.append(piece)
+            out.append(last[end])
+            end = begin[end]
         return out[::-1]
 
-    i = 0
     for c in text:
         held += c
-        i += 1
-        reach(i)
-        if i - base >= look:
-            alive = [k for k in range(i - model.longest + 1, i + 1) if k in back]
+        i = len(held)
+        ending: list[tuple[int, int]] = []  # pieces that end here, shortest first, with their start
+        node = model.trie
+        for start in range(i - 1, max(0, i - longest) - 1, -1):
+            node = node.get(held[start])
+            number = node.get(0) if node else None
+            if number is None and start == i - 1:
+                number = START - 1 - ord(c)
+            if number is not None and last[start] != NOWHERE:
+                ending.append((number, start))
+            if node is None:
+                break
+        best, best_start, best_score = NOWHERE, i - 1, 0.0
+        for number, start in reversed(ending):
+            if merges:
+                known = pairs.get((last[start], number))
+                if model.stable(last[start], number) if known is None else known:
+                    best, best_start = number, start
+                    break
+            else:
+                total = score[start] + (model.scores[number] if number >= 0 else model.least)
+                if best == NOWHERE or total > best_score:
+                    best, best_start, best_score = number, start, total
+        last.append(best)
+        begin.append(best_start)
+        score.append(best_score)
+        if i >= look:
+            alive = [k for k in range(i - longest + 1, i + 1) if last[k] != NOWHERE]
             common = max(alive)
             for k in alive:  # walk back whichever of the two is later until they meet
                 while common != k:
                     if common > k:
-                        common = back[common][1]
+                        common = begin[common]
                     else:
-                        k = back[k][1]
-            if common > base:
-                yield from path(common, base)
-                keep = back[common]
-                for k in range(base, common):
-                    back.pop(k, None)
-                held = held[common - base:]
-                base = common
-                back[base] = (keep[0], base, keep[2])
-            look = max(LOOK_AFTER * model.longest, 2 * (i - base))
-    yield from path(i, base)
-
-
-def piece_ids(model: Model, pieces: Iterable[str]) -> list[int]:
-    """Ids of pieces; a character without a piece becomes its bytes, or the unknown id if the model has no bytes."""
+                        k = begin[k]
+            if common > 0:
+                yield from path(common, 0)
+                held = held[common:]
+                last, score = last[common:], score[common:]
+                begin = [max(0, b - common) for b in begin[common:]]
+            look = max(LOOK_AFTER * longest, 2 * len(held))
+    yield from path(len(held), 0)
+
+
+def piece_ids(model: Model, path: Iterable[int]) -> list[int]:
+    """Ids of a path; a character without a piece becomes its bytes, or the unknown id if the model has no bytes."""
     out: list[int] = []
-    for p in pieces:
-        number = model.id.get(p)
-        if number is not None:
+    for number in path:
+        if number >= 0:
             out.append(number)
         elif model.bytes:
-            out += [model.bytes[b] for b in p.encode("utf-8")]
+            out += [model.bytes[b] for b in model.piece(number).encode("utf-8")]
         else:
             out.append(model.unknown)
     return out
 
 
+def remembered(model: Model, text: str, ids: bytes) -> bytes:
+    if len(text) <= CACHED_CHARS:
+        if len(model.chunks) > CACHED:
+            model.chunks.clear()
+        model.chunks[text] = ids
+    return ids
+
+
 def chunk_ids(model: Model, chunk: str) -> bytes:
+    """Ids of a chunk; it is cut where no piece can reach across, and the parts are searched one by one."""
     found = model.chunks.get(chunk)
-    if found is None:
-        found = np.array(piece_ids(model, search(model, chunk)), "<i4").tobytes()
-        if len(chunk) <= CACHED_CHARS:
-            if len(model.chunks) > CACHED:
-                model.chunks.clear()
-            model.chunks[chunk] = found
-    return found
+    if found is not None:
+        return found
+    inside, out, begin = model.inside, [], 0
+    cuts = [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in inside]
+    for cut in [*cuts, len(chunk)]:
+        span = chunk[begin:cut]
+        ids = model.chunks.get(span)
+        out.append(remembered(model, span, np.array(piece_ids(model, search(model, span)), "<i4").tobytes()) if ids is None else ids)
+        begin = cut
+    return remembered(model, chunk, b"".join(out)) if cuts else out[0]
 
 
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
