@@ -58,8 +58,12 @@ def literal_score(value: str) -> float:
     return entropy + classes - 1
 
 
-def pairs(text: str, start: int, stop: int, constants: dict[str, tuple[str, int, int]]) -> Iterable[tuple[str, str, int, int]]:
-    """Name, literal and the literal's place for each assignment in one statement's range of ``text``.
+#: A literal, and the places of its parts: one for each run of parts that stand side by side, and those of the names in it.
+Literal = tuple[str, tuple[tuple[int, int], ...]]
+
+
+def pairs(text: str, start: int, stop: int, constants: dict[str, Literal]) -> Iterable[tuple[str, str, tuple[tuple[int, int], ...]]]:
+    """Name, literal and the places of the literal's parts for each assignment in one statement's range of ``text``.
 
     ``constants`` holds the literals that names stand for so far; it is read and extended.
     """
@@ -72,40 +76,45 @@ def pairs(text: str, start: int, stop: int, constants: dict[str, tuple[str, int,
             i += 1
             continue
         i += 2
-        parts: list[tuple[str, int, int]] = []
+        literal, spans, beside = "", [], False
         while i < len(tokens):
             kind, value, a, b = tokens[i]
-            if kind == "quoted":
-                parts.append((value[1:-1], a + 1, b - 1))
-            elif kind == "name" and value in constants:
-                parts.append(constants[value])
-            elif kind in ("name", "bare"):
-                parts.append((value, a, b) if kind == "bare" or any(c.isdigit() for c in value) else ("", a, b))
+            if kind == "name" and value in constants:
+                literal += constants[value][0]
+                spans += constants[value][1]
+                beside = False
+            elif kind == "quoted" or kind == "bare" or kind == "name" and any(c.isdigit() for c in value):
+                if kind == "quoted":
+                    value, a, b = value[1:-1], a + 1, b - 1
+                if value:
+                    literal += value
+                    spans.append((spans.pop()[0] if beside else a, b))
+                    beside = True
+            elif kind == "name":
+                beside = False
             else:
                 break
             i += 1
             if i >= len(tokens) or tokens[i][1] != "+":
                 break
             i += 1
-        literal = "".join(p[0] for p in parts)
-        if parts and literal:
-            found = (literal, min(p[1] for p in parts), max(p[2] for p in parts))
-            constants[name] = found
-            yield name, *found
+        if literal:
+            constants[name] = literal, tuple(dict.fromkeys(spans))
+            yield name, *constants[name]
 
 
 def lexed(text: str) -> list[tuple[int, int]]:
-    """Places of literals that a sensitive name ends up with."""
+    """Places of the parts of literals that a sensitive name ends up with."""
     found: list[tuple[int, int]] = []
-    constants: dict[str, tuple[str, int, int]] = {}
+    constants: dict[str, Literal] = {}
     begin = 0
     for line in text.split("\n"):
         end = begin + len(line)
         if "=" in line or ":" in line:
-            for name, literal, a, b in pairs(text, begin, end, constants):
+            for name, literal, spans in pairs(text, begin, end, constants):
                 if len(literal) >= LEAST_LITERAL and (n := name_score(name)) >= LEAST_NAME and not PLACEHOLDERS.match(literal) \
                         and " " not in literal and any(c.isdigit() for c in literal) and n + literal_score(literal) >= LEAST_TOTAL:
-                    found.append((a, b))
+                    found += spans
         begin = end + 1
     return found
 

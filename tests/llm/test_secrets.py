@@ -39,6 +39,14 @@ def test_lexer_follows_names():
     assert found('{"private_key" : "9fQz-77aB", "size": "12345678"}') == ["9fQz-77aB"]
 
 
+def test_parts_of_a_literal_are_reported_each_at_its_place():
+    clean = "a clean line\n" * 400
+    text = f'prefix = "sk9_live"\n{clean}client_auth = prefix + "Zx81Qq" + "77"\n'
+    assert found(text) == ["sk9_live", 'Zx81Qq" + "77']
+    assert secrets.redacted(text.encode()) == f'prefix = "<lexed>"\n{clean}client_auth = prefix + "<lexed>"\n'
+    assert found('a = "Zx81"\nb = "Qq77"\nauth_key = "m" + a + "n" + b') == ["Zx81", "Qq77", "m", "n"]
+
+
 def test_lexer_leaves_plain_text_alone():
     for text in ("note: the key 12345678 is lost", "password: <your password>", "keynote = 'abc12345'", "total: 123456789", "secret: the word is mum",
                  "private_key = '${PRIVATE_KEY_1}'", "width=1234567 height=7654321"):
