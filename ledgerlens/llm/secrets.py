@@ -2,9 +2,12 @@
 
 Fixed patterns find what has a known shape. The lexer finds the rest: it reads
 ``name = literal`` pairs as they stand in source code and configuration (also
-``name: literal``, ``"name": literal`` and ``name => literal``), joins literals
-that are added up, follows names that stand for earlier literals of the text,
-and scores each literal by the name it ends up in.
+``name: literal``, ``"name": literal`` and ``name => literal``), on the same line
+or behind line breaks, comments and opening brackets, joins literals that are
+added up, follows names that stand for earlier literals of the text, and scores
+each literal by the name it ends up in. Bare literals need a digit; on a later
+line than their name they must stand alone. Quoted ones may have any length and,
+in threefold marks, line breaks.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable
+from dataclasses import dataclass
 from hashlib import sha256
 
 import pyarrow as pa
@@ -39,10 +43,30 @@ NAME_SCORES = {
 #: Literals that stand for a secret but are none.
 PLACEHOLDERS = re.compile(r"(?i)\A(?:x+|\*+|\.+|<.*>|\$\{?.*\}?|%.*%|none|null|true|false|changeme|example|your[_-].*|todo|redacted)\Z")
 LEAST_NAME, LEAST_TOTAL, LEAST_LITERAL = 3, 6.0, 6
-
-TOKEN = re.compile(
-    r"""(?P<name>[A-Za-z_$][A-Za-z0-9_$.\-]{0,127})|(?P<quoted>"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}')"""
-    r"""|(?P<op>:=|=>|==|!=|<=|>=|[=:+])|(?P<bare>[0-9][A-Za-z0-9_+/=.\-]*)|(?P<end>[\n;,{}()\[\]])|(?P<other>[^\s])""")
+#: What a quoted literal loses without a digit, and for its share of white space.
+NO_DIGIT, SPACES = 1.0, 20.0
+
+#: What stands between a name and its literal.
+OP = re.compile(r":=|=>|(?<![=!<>:])=(?!=)|(?<!:):(?![:=])")
+NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.\-]*+")
+NAME_BACKWARDS = re.compile(r"[A-Za-z0-9_$.\-]+")
+#: Behind the mark a literal may come after line breaks, comments and opening brackets; YAML marks a block with | or >.
+COMMENT = re.compile(r"(?<=\s)(?:#|//(?=\s))[^\n]*+(?:\n|\Z)")
+GAP = re.compile(rf"(?:\s|\\\n|[(\[{{]|{COMMENT.pattern}|[|>][+-]?[0-9]?(?=[ \t]*\n))*+")
+WITHIN = re.compile(r"[ \t(\[{]*+")
+OPENED = re.compile(r"""(?:[A-Za-z@]{1,2}(?=["']))?("{3}|'{3}|"|')""")
+BODIES = {'"': re.compile(r'(?:[^"\\\n]++|\\[^\n])*+'), "'": re.compile(r"(?:[^'\\\n]++|\\[^\n])*+"),
+          '"' * 3: re.compile(r'(?:[^"\\]++|\\[\s\S]|"(?!""))*+'), "'" * 3: re.compile(r"(?:[^'\\]++|\\[\s\S]|'(?!''))*+")}
+BARE = re.compile(r"[A-Za-z0-9+/_.=\-]++")
+DIGIT = re.compile(r"[0-9]")
+#: A plus sign that a further part follows, on a new line only if that part is quoted; quoted parts in brackets need none.
+JOIN = re.compile(r"""[ \t]*(?:\\\n[ \t]*)?\+(?![+=])\s*(?=["'A-Za-z_$0-9])|\s*\+\s*(?=["'])""")
+BESIDE = re.compile(r"""(?:\s|\\\n)*+(?=["'])""")
+COMMA = re.compile(rf"\s*,(?:\s|{COMMENT.pattern})*+")
+#: Behind a value: it is the name of a further assignment. At a bare value on a later line: likewise, and what may follow such a value.
+KEY = re.compile(r"[ \t]*(?::(?!:)|=>|=(?!=))")
+HEAD = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.\-]*=+[^=\s]")
+ALONE = re.compile(r"[ \t\r]*[)\]},;]*[ \t\r]*(?:(?:#|//)[^\n]*)?(?:\n|\Z)")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -58,64 +82,141 @@ def literal_score(value: str) -> float:
     return entropy + classes - 1
 
 
-#: A literal, and the places of its parts: one for each run of parts that stand side by side, and those of the names in it.
-Literal = tuple[str, tuple[tuple[int, int], ...]]
+@dataclass(frozen=True)
+class Literal:
+    """Places of the different texts it is joined from, its length, the places to report, and whether a part is quoted.
 
+    Parts that stand side by side are one place to report; those of a name stay where they are.
+    """
 
-def pairs(text: str, start: int, stop: int, constants: dict[str, Literal]) -> Iterable[tuple[str, str, tuple[tuple[int, int], ...]]]:
-    """Name, literal and the places of the literal's parts for each assignment in one statement's range of ``text``.
+    pieces: tuple[tuple[int, int], ...]
+    length: int
+    spans: tuple[tuple[int, int], ...]
+    quoted: bool
+
+
+class Reader:
+    """Reads the assignments of one text; ``constants`` holds the literals that names stand for so far."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.constants: dict[str, Literal] = {}
+        self.unclosed: dict[str, int] = {}  # up to where a quotation mark is known to have no partner
+        self.run = (0, 0, -1)  # the last run of bare characters, and its last digit
+
+    def name_before(self, floor: int, at: int) -> str:
+        part = self.text[floor:at]
+        name = part.rstrip()
+        if "\n" in part[len(name):]:
+            return ""
+        if name[-1:] in ('"', "'"):
+            mark = name[-1]
+            name = name[:-1]
+            if (j := name.rfind(mark)) >= 0 and "\n" not in name[j:]:
+                return name[j + 1:]
+        m = NAME_BACKWARDS.match(name[::-1])
+        return m[0][::-1].lstrip("0123456789.-") if m else ""
+
+    def quoted(self, at: int) -> tuple[int, int, int] | None:
+        """Start and end of what is quoted at ``at``, and where the quotation ends."""
+        m = OPENED.match(self.text, at)
+        for mark in dict.fromkeys((m[1], m[1][0])) if m else ():
+            start = m.start(1) + len(mark)
+            if start > self.unclosed.get(mark, -1):
+                end = BODIES[mark].match(self.text, start).end()
+                if self.text.startswith(mark, end):
+                    return start, end, end + len(mark)
+                self.unclosed[mark] = end
+        return None
 
-    ``constants`` holds the literals that names stand for so far; it is read and extended.
-    """
-    tokens = [(m.lastgroup, m[0], m.start(), m.end()) for m in TOKEN.finditer(text, start, stop)]
-    i = 0
-    while i < len(tokens):
-        kind, value, _, _ = tokens[i]
-        name = value if kind == "name" else value[1:-1] if kind == "quoted" else ""
-        if not name or i + 2 >= len(tokens) or tokens[i + 1][1] not in ("=", ":", ":=", "=>"):
-            i += 1
-            continue
-        i += 2
-        literal, spans, beside = "", [], False
-        while i < len(tokens):
-            kind, value, a, b = tokens[i]
-            if kind == "name" and value in constants:
-                literal += constants[value][0]
-                spans += constants[value][1]
-                beside = False
-            elif kind == "quoted" or kind == "bare" or kind == "name" and any(c.isdigit() for c in value):
-                if kind == "quoted":
-                    value, a, b = value[1:-1], a + 1, b - 1
-                if value:
-                    literal += value
-                    spans.append((spans.pop()[0] if beside else a, b))
-                    beside = True
-            elif kind == "name":
+    def bare(self, at: int) -> tuple[int, bool]:
+        """End of the bare characters at ``at``, and whether there is a digit among them."""
+        if not self.run[0] <= at < self.run[1]:
+            m = BARE.match(self.text, at)
+            if not m:
+                return at, False
+            self.run = at, m.end(), max((d.start() for d in DIGIT.finditer(self.text, at, m.end())), default=-1)
+        end = self.run[1]
+        if end - at > 1 and self.text[end - 1] == "+" and JOIN.match(self.text, end - 1):
+            end -= 1
+        return end, at <= self.run[2]
+
+    def literal(self, at: int, opened: bool) -> tuple[Literal, int]:
+        """The literal at ``at``, without pieces if there is none, and where it ends."""
+        pieces: list[tuple[int, int]] = []
+        spans: list[tuple[int, int]] = []
+        length, beside, quoted, end = 0, False, False, at
+        while True:
+            n = NAME.match(self.text, at)
+            if q := self.quoted(at):
+                a, b, end = q
+                quoted, counts = True, b > a
+            elif n and n[0] in self.constants and self.text[n.end():n.end() + 1] not in ("/", "="):
+                known, end, counts = self.constants[n[0]], n.end(), False
+                pieces += known.pieces
+                spans += known.spans
+                length += known.length
+                quoted |= known.quoted
                 beside = False
             else:
+                a, (b, counts) = at, self.bare(at)
+                if a == b:
+                    break
+                end, beside = b, beside and counts
+            if counts:
+                pieces.append((a, b))
+                spans.append((spans.pop()[0] if beside else a, b))
+                length += b - a
+                beside = True
+            follows = JOIN.match(self.text, end) or (BESIDE.match(self.text, end) if opened and q else None)
+            if not follows:
                 break
-            i += 1
-            if i >= len(tokens) or tokens[i][1] != "+":
-                break
-            i += 1
-        if literal:
-            constants[name] = literal, tuple(dict.fromkeys(spans))
-            yield name, *constants[name]
+            at = follows.end()
+        return Literal(tuple(dict.fromkeys(pieces)), length, tuple(dict.fromkeys(spans)), quoted), end
+
+    def pairs(self) -> Iterable[tuple[str, Literal]]:
+        """Name and literal of each assignment; a list gives a pair for each of its literals."""
+        text, at, floor, passed = self.text, 0, 0, 0
+        while m := OP.search(text, at):
+            name = self.name_before(floor, m.start())
+            at = floor = m.end()
+            if not name:
+                continue
+            here = (GAP if at >= passed else WITHIN).match(text, at).end()  # one in a comment that was passed over stays in it
+            passed = max(passed, here)
+            gap = COMMENT.sub("\n", text[at - 1:here])[1:]
+            opened, later = any(c in gap for c in "([{"), "\n" in gap
+            found: list[Literal] = []
+            while True:
+                value, end = self.literal(here, opened)
+                if end == here or (opened or later) and KEY.match(text, end):
+                    break
+                if later and not opened and not value.quoted and (HEAD.match(text, here) or not ALONE.match(text, end)):
+                    break
+                if value.pieces:
+                    found.append(value)
+                if value.quoted or value.pieces and name_score(name) >= LEAST_NAME:
+                    at = floor = end  # else the value may hold an assignment of its own
+                comma = COMMA.match(text, end) if opened else None
+                if not comma:
+                    break
+                here = comma.end()
+            if len(found) == 1:
+                self.constants[name] = found[0]
+            yield from ((name, x) for x in found)
 
 
 def lexed(text: str) -> list[tuple[int, int]]:
     """Places of the parts of literals that a sensitive name ends up with."""
     found: list[tuple[int, int]] = []
-    constants: dict[str, Literal] = {}
-    begin = 0
-    for line in text.split("\n"):
-        end = begin + len(line)
-        if "=" in line or ":" in line:
-            for name, literal, spans in pairs(text, begin, end, constants):
-                if len(literal) >= LEAST_LITERAL and (n := name_score(name)) >= LEAST_NAME and not PLACEHOLDERS.match(literal) \
-                        and " " not in literal and any(c.isdigit() for c in literal) and n + literal_score(literal) >= LEAST_TOTAL:
-                    found += spans
-        begin = end + 1
+    for name, x in Reader(text).pairs():
+        if x.length >= LEAST_LITERAL and (n := name_score(name)) >= LEAST_NAME:
+            value = "".join(text[a:b] for a, b in x.pieces)
+            total = n + literal_score(value)
+            if x.quoted:
+                total -= NO_DIGIT * (not DIGIT.search(value)) + SPACES * sum(c.isspace() for c in value) / len(value)
+            if total >= LEAST_TOTAL and not PLACEHOLDERS.match(value):
+                found += x.spans
     return found
 
 

@@ -47,6 +47,31 @@ def test_parts_of_a_literal_are_reported_each_at_its_place():
     assert found('a = "Zx81"\nb = "Qq77"\nauth_key = "m" + a + "n" + b') == ["Zx81", "Qq77", "m", "n"]
 
 
+def test_lexer_takes_whole_values():
+    assert found("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    assert found("client_auth_key: ab12/cd34+ef56==") == ["ab12/cd34+ef56=="]
+    blob = "Zx81/Qq+" * 5000
+    assert found(f'private_key = "{blob}"') == [blob]
+    assert found('private_key = "my dog 77Barks"') == ["my dog 77Barks"] and found('db_pwd = "Correct-horse-Battery"') == ["Correct-horse-Battery"]
+    assert found('k = "Zx81-Qq77"\nclient_auth = k+"abc"') == ["Zx81-Qq77", "abc"]
+    assert found("user=auth_key=Zx81-Qq77") == ["Zx81-Qq77"]
+
+
+def test_lexer_carries_assignments_over_lines():
+    assert found('client_auth = \\\n    "Zx81-Qq77"') == ["Zx81-Qq77"]
+    assert found('client_auth = (  # two parts: one\n    "Zx81-"\n    "Qq77"\n)') == ['Zx81-"\n    "Qq77']
+    assert found("private_key:\n  Zx81-Qq77\nsize: 12") == ["Zx81-Qq77"]
+    assert found('auth_key = [\n  "Zx81-Qq77",\n  "Yw92-Rr88",\n]') == ["Zx81-Qq77", "Yw92-Rr88"]
+    assert found('private_key = """\nZx81Qq77\nYw92Rr88\n"""') == ["\nZx81Qq77\nYw92Rr88\n"]
+    for text in ("client_auth=\nuser9name=abc9defg", 'private_key: {\n  "name9abc": 1}', "private_key:\n  name9abc: 1", "The private key:\n12345678 is lost"):
+        assert found(text) == []
+
+
+def test_lexer_takes_linear_time():
+    for text in ("key=" * 300_000, 'a = \\"' * 200_000, "x = 1\n" + "x = x + x\n" * 100, "auth_key: '" + "x" * 1_000_000, "a: [" * 300_000, "a = # " * 300_000):
+        secrets.scan(text.encode())
+
+
 def test_lexer_leaves_plain_text_alone():
     for text in ("note: the key 12345678 is lost", "password: <your password>", "keynote = 'abc12345'", "total: 123456789", "secret: the word is mum",
                  "private_key = '${PRIVATE_KEY_1}'", "width=1234567 height=7654321"):
