@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlens.llm.common import bounded_batches, column, fresh
 from ledgerlens.session import materialize
@@ -23,7 +23,7 @@ LEAST_WORDS = 6
 UNIT = re.compile(r"[^\n]+?(?:[.!?…。！？]+[\"'”’)\]]*(?=\s)|(?=\n)|\Z)|[^\n]+")
 EDGES = " \t\r\x0b\x0c.,;:!?…\"'“”‘’()[]"
 
-UNITS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()),
+UNITS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()),
                       T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("again", T.BooleanType())])
 
 
@@ -38,57 +38,73 @@ def units(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each unit; ``again`` marks a unit that the same text had before."""
+    """For each row of the table one row with its id, and one for each unit; ``again`` marks a unit that the same text had before."""
     for batch in batches:
-        names, low, high, starts, stops, again = [], [], [], [], [], []
-        for name, raw in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        rows, names, low, high, starts, stops, again, heads = [], [], [], [], [], [], [], []
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for i, (row, name, raw) in enumerate(zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), texts)):
             seen: set[bytes] = set()
+            found = [(None, None, None, None, False, i)]
             for start, stop, normal in units(raw.decode("utf-8", "replace")) if raw else ():
                 d = xxhash.xxh3_128(normal.encode()).digest()
-                names.append(name)
-                low.append(int.from_bytes(d[:8], "little", signed=True))
-                high.append(int.from_bytes(d[8:], "little", signed=True))
-                starts.append(start)
-                stops.append(stop)
-                again.append(d in seen)
+                found.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True),
+                              start, stop, d in seen, None))
                 seen.add(d)
+            rows += [row] * len(found)
+            names += [name] * len(found)
+            for values, own in zip((low, high, starts, stops, again, heads), zip(*found)):
+                values += own
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(starts, pa.int32()),
-             pa.array(stops, pa.int32()), pa.array(again, pa.bool_())], names=UNITS.names)
+            [pa.array(rows, pa.int64()), pa.array(names, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
+             pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(again, pa.bool_()),
+             batch.column("id").take(pa.array(heads, pa.int64()))], names=[*UNITS.names, "id"])
 
 
-def repeated_units(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc, start, stop): every occurrence of a unit but its earliest.
+def written_units(df: DataFrame, id_column: str, text_column: str, row: Column) -> DataFrame:
+    """What ``digests`` gives, written, so that each row keeps its key ``row``."""
+    bounded_batches(df.sparkSession)
+    ids = column(id_column)
+    docs = df.select(row.alias("row"), ids.cast("bigint").alias("doc"), ids.alias("id"), column(text_column).alias("text"))
+    return materialize(docs.mapInArrow(digests, T.StructType([*UNITS, T.StructField("id", docs.schema["id"].dataType)])), "units")
+
+
+def repeated_units(written: DataFrame) -> DataFrame:
+    """(row, start, stop): every occurrence of a unit but its earliest.
 
-    Occurrences are ranked by document id, null last, then by place. The first
-    document of each digest is found with a combined count; only digests that
-    two documents share take part in the join back to the units.
+    Occurrences are ranked by document id, null last, then by place; rows without
+    an id are documents of their own, ranked by row key. The first document of
+    each digest is found with a combined count; only digests that two documents
+    share take part in the join back to the units.
     """
-    bounded_batches(df.sparkSession)
-    docs = df.select(column(id_column).cast("bigint").alias("doc"), column(text_column).alias("text"))
-    found = materialize(docs.mapInArrow(digests, UNITS), "units")
+    found = written.filter("start is not null")
     new = found.filter("not again")
-    shared = new.groupBy("lo", "hi").agg(F.min("doc").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = new.join(shared, ["lo", "hi"]).filter("doc is null or doc <> first")
-    return later.select("doc", "start", "stop").unionByName(found.filter("again").select("doc", "start", "stop"))
+    shared = new.groupBy("lo", "hi").agg(
+        F.min("doc").alias("first"), F.min(F.expr("case when doc is null then row end")).alias("first_row"), F.count("*").alias("n")).filter("n > 1")
+    later = new.join(shared, ["lo", "hi"]).filter("case when first is null then row <> first_row else doc is null or doc <> first end")
+    return later.select("row", "start", "stop").unionByName(found.filter("again").select("row", "start", "stop"))
+
+
+def removals(written: DataFrame) -> DataFrame:
+    """(row, n_removed, removed_chars, removed) of each row that loses a unit."""
+    spans = repeated_units(written).groupBy("row").agg(
+        F.count("*").alias("n_removed"), F.sum(F.col("stop") - F.col("start")).alias("removed_chars"),
+        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    return spans.select("row", "n_removed", "removed_chars", F.array_join(
+        F.transform("spans", lambda s: F.concat_ws(":", s.getField("start"), s.getField("stop"))), ",").alias("removed"))
 
 
 def dedup_units(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``df``: id, n_removed, removed_chars, and the removed spans as start:end, comma-joined.
 
-    Spans are in code points, end exclusive, in order. Null and empty texts have
-    none. Rows of one id are one document: none of them is removed for another,
-    and each lists the spans of all of them once. Rows without an id come last in
-    the ranking and share their spans likewise. An empty table gives no rows;
-    further columns are not read.
+    Spans are in code points of the row's own text, end exclusive, in order. Null
+    and empty texts have none. Rows of one id are one document: none of them is
+    removed for another. Rows without an id are documents of their own and come
+    last in the ranking; one copy of each unit always stays. An empty table gives
+    no rows; further columns are not read.
     """
-    spans = repeated_units(df, id_column, text_column).distinct().groupBy("doc").agg(
-        F.count("*").alias("n_removed"), F.sum(F.col("stop") - F.col("start")).alias("removed_chars"),
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
-    spans = spans.select("doc", "n_removed", "removed_chars", F.array_join(
-        F.transform("spans", lambda s: F.concat_ws(":", s.getField("start"), s.getField("stop"))), ",").alias("removed"))
-    ids = df.select(column(id_column).alias("id"))
-    return ids.join(spans, F.col("id").eqNullSafe(F.col("doc")), "left").select(
+    written = written_units(df, id_column, text_column, F.monotonically_increasing_id())
+    ids = written.filter("start is null").select("row", "id")
+    return ids.join(removals(written), "row", "left").select(
         F.col("id").alias(id_column), F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("removed_chars", F.lit(0)).cast("bigint").alias("removed_chars"), F.coalesce("removed", F.lit("")).alias("removed"))
 
@@ -109,8 +125,8 @@ def without(text: pa.Array, removed: pa.Array) -> pa.Array:
 
 def remove_units(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``df`` with the repeated units cut out of its texts; rows and other columns stay."""
-    spans = dedup_units(df, id_column, text_column).filter("n_removed > 0").dropDuplicates([id_column])
-    name, key = fresh(df, "removed"), fresh(df, "removed_of")
-    spans = spans.select(column(id_column).alias(key), F.col("removed").alias(name))
-    joined = df.join(spans, column(id_column).eqNullSafe(F.col(key)), "left")
-    return joined.withColumn(text_column, without(column(text_column), F.col(name))).drop(name, key)
+    name, key, row = fresh(df, "removed"), fresh(df, "removed_of"), fresh(df, "row_key")
+    keyed = materialize(df.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    spans = removals(written_units(keyed, id_column, text_column, column(row))).select(F.col("row").alias(key), F.col("removed").alias(name))
+    joined = keyed.join(spans, F.col(row) == F.col(key), "left")
+    return joined.withColumn(text_column, without(column(text_column), F.col(name))).drop(name, key, row)

@@ -37,6 +37,17 @@ def test_a_passage_inside_other_text_is_found(spark):
     assert cut[1] == rows[0][1] and "inner sentence" not in cut[2] and cut[2].endswith("It ends other tail")
 
 
+def test_rows_without_an_id_and_rows_of_one_id(spark):
+    unit, other = "This unit of seven words comes twice.", "Another unit of seven words comes here."
+    rows = [(None, unit), (None, f"Short. {unit}"), (None, f"{other} {unit}"), (1, other), (2, f"{other} Tail."), (2, f"Head. {other}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    texts = sorted(r.text for r in passages.remove_units(df).filter("doc_id is null").collect())
+    assert sum(unit in t for t in texts) == 1 and not any(other in t for t in texts)
+    assert [t for t in texts if unit not in t] in ([" ", "Short. "], ["", " "], ["", "Short. "])
+    got = sorted((r.doc_id, r.removed) for r in passages.dedup_units(df).filter("doc_id = 2").collect())
+    assert got == [(2, f"0:{len(other)}"), (2, f"6:{6 + len(other)}")]
+
+
 def test_odd_rows(spark):
     out = passages.dedup_units(odd_rows(spark)).collect()
     assert len(out) == len(ROWS)
