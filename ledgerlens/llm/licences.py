@@ -1,6 +1,7 @@
 """Licence scan: a trained paragraph classifier whose predictions a comparison with templates confirms.
 
-Paragraphs are lines. Their word n-grams go into a multinomial logistic
+Lines are read alone, and the sentences of each paragraph, lines up to the next
+blank one without their comment marks. Their word n-grams go into a multinomial logistic
 regression over licence families and one class for everything else. It is
 trained here, on notices put together from the names and sentences below and on
 lines of the corpus at hand; a held-out part of the notices sets the temperature
@@ -10,7 +11,10 @@ that makes its probabilities honest.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +33,17 @@ GRAM = 3
 # How the licences call themselves, and the sentences they are known by.
 NAMES = {
     "apache": ("the apache license, version 2.0", "apache license 2.0", "apache-2.0", "the apache software license"),
-    "mit": ("the mit license", "mit license", "the mit licence", "the x11 license", "mit-style license"),
-    "bsd": ("the bsd license", "bsd 3-clause license", "bsd-2-clause license", "the new bsd license", "bsd-3-clause"),
-    "gpl": ("the gnu general public license, version 3", "gnu general public license version 2", "the gnu gpl", "gpl-3.0-or-later", "gplv2"),
-    "lgpl": ("the gnu lesser general public license", "lgpl-2.1", "the gnu lgpl", "the gnu library general public license", "lgplv3"),
+    "mit": ("the mit license", "mit license", "the mit licence", "the x11 license", "mit-style license", "spdx-license-identifier: mit"),
+    "bsd": ("the bsd license", "bsd 3-clause license", "bsd-2-clause license", "the new bsd license", "bsd-3-clause", "bsd-2-clause"),
+    "gpl": ("the gnu general public license, version 3", "gnu general public license version 2", "the gnu gpl", "gpl-3.0-or-later", "gplv2",
+            "gpl-3.0", "gpl-2.0", "gplv3", "gnu general public license v3.0", "gnu general public license v2.0", "gnu general public license version 3"),
+    "lgpl": ("the gnu lesser general public license", "lgpl-2.1", "the gnu lgpl", "the gnu library general public license", "lgplv3", "lgpl-3.0", "lgpl-2.0"),
     "agpl": ("the gnu affero general public license", "agpl-3.0", "the gnu agpl", "agplv3"),
     "mpl": ("the mozilla public license, version 2.0", "mpl-2.0", "mozilla public license"),
-    "isc": ("the isc license", "isc license"),
-    "epl": ("the eclipse public license", "epl-2.0", "eclipse public license v1.0"),
+    "isc": ("the isc license", "isc license", "spdx-license-identifier: isc"),
+    "epl": ("the eclipse public license", "epl-2.0", "eclipse public license v1.0", "epl-1.0"),
     "cc-by": ("cc by 4.0", "creative commons attribution 4.0 international", "cc-by-4.0", "the creative commons attribution license"),
-    "cc-by-sa": ("cc by-sa 4.0", "creative commons attribution-sharealike 4.0", "cc-by-sa-3.0"),
+    "cc-by-sa": ("cc by-sa 4.0", "creative commons attribution-sharealike 4.0", "cc-by-sa-3.0", "cc-by-sa-4.0"),
     "cc-by-nc": ("cc by-nc 4.0", "creative commons attribution-noncommercial 4.0", "cc-by-nc-4.0", "cc by-nc-sa 4.0"),
     "cc0": ("cc0 1.0", "cc0 1.0 universal", "creative commons zero", "cc0-1.0"),
     "unlicense": ("the unlicense", "unlicense"),
@@ -73,6 +78,8 @@ OTHER_NAMES = ("a driver license", "the fishing license", "your software license
 ANCHORS = (b"licen", b"copyright", b"gpl", b"apache-", b"mpl-", b"epl-", b"bsd-", b"cc by", b"cc-by", b"cc0", b"creative commons", b"permission",
            b"redistribut", b"public domain")
 
+#: White space and a comment mark in front of a line.
+MARKS = re.compile(r"[ \t]*(?:(?:/\*+!?|//+!?|\*+/?|#+|;+|--+|<!--|%+|dnl\b|REM\b)[ \t]*)?")
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)?")
 
 
@@ -174,21 +181,79 @@ def confirmed(line: str, family: str) -> bool:
 
 
 def scan(model: Classifier, raw: bytes | None) -> list[tuple[str, int, int, float]]:
-    """Family, start, end (code points) and probability of each confirmed line, and of likely ones as unknown."""
+    """Family, start, end (code points) and probability of each confirmed notice, and of likely ones as unknown.
+
+    Lines are read alone first. Then the sentences of each paragraph of several
+    lines are read; a confirmed one takes the place of what its lines gave,
+    unless one of them was confirmed as its family by itself.
+    """
     if not raw or not any(a in lower for lower in (raw.lower(),) for a in ANCHORS):
         return []
-    found, at = [], 0
-    for line in raw.decode("utf-8", "replace").split("\n"):
-        low = line.lower().encode()
-        if any(a in low for a in ANCHORS):
-            for start, part in windows(line):
-                family, p = model.predict(part)
-                if family != UNKNOWN and p >= LEAST_PROBABILITY:
-                    found.append((family if confirmed(part, family) else UNKNOWN, at + start, at + start + len(part), p))
+    found: list[tuple[str, int, int, float]] = []
+    at, text = 0, raw.decode("utf-8", "replace")
+    paragraph: list[tuple[int, str]] = []
+    for line in [*text.split("\n"), ""]:
+        inner = MARKS.match(line)
+        content = line[inner.end():].rstrip()
+        if content.endswith(("*/", "-->")):
+            content = content.rstrip("*/->").rstrip()
+        if content:
+            paragraph.append((at + inner.end(), content))
+            if anchored(line):
+                found += notices(model, windows(line), at)
+        else:
+            if len(paragraph) > 1:
+                found = merged(found, joined(model, paragraph), paragraph[0][0])
+            paragraph = []
         at += len(line) + 1
     return found
 
 
+def anchored(line: str) -> bool:
+    low = line.lower().encode()
+    return any(a in low for a in ANCHORS)
+
+
+def notices(model: Classifier, parts: Iterable[tuple[int, str]], at: int) -> Iterator[tuple[str, int, int, float]]:
+    for start, part in parts:
+        family, p = model.predict(part)
+        if family != UNKNOWN and p >= LEAST_PROBABILITY:
+            yield family if confirmed(part, family) else UNKNOWN, at + start, at + start + len(part), p
+
+
+def joined(model: Classifier, lines: list[tuple[int, str]]) -> list[tuple[str, int, int, float]]:
+    """Notices in the sentences of a paragraph that reach over several of its lines, at their places in the text."""
+    if not any(anchored(x) for _, x in lines):
+        return []
+    starts = list(accumulate((len(x) + 1 for _, x in lines[:-1]), initial=0))
+
+    def place(k: int) -> int:
+        i = bisect_right(starts, k) - 1
+        return lines[i][0] + min(k - starts[i], len(lines[i][1]))
+
+    out = []
+    for start, part in windows(" ".join(x for _, x in lines), 0):
+        lead = len(part) - len(part.lstrip())
+        a, b = start + lead, start + len(part.rstrip())
+        if bisect_right(starts, a) != bisect_right(starts, b - 1):
+            out += [(f, place(a), place(b - 1) + 1, p) for f, _, _, p in notices(model, [(0, part)], 0)]
+    return out
+
+
+def merged(found: list[tuple[str, int, int, float]], more: list[tuple[str, int, int, float]], begin: int) -> list[tuple[str, int, int, float]]:
+    """``found`` with the notices of its last paragraph, which starts at ``begin``, put together from lines and sentences."""
+    k = len(found)
+    while k and found[k - 1][2] > begin:
+        k -= 1
+    own = found[k:]
+    for f, a, b, p in more:
+        inside = [r for r in own if r[1] < b and a < r[2]]
+        if f == UNKNOWN and inside or any(r[0] == f for r in inside):
+            continue
+        own = [r for r in own if r not in inside or r[0] != UNKNOWN] + [(f, a, b, p)]
+    return found[:k] + sorted(own, key=lambda r: (r[1], r[2]))
+
+
 def windows(line: str, size: int = 40):
     """The line, or its sentences if it has more than ``size`` words: a notice inside a long line stands out in its sentence."""
     if len(line.split()) <= size:
@@ -229,7 +294,7 @@ def sampled_lines(df: DataFrame, id_column: str, text_column: str) -> list[str]:
 def find_licences(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``df``: id, n_licences, n_unknown, families, spans as family:start:end.
 
-    ``n_unknown`` counts lines that read like a notice and match no template.
+    ``n_unknown`` counts lines and sentences that read like a notice and match no template.
     Null and empty texts have none. Repeated rows give repeated rows, a null id
     stays null, an empty table gives no rows (and trains on the notices alone);
     further columns are not read.

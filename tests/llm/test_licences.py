@@ -33,6 +33,30 @@ def test_notices(model, text, family):
     assert found[0] == family and padded[found[1]:found[2]] == text
 
 
+@pytest.mark.parametrize("family, lines", [
+    ("gpl", ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+             "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]),
+    ("bsd", ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met:"]),
+    ("isc", ["Permission to use, copy, modify, and/or distribute this software for any", "purpose with or without fee is hereby granted."]),
+])
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// "])
+def test_hard_wrapped_notices(model, family, lines, mark):
+    notice = f"\n{mark}".join(lines)
+    text = f"{mark.rstrip()}\n{mark}{notice}\n{mark.rstrip()}\nint x;"
+    (found,) = [r for r in licences.scan(model, text.encode()) if r[0] != licences.UNKNOWN]
+    assert found[0] == family and text[found[1]:found[2]] == notice
+
+
+@pytest.mark.parametrize("name, family", [("MIT", "mit"), ("GPL-3.0", "gpl"), ("GPL-3.0-only", "gpl"), ("BSD-2-Clause", "bsd"), ("ISC", "isc")])
+def test_identifiers(model, name, family):
+    assert [r[0] for r in licences.scan(model, f"// SPDX-License-Identifier: {name}".encode())] == [family]
+
+
+def test_version_forms(model):
+    for text in ("Licensed under GPLv3", "Released under the GNU General Public License v3.0"):
+        assert [r[0] for r in licences.scan(model, text.encode())] == ["gpl"]
+
+
 def test_other_text_is_left_alone(model):
     for text in ("He renewed his driver license in May.", "The apache helicopter landed.", "Permission to land was granted.", "mit der Bahn", "", None):
         assert [f for f in licences.scan(model, text.encode() if text is not None else None) if f[0] != licences.UNKNOWN] == []
