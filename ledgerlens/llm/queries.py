@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import licences, mixing, neardup, passages, pieces, quality, secrets, sharding, token_files, vectors
+from ledgerlens.llm import (extraction, licences, mixing, neardup, passages, periodic, pieces, quality, resampling, secrets, sharding,
+                             token_files, vectors)
 from ledgerlens.llm.common import table
 from ledgerlens.llm.queries_sql import ORACLES as ORACLES
 
@@ -59,4 +60,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_substring_dedup, op4_mixing, op5_near_duplicates, op6_sharding, op7_token_files, op8_top_k, op9_licence_scan, op10_sentencepiece)}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_quality_rules, op3_substring_dedup, op4_mixing, op5_near_duplicates, op6_sharding, op7_token_files, op8_top_k,
+    op9_licence_scan, op10_sentencepiece, op11_importance_resampling, op12_html_extraction, op13_periodic_runs)}
