@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from ledgerlens.functions import fixed
@@ -56,62 +58,65 @@ def bare_to_number(bare: Column) -> Column:
 
 
 def parse_date(v: Column) -> Column:
-    """Text to timestamp from a closed list of layouts, month first when ambiguous.
-
-    Each layout is tried only on text of its own shape, so most values that are
-    no dates cost a few failed pattern tests and no exception inside the parser.
-    """
+    """Text to timestamp from a closed list of layouts, month first when ambiguous."""
     return stripped_to_date(strip(v))
 
 
-WEEKDAY = r"(?i)^(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?\.?,? +"
-CLOCK = r"^(.+?)(?:,? +|T)([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.[0-9]+)?)? ?([AaPp][Mm])?$"
-COMPACT_CLOCK = r"^([0-9]{8})T([0-9]{2})([0-9]{2})([0-9]{2})?$"
-LONGEST_DATE = 45
-
-
-def two_digit_year(day: Column) -> Column:
-    """A year without its century lies from 1969 to 2068."""
-    return F.when(F.year(day) >= 2069, F.add_months(day, -1200).cast("timestamp")).otherwise(day)
+WEEKDAY = r"(?:(?i:(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?)\.?,? +)?"
+_MONTH, _DAY, _YEAR = r"(?<name>[A-Za-z]{3})[a-z]*\.?", r"(?<d>[0-9]{1,2})(?:st|nd|rd|th)?", r"(?<y>[0-9]{4}|[0-9]{2})"
+#: The layouts of a day. Fields: year, month, day, two numbers of which the first is the month if it can be, a month's name.
+DAYS = (
+    r"(?<y>[0-9]{4})(?<m>[0-9]{2})(?<d>[0-9]{2})(?:T(?<H>[0-9]{2})(?<M>[0-9]{2})(?<S>[0-9]{2})?)?",
+    r"(?<y>[0-9]{4})[-/.](?<m>[0-9]{1,2})[-/.](?<d>[0-9]{1,2})",
+    r"(?<y>[0-9]{4})(?:-(?<m>[0-9]{1,2}))?",
+    rf"(?<a>[0-9]{{1,2}})[-/.](?<b>[0-9]{{1,2}})[-/.]{_YEAR}",
+    rf"{_MONTH}[ -]{_DAY},?[ -]{_YEAR}",
+    rf"{_DAY}[ -]{_MONTH},?[ -]{_YEAR}",
+    rf"{_MONTH},?[ -](?<y>[0-9]{{4}})",
+)
+#: Hour, minute, second, fraction, half of the day, and distance from Greenwich.
+CLOCK = (r"(?:,? +|T)(?<H>[0-9]{1,2}):(?<M>[0-9]{1,2})(?::(?<S>[0-9]{1,2})(?:\.(?<f>[0-9]{1,6})[0-9]*)?)? ?(?<half>[AaPp][Mm])?"
+         r"(?: ?(?:Z|UTC|GMT|(?<sign>[+-])(?<zh>[0-9]{2}):?(?<zm>[0-9]{2})?))?")
+FIELDS = ("y", "m", "d", "a", "b", "name", "H", "M", "S", "f", "half", "sign", "zh", "zm")
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def numbered(pattern: str) -> tuple[str, str]:
+    """The pattern with plain groups, and the replacement that lines its fields up with bars between them.
+
+    Alternatives have groups of the same name; the group that took no part gives nothing.
+    """
+    names = re.findall(r"\(\?<([A-Za-z]+)>", pattern)
+    line = "|".join("".join(f"${i}" for i, n in enumerate(names, 1) if n == field) for field in FIELDS)
+    return re.sub(r"\(\?<[A-Za-z]+>", "(", pattern), line
 
 
-def day_of(text: Column) -> Column:
-    """The day layouts, without a time: numbers in either order, and names of months."""
-    dashed = F.translate(text, "/.", "--")
-    month_first = r"^([A-Za-z]{3})[a-z]*\.?[ -]([0-9]{1,2})(?:st|nd|rd|th)?,?[ -]([0-9]{4}|[0-9]{2})$"
-    day_first = r"^([0-9]{1,2})(?:st|nd|rd|th)?[ -]([A-Za-z]{3})[a-z]*\.?,?[ -]([0-9]{4}|[0-9]{2})$"
-    month_only = r"^([A-Za-z]{3})[a-z]*\.?,?[ -]([0-9]{4})$"
-    named = F.initcap(F.when(text.rlike(month_first), F.regexp_replace(text, month_first, "$1 $2 $3"))
-                      .when(text.rlike(day_first), F.regexp_replace(text, day_first, "$2 $1 $3"))
-                      .when(text.rlike(month_only), F.regexp_replace(text, month_only, "$1 1 $2")))
-    parsed = lambda x, *layouts: F.coalesce(*[F.try_to_timestamp(x, F.lit(p)) for p in layouts])
-    return (
-        F.when(text.rlike(r"^[0-9]{8}$"), parsed(text, "yyyyMMdd"))
-        .when(dashed.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.try_to_timestamp(dashed))
-        .when(text.rlike(r"^[0-9]{4}(-[0-9]{1,2})?$"), F.try_to_timestamp(text))
-        .when(dashed.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"), parsed(dashed, "M-d-yyyy", "d-M-yyyy"))
-        .when(dashed.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"), two_digit_year(parsed(dashed, "M-d-yy", "d-M-yy")))
-        .when(named.rlike(" [0-9]{4}$"), parsed(named, "MMM d yyyy"))
-        .when(named.rlike(" [0-9]{2}$"), two_digit_year(parsed(named, "MMM d yy"))))
+DATE, DATE_FIELDS = numbered(f"^{WEEKDAY}(?:{'|'.join(DAYS)})(?:{CLOCK})?$")
 
 
 def stripped_to_date(text: Column) -> Column:
-    """The date layouts on text without edge whitespace: a day alone, with a clock time, or with a weekday in front."""
-    text = F.when((F.length(text) <= LONGEST_DATE) & text.rlike("[0-9]"), text)
-    text = F.regexp_replace(text, WEEKDAY, "")
-    iso = text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T].*$")
-    compact = F.when(text.rlike(COMPACT_CLOCK), F.regexp_replace(text, COMPACT_CLOCK, "$1 $2:$3:$4")).otherwise(text)
-    clocked = F.regexp_replace(compact, r":$", ":00")
-    part = lambda i: F.regexp_extract(clocked, CLOCK, i)
-    hour, minute = part(2).try_cast("int"), part(3).try_cast("int")
-    second = F.coalesce(F.nullif(part(4), F.lit("")).try_cast("int"), F.lit(0))
-    mark = F.lower(part(5))
-    hour = F.when(mark == "pm", hour % 12 + 12).when(mark == "am", hour % 12).otherwise(hour)
-    real = (hour < 24) & (minute < 60) & (second < 60)
-    seconds = F.unix_timestamp(day_of(part(1))) + hour * 3600 + minute * 60 + second
-    return (F.when(iso, F.coalesce(F.try_to_timestamp(text), F.when(text.rlike(CLOCK) & real, F.timestamp_seconds(seconds))))
-            .when(clocked.rlike(CLOCK), F.when(real, F.timestamp_seconds(seconds)))
-            .otherwise(day_of(text)))
+    """The date layouts on text without edge whitespace: a day alone, with a clock time, or with a weekday in front.
+
+    One pattern takes the text apart, and the timestamp is made of its numbers.
+    Text of any length may be a date; most text fails at its first characters.
+    """
+    fields = F.when(text.rlike(DATE), F.split(F.regexp_replace(text, DATE, DATE_FIELDS), r"\|"))
+    part = lambda name: F.get(fields, F.lit(FIELDS.index(name)))
+    number = lambda name: part(name).try_cast("int")
+    # A year without its century lies from 1969 to 2068.
+    year = number("y") + F.when(F.length(part("y")) > 2, 0).when(number("y") >= 69, 1900).otherwise(2000)
+    at = F.instr(F.lit(MONTHS), F.lower(part("name")))
+    month = (F.when(part("name") != "", F.when(at % 3 == 1, ((at + 2) / 3).cast("int")))
+             .when(part("a") != "", F.when(number("a") <= 12, number("a")).otherwise(number("b")))
+             .otherwise(F.coalesce(number("m"), F.lit(1))))
+    day = F.when(part("a") != "", F.when(number("a") <= 12, number("b")).otherwise(number("a"))).otherwise(F.coalesce(number("d"), F.lit(1)))
+    half = F.lower(part("half"))
+    hour = F.when(half == "pm", number("H") % 12 + 12).when(half == "am", number("H") % 12).otherwise(F.coalesce(number("H"), F.lit(0)))
+    # A sixtieth second would be taken for the next minute.
+    second = F.when(F.coalesce(number("S"), F.lit(0)) < 60, F.concat(F.lit("0"), part("S"), F.lit("."), part("f"), F.lit("0")).try_cast("decimal(16,6)"))
+    made = F.try_make_timestamp(year, month, day, hour, F.coalesce(number("M"), F.lit(0)), second)
+    ahead = (F.coalesce(number("zh"), F.lit(0)) * 60 + F.coalesce(number("zm"), F.lit(0))) * F.when(part("sign") == "-", -60).otherwise(60)
+    return F.timestamp_micros(F.unix_micros(made) - ahead.cast("bigint") * 1_000_000)
 
 
 def parse_boolean(v: Column) -> Column:
