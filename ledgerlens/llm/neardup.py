@@ -8,11 +8,14 @@ similarity s miss each other with probability of about 2 * (1 - s * s) ** HALVES
 
 Members of a bucket are not paired with each other. Each is compared with two
 members that stand for the bucket, and the links found are joined to components.
-That leaves pairs of one bucket that lie in different components and met no
-common member. For the documents of such buckets an exact search follows, a
-prefix filter over the shingles that occur in more than one component: two linked
-sets of different components share one of the rarest of these near their front,
-whatever the bucket's size. So no bucket is cut and no pair of a bucket is lost.
+Documents of buckets that still hold several components then meet one document
+more in each of a few rounds: one of the largest component that shares the longest
+key with them. What is left is settled by an exact search, a prefix filter over
+the shingles that occur in more than one component: two linked sets of different
+components share one of the rarest of these near their front, whatever the
+bucket's size. Of the pairs it finds, a few of each document are confirmed first,
+and the others only if they still lie in different components. So no bucket is
+cut, and no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -22,9 +25,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ledgerlens.llm.common import bounded_batches, column
+from ledgerlens.llm.common import bounded_batches, column, fresh
 from ledgerlens.llm.components import connected
 from ledgerlens.session import materialize
 
@@ -32,6 +35,10 @@ HALVES = 8
 HASHES = 4 * HALVES
 #: Ways in which the ids are ordered to choose the members that stand for a bucket.
 ORDERS = 2
+#: Further rounds at most, and the lengths of the keys by which each of them looks for a partner.
+ROUNDS, LENGTHS = 4, (3, 4, 5, 6, 8, 10, 12, 14, 16)
+#: Partners of a document that the exact search confirms before all others.
+FIRST = 8
 #: Words that a Python worker remembers the hash of, and shingles that are hashed at once.
 CACHED, AT_ONCE = 1 << 20, 1 << 14
 #: The map that thins out the texts to be read again has so many numbers of 64 bits, whatever the input.
@@ -85,7 +92,7 @@ def minhashes(sets: np.ndarray) -> np.ndarray:
 
 HALF_NAMES = [f"{side}{i}" for side in "ab" for i in range(HALVES)]
 LONGS = ["n", "lo", "hi", *HALF_NAMES]
-SKETCH = T.StructType([T.StructField("doc", T.LongType())] + [T.StructField(c, T.LongType()) for c in LONGS])
+SKETCH = T.StructType([T.StructField(c, T.LongType()) for c in ("row", "doc")] + [T.StructField(c, T.LongType()) for c in LONGS])
 
 
 def digest(sets: np.ndarray) -> tuple[int, int]:
@@ -105,13 +112,13 @@ def sketcher(width: int):
                 rows[r, 0] = len(s)
                 rows[r, 1:3] = digest(s)
                 rows[r, 3:] = mixed(m[0::2] * M1 + m[1::2]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(len(LONGS)))],
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc"), *(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(len(LONGS)))],
                                              names=SKETCH.names)
 
     return sketches
 
 
-SETS = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "lo", "n")] + [T.StructField("shingles", T.ArrayType(T.LongType()))])
+SETS = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "n")] + [T.StructField("shingles", T.ArrayType(T.LongType()))])
 
 
 def set_reader(width: int):
@@ -121,14 +128,14 @@ def set_reader(width: int):
             offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array([digest(s)[0] for s in sets], pa.int64()), pa.array(np.diff(offsets).astype(np.int64)),
+                [batch.column("row"), pa.array(np.diff(offsets).astype(np.int64)),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=SETS.names)
 
     return read
 
 
 def thinned(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (doc, text) whose id is in ``ids`` (id), each as often as it comes.
+    """Rows of ``docs`` (row, text) whose key is in ``ids`` (id).
 
     A bit map of fixed size goes to all tasks first and keeps most other texts out
     of the shuffle; the join settles what it lets through.
@@ -139,8 +146,8 @@ def thinned(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     bit = F.expr("shiftleft(1L, place)")
     bits = marked(ids, "id").groupBy("slot").agg(F.bit_or(bit).alias("bits"))
-    kept = marked(docs, "doc").join(F.broadcast(bits), "slot").filter(F.col("bits").bitwiseAND(bit) != 0).select("doc", "text")
-    return kept.join(ids, F.col("doc") == F.col("id"), "left_semi")
+    kept = marked(docs, "row").join(F.broadcast(bits), "slot").filter(F.col("bits").bitwiseAND(bit) != 0).select("row", "text")
+    return kept.join(ids, F.col("row") == F.col("id"), "left_semi")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,24 +178,52 @@ def pivoted(reps: DataFrame) -> DataFrame:
 
 def unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     """(id, component) of all members of buckets that hold more than one component."""
-    own = members.select("bucket", "id").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    own = members.select("bucket", "id").join(components, "id")
     open_ = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     return own.join(open_.select("bucket"), "bucket", "left_semi").select("id", "component").distinct()
 
 
+def merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` (id, component) after more links (a, b) between ids of it. Only components are joined to each other, so it is a small graph."""
+    if links.isEmpty():
+        return components
+    ends = links
+    for side in "ab":
+        ends = ends.join(components.select(F.col("id").alias(f"{side}_of"), F.col("component").alias(f"{side}_component")), F.col(side) == F.col(f"{side}_of"))
+    moved = connected(ends.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")).filter("a <> b").distinct())
+    moved = moved.select(F.col("id").alias("old"), F.col("component").alias("new"))
+    return materialize(components.join(moved, F.col("component") == F.col("old"), "left").select("id", F.coalesce("new", "component").alias("component")), "components")
+
+
+def partners(rest: DataFrame, keys: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b): each of ``rest`` (id, component) with a member of the largest component among those that share its longest key.
+
+    A key is the first few of all half keys, in an order that the round's
+    ``number`` gives: the longer it is, the more alike are those that share it.
+    """
+    order = np.random.default_rng(number).permutation(HALF_NAMES).tolist()
+    sizes = rest.groupBy("component").agg(F.count("*").alias("size"))
+    sized = rest.join(sizes, "component").join(keys, "id")
+    long = sized.select("id", "component", "size", F.posexplode(F.array(*[F.xxhash64(F.lit(k), *order[:k]) for k in LENGTHS])).alias("length", "key"))
+    stands = F.min(F.struct((-F.col("size")).alias("size"), F.xxhash64(F.lit(number), "id").alias("h"), F.col("id").alias("p"), F.col("component").alias("of")))
+    found = long.join(long.groupBy("key").agg(stands.alias("m"), F.count("*").alias("c")).filter("c > 1"), "key").filter("m.of <> component")
+    return (found.groupBy("id").agg(F.max_by("m.p", "length").alias("p"))
+            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
+
+
 def across(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that may be linked: an exact prefix filter.
+    """Pairs of different components that may be linked, an exact prefix filter: seeker, its component, other, its component, shared shingles.
 
     Shingles are ordered by how many of the sets have them, those of a single
     component before all others. A set of n shingles and a linked one share a
     shingle among the first n - ceil(n * percent / 100) + 1, and the first one
     they share leaves enough places behind it for the overlap they need. Within a
-    shingle's list only members outside its commonest component look for partners.
+    shingle's list only members outside its commonest component seek partners.
     """
-    rows = sets.join(groups, "id").select("id", "lo", "n", "component", F.explode("shingles").alias("shingle"))
+    rows = sets.join(groups, "id").select("id", "n", "component", F.explode("shingles").alias("shingle"))
     counts = (rows.groupBy("shingle").agg(F.count("*").alias("c"), F.min("component").alias("low"), F.max("component").alias("high"))
               .filter("low <> high").select("shingle", "c"))
-    behind = F.dense_rank().over(Window.partitionBy("id", "lo").orderBy(F.desc("c"), F.desc("shingle")))
+    behind = F.dense_rank().over(Window.partitionBy("id").orderBy(F.desc("c"), F.desc("shingle")))
     prefix = materialize(
         rows.join(counts, "shingle").withColumn("place", F.col("n") - behind + 1)
         .filter(F.expr(f"place <= n - ceil(n * {percent} / 100.0) + 1")).select("shingle", "id", "component", "n", "place").distinct(), "prefixes")
@@ -198,39 +233,99 @@ def across(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         "shingle", *[F.col(c).alias(f"x_{c}") for c in ("id", "component", "n", "place")])
     fits = F.expr(f"""component <> x_component and 100 * least(n, x_n) >= {percent} * greatest(n, x_n)
         and (100 + {percent}) * (1 + least(n - place, x_n - x_place)) >= {percent} * (n + x_n)""")
-    return seekers.join(prefix, "shingle").filter(fits).select(
-        F.least("id", "x_id").alias("a"), F.greatest("id", "x_id").alias("b")).distinct()
+    return seekers.join(prefix, "shingle").filter(fits).groupBy("x_id", "x_component", "id", "component").agg(F.count("*").alias("shared"))
 
 
-def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``df``: id, n_shingles, component_id, kept.
-
-    Documents are linked if 100 * intersection >= percent * union of their shingle
-    sets; the component is the least id that links lead to, itself included.
-    Null and empty texts, and those without words, have no shingles, are linked
-    with nothing and stay. Equal sets are one node from the start, so any number
-    of copies costs one. Repeated rows are copies like others. A null id takes the
-    component of its links, is never one itself and stays only where all linked
-    ids are null. Rows of one id with different texts are one document. An
-    empty table gives no rows; further columns are not read.
+def ordered_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")).distinct()
+
+
+def settled(found: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``components`` joined by all links among the pairs ``found`` by the exact search.
+
+    First each seeker's best pair and some drawn by hash are confirmed. That joins
+    most of what belongs together, and only pairs of what is still apart go on.
     """
-    bounded_batches(df.sparkSession)
-    docs = df.select(column(id_column).cast("bigint").alias("doc"), column(text_column).alias("text"))
-    sketch = materialize(docs.mapInArrow(sketcher(shingle), SKETCH), "sketches")
-    reps = materialize(sketch.filter("n > 0").groupBy("lo", "hi").agg(
-        F.min("doc").alias("rep"), *[F.first(c).alias(c) for c in HALF_NAMES]), "classes")
-    members = materialize(pivoted(reps.filter("rep is not null")), "members")
+    if found.isEmpty():
+        return components
+    choices = [F.max_by("id", "shared"), *[F.min_by("id", F.xxhash64(F.lit(k), "id", "x_id")) for k in range(1, FIRST)]]
+    first = found.groupBy("x_id").agg(F.array_distinct(F.array(*choices)).alias("ids")).select("x_id", F.explode("ids").alias("id"))
+    joined = merged(components, materialize(confirmed(ordered_pairs(first), sets, percent), "links"))
+    moved = components.withColumnRenamed("component", "old").join(joined, "id").filter("old <> component").select("old", F.col("component").alias("new")).distinct()
+    apart = found
+    for side in ("x_component", "component"):
+        apart = apart.join(moved.select(F.col("old").alias(f"{side}_old"), F.col("new").alias(f"{side}_new")), F.col(side) == F.col(f"{side}_old"), "left")
+    apart = apart.filter(F.coalesce("x_component_new", "x_component") != F.coalesce("component_new", "component"))
+    return merged(joined, materialize(confirmed(ordered_pairs(apart), sets, percent), "links"))
+
+
+def components_of(reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(id, component) of every class of ``reps`` that shares a bucket with another; an id is the key of the row that stands for the class."""
+    members = materialize(pivoted(reps), "members")
+    ids = members.select("id").distinct()
     pairs = (members.select("id", F.explode(F.array("first", "second")).alias("p")).filter("id <> p")
              .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
-    sets = materialize(thinned(docs, members.select("id").distinct()).mapInArrow(set_reader(shingle), SETS), "sets")
-    links = materialize(confirmed(pairs, sets, percent), "links")
-    rest = materialize(unsettled(members, connected(links)), "unsettled")
-    more = confirmed(across(sets, rest, percent).join(pairs, ["a", "b"], "left_anti"), sets, percent)
-    components = connected(links.unionByName(more))
-    # Distinct classes can share an id; it is then one node, and their rows one document.
-    node = reps.select("lo", "hi", "rep").join(components, F.col("rep") == F.col("id"), "left").select(
-        F.col("lo").alias("of_lo"), F.col("hi").alias("of_hi"), F.coalesce("component", "rep").alias("component"))
-    placed = sketch.select("doc", "n", "lo", "hi").join(node, (F.col("lo") == F.col("of_lo")) & (F.col("hi") == F.col("of_hi")) & (F.col("n") > 0), "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
-    return placed.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.col("doc").eqNullSafe(component).alias("kept"))
+    sets = materialize(thinned(docs, ids).mapInArrow(set_reader(shingle), SETS), "sets")
+    components = merged(ids.withColumn("component", F.col("id")), materialize(confirmed(pairs, sets, percent), "links"))
+    rest = materialize(unsettled(members, components), "unsettled")
+    keys = materialize(reps.join(rest, F.col("rep") == F.col("id"), "left_semi").select(F.col("rep").alias("id"), *HALF_NAMES), "keys")
+    for number in range(ROUNDS):
+        links = materialize(confirmed(partners(rest, keys, number), sets, percent), "links")
+        if links.isEmpty():
+            break
+        components = merged(components, links)
+        rest = components.join(keys, "id", "left_semi")
+    found = materialize(across(sets, unsettled(members, components), percent), "found")
+    return settled(found, components, sets, percent)
+
+
+def placed_rows(keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """row, doc, n, component_id and the component's first row, for each row of ``keyed`` (row, doc, text), a written table with keys of its own.
+
+    The first row has the least id, null last, and of these the least key. Rows
+    without words are components of their own.
+    """
+    sketch = materialize(keyed.mapInArrow(sketcher(shingle), SKETCH), "sketches")
+    # Of two ids the lesser comes first, an id before none, and of equal ids the lesser key.
+    rank = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"), F.col("row").alias("row"))
+    reps = materialize(sketch.filter("n > 0").groupBy("lo", "hi").agg(
+        F.min(rank).alias("first"), *[F.first(c).alias(c) for c in HALF_NAMES]).withColumn("rep", F.col("first.row")), "classes")
+    components = components_of(reps, keyed.select("row", "text"), shingle, percent)
+    known = materialize(reps.select("lo", "hi", "first", "rep").join(components, F.col("rep") == F.col("id"), "left")
+                        .select("lo", "hi", "first", F.coalesce("component", "rep").alias("component")), "known")
+    firsts = known.groupBy("component").agg(F.min("first").alias("least"))
+    node = known.select(F.col("lo").alias("of_lo"), F.col("hi").alias("of_hi"), "component").join(firsts, "component")
+    placed = sketch.select("row", "doc", "n", "lo", "hi").join(node, (F.col("lo") == F.col("of_lo")) & (F.col("hi") == F.col("of_hi")) & (F.col("n") > 0), "left")
+    return placed.select("row", "doc", "n", F.when(F.col("n") > 0, F.col("least.doc")).otherwise(F.col("doc")).alias("component_id"),
+                         F.when(F.col("n") > 0, F.col("least.row")).otherwise(F.col("row")).alias("first_row"))
+
+
+def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per row of ``df``: id, n_shingles, component_id, kept, stays.
+
+    Rows are linked if 100 * intersection >= percent * union of their shingle
+    sets; the component is the least id that links lead to, itself included, and
+    ``kept`` tells the rows that have that id. Null and empty texts, and those
+    without words, have no shingles, are linked with nothing and stay. Equal sets
+    are one node from the start, so any number of copies costs one. Rows without
+    an id are linked like others; a component of such rows only has a null id.
+    Repeated rows of one id have one component and are all ``kept``. ``stays`` is
+    true for exactly one row of each component: one of the least id, or any one
+    where no row has an id. Rows of one id with different texts are linked only
+    if their texts are. An empty table gives no rows; further columns are not read.
+    """
+    bounded_batches(df.sparkSession)
+    keyed = materialize(df.select(F.monotonically_increasing_id().alias("row"), column(id_column).cast("bigint").alias("doc"), column(text_column).alias("text")), "keyed")
+    return placed_rows(keyed, shingle, percent).select(
+        F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), "component_id",
+        F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"), (F.col("row") == F.col("first_row")).alias("stays"))
+
+
+def one_of_each(df: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay, one of each component, with its columns as they were."""
+    bounded_batches(df.sparkSession)
+    key, gone = fresh(df, "row_key"), fresh(df, "row_gone")
+    keyed = materialize(df.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    rows = placed_rows(keyed.select(column(key).alias("row"), column(id_column).cast("bigint").alias("doc"), column(text_column).alias("text")), shingle, percent)
+    others = rows.filter("row <> first_row").select(F.col("row").alias(gone))
+    return keyed.join(others, F.col(key) == F.col(gone), "left_anti").drop(key)

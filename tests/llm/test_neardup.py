@@ -35,14 +35,55 @@ def test_odd_rows(spark):
     assert neardup.near_duplicates(no_rows(spark)).count() == 0
 
 
+def test_rows_without_an_id_and_repeated_rows(spark):
+    """Near copies without ids, equal rows of one id, against all pairs of rows."""
+    words = [f"w{i}" for i in range(200)]
+
+    def text(k):
+        return " ".join(f"new{k}" if i == 7 * k else w for i, w in enumerate(words)) if k else " ".join(words)
+
+    rows = [(None, text(1)), (None, text(1)), (None, text(2)), (7, text(0)), (7, text(0)), (None, "quite another text of some nine words in all"),
+            (None, "quite another text of some nine words in all"), (9, None), (9, None), (3, "a text of its own that stands alone here"), (3, "a second text of that id with other words")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, row_key int").repartition(4)
+    plain = components({k: t for k, (_, t) in enumerate(rows)}, 3, 85)
+    group = {}
+    for k, root in plain.items():
+        group.setdefault(root, []).append(rows[k][0])
+    least = {root: min((i for i in ids if i is not None), default=None) for root, ids in group.items()}
+    got = neardup.near_duplicates(df, 3, 85).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(((rows[k][0], least[root]) for k, root in plain.items()), key=str)
+    assert sum(r.stays for r in got) == len(group) and all(r.kept for r in got if r.stays)
+    stay = neardup.one_of_each(df, 3, 85)
+    assert stay.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in stay.collect()), key=str) == sorted(
+        [(7, text(0)), (None, rows[5][1]), (9, None), (9, None), (3, rows[9][1]), (3, rows[10][1])], key=str)
+
+
+def test_exact_search_alone(spark, monkeypatch):
+    """Without any round, and with buckets that only stand-ins opened, the search still joins all that belongs together."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(150)]
+    docs = []
+    for k in range(250):
+        own = [f"x{k}_{i}" if rng.random() < 0.035 else w for i, w in enumerate(words)]
+        docs.append((k, " ".join(own)))
+    want = components(dict(docs), 3, 85)
+    assert 3 < len(set(want.values())) < 200
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for rounds, first in ((0, 1), (2, 3)):
+        monkeypatch.setattr(neardup, "ROUNDS", rounds)
+        monkeypatch.setattr(neardup, "FIRST", first)
+        assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, 3, 85).collect()} == want
+
+
 def test_exact_search_finds_what_pivots_leave(spark):
     """All pairs of different components at the threshold, from the prefix filter alone."""
     texts = {i: PROSE.replace("grey", f"g{i // 2}").replace("noon", f"n{i}") for i in range(12)}
-    sets = [(i, 0, len(s), [int(x) for x in s.view(np.int64)]) for i, s in ((i, neardup.shingles(t.encode(), 3)) for i, t in texts.items())]
+    sets = [(i, len(s), [int(x) for x in s.view(np.int64)]) for i, s in ((i, neardup.shingles(t.encode(), 3)) for i, t in texts.items())]
     frame = spark.createDataFrame(sets, neardup.SETS)
     groups = spark.createDataFrame([(i, i) for i in texts], "id bigint, component bigint")
-    got = {tuple(r) for r in neardup.confirmed(neardup.across(frame, groups, 85), frame, 85).collect()}
-    full = {i: set(s[3]) for i, s in enumerate(sets)}
+    got = {tuple(r) for r in neardup.confirmed(neardup.ordered_pairs(neardup.across(frame, groups, 85)), frame, 85).collect()}
+    full = {i: set(s[2]) for i, s in enumerate(sets)}
     assert got == {(a, b) for a in full for b in full if a < b and 100 * len(full[a] & full[b]) >= 85 * len(full[a] | full[b])}
 
 
