@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlens.functions import fixed
 from ledgerlens.operators.profile import columns as C
 from ledgerlens.operators.profile.dataset import dataset_profile, positional
-from ledgerlens.operators.profile.frequency import value_frequencies
+from ledgerlens.operators.profile.frequency import value_frequencies, whole_texts
 from ledgerlens.session import materialize
 from ledgerlens.sources.delimited import duplicate_names, header_of, read_delimited
 
@@ -89,7 +89,7 @@ class Profile:
         joined = (
             s.join(self.numeric.drop("name", "count", "unique_count"), "position", "left")
             .join(C.collapsed_distinct(self.frequencies, s), "position", "left")
-            .join(C.listed(C.top_values(self.frequencies, s)), "position", "left")
+            .join(C.listed(C.top_values(self.frequencies, s, lambda wanted: whole_texts(positional(self.df), wanted))), "position", "left")
             .join(C.sample_values(positional(self.df), s), "position", "left"))
         stats = F.struct("mean", "std", F.col("min_x").alias("min"), "q1", "median", "q3", F.col("max_x").alias("max"),
                          "zeros", "negatives", "skew")

@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.expressions import half_up, pct
-from ledgerlens.functions.parsing import (
-    INFINITY_SHAPE, INTEGER_SHAPE, NUMBER_SHAPE, is_placeholder, looks_boolean, normal_form, strip,
-)
+from ledgerlens.functions.parsing import is_placeholder, looks_boolean
 from ledgerlens.operators.ordering import (
     merge_picks, quantile_columns, quantile_picks, running_weight,
 )
-from ledgerlens.operators.profile.frequency import column_at
+from ledgerlens.operators.profile.frequency import HEAD, column_at
+from ledgerlens.session import materialize
 
 TEXT_TYPES = ("categorical", "text", "identifier", "boolean")
 TEXT_STORAGE = ("str", "string")
@@ -62,27 +61,22 @@ def summarize(vf: DataFrame, names: list[str], stored: list[str] | None, as_of:
     """One row per column from algebraic aggregates only, so hot columns combine map-side."""
     value, n, x, ts = (F.col(c) for c in ("value", "n", "x", "ts"))
     count_of = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
-    # Trimming and the pattern tests become columns first, so each runs once per distinct value.
     pair = F.lit(None).cast("int")
     for i, words in enumerate(fixed.BOOLEAN_PAIRS):
-        pair = F.when(F.col("norm").isin(*words), F.lit(i)).otherwise(pair)
-    longest = max(len(w) for words in fixed.BOOLEAN_PAIRS for w in words)
-    marked = (vf.withColumn("ok", held()).withColumn("trimmed", strip(value))
-              .withColumn("norm", F.when(F.col("ok") & (F.length("trimmed") <= longest), F.lower("trimmed")))
-              .withColumn("pair", pair))
-    ok, trimmed = F.col("ok"), F.col("trimmed")
+        pair = F.when(F.col("ok") & F.col("norm").isin(*words), F.lit(i)).otherwise(pair)
+    marked = vf.withColumn("ok", held()).withColumn("pair", pair)
+    ok = F.col("ok")
     labels = [] if stored else [
-        count_of(trimmed.rlike(INTEGER_SHAPE)).alias("n_int_text"),
-        count_of(trimmed.rlike(NUMBER_SHAPE) | trimmed.rlike(INFINITY_SHAPE)).alias("n_float_text"),
-        count_of(looks_boolean(value)).alias("n_bool_text")]
+        count_of(F.col("shape") == 2).alias("n_int_text"), count_of(F.col("shape") > 0).alias("n_float_text"),
+        count_of(looks_boolean(value) & F.col("digest").isNull()).alias("n_bool_text")]
     sums = marked.groupBy("position").agg(
         F.sum("n").alias("n_rows"), count_of(value.isNull()).alias("n_null"),
         count_of(F.col("placeholder")).alias("disguised_null_count"),
         count_of(ok).alias("n_held"), F.count_if(ok).alias("n_distinct"),
         count_of(ok & x.isNotNull()).alias("n_number"), count_of(ok & ts.isNotNull()).alias("n_date"),
-        count_of(ok & (value != trimmed)).alias("n_edge_space"),
-        F.sum(F.when(ok, F.length(value) * n)).alias("n_chars"),
-        F.coalesce(F.sum(F.octet_length(value) * n), F.lit(0)).alias("raw_bytes"),
+        count_of(ok & F.col("edge")).alias("n_edge_space"),
+        F.sum(F.when(ok, F.col("n_chars") * n)).alias("n_chars"), F.max("n_chars").alias("longest"),
+        F.coalesce(F.sum(F.col("octets") * n), F.lit(0)).alias("raw_bytes"),
         *labels, F.count("pair").alias("n_paired"), (F.min("pair") == F.max("pair")).alias("one_pair"),
         F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.sum(x * n).alias("sum_x"),
         count_of(x == 0).alias("zeros"), count_of(x < 0).alias("negatives"), F.count("x").alias("n_number_values"),
@@ -91,7 +85,7 @@ def summarize(vf: DataFrame, names: list[str], stored: list[str] | None, as_of:
     )
     # Kept apart: a set among the sums would take the whole aggregate out of generated code.
     tokens = vf.where("placeholder").groupBy("position").agg(
-        F.array_sort(F.collect_set(normal_form(value))).alias("disguised_null_tokens"))
+        F.array_sort(F.collect_set("norm")).alias("disguised_null_tokens"))
     sums = sums.join(tokens, "position", "left").withColumn(
         "disguised_null_tokens", F.coalesce("disguised_null_tokens", F.array().cast("array<string>")))
     share = F.try_divide(F.col("n_number"), F.col("n_held"))
@@ -132,19 +126,27 @@ def among(vf: DataFrame, summary: DataFrame, condition: Column | str, *carry: st
 def collapsed_distinct(vf: DataFrame, summary: DataFrame) -> DataFrame:
     """Distinct values left once case and edge space are ignored, for text-like columns.
 
-    Only their number is wanted, so long texts travel as a SHA-256 digest.
+    Only their number is wanted, so of long texts a digest is compared.
     """
     rows = among(vf, summary, F.col("inferred_type").isin(*TEXT_TYPES)).where(held())
-    norms = rows.select("position", normal_form(F.col("value")).alias("norm"))
-    keys = norms.select("position", F.when(F.length("norm") > 64, F.sha2("norm", 256)).otherwise(F.col("norm")).alias("key"))
-    return keys.distinct().groupBy("position").agg(F.count("*").alias("case_collapsed_unique"))
+    return rows.select("position", "norm").distinct().groupBy("position").agg(F.count("*").alias("case_collapsed_unique"))
+
 
+def top_values(vf: DataFrame, summary: DataFrame, whole, k: int = fixed.TOP_VALUES) -> DataFrame:
+    """The most frequent values of text-like columns; equal counts are ordered by value.
 
-def top_values(vf: DataFrame, summary: DataFrame, k: int = fixed.TOP_VALUES) -> DataFrame:
-    """The most frequent values of text-like columns; equal counts are ordered by value."""
+    Heads order long texts as far as they differ. Texts of equal rank, and those
+    listed, are then fetched by ``whole``, which is given their digests. Spark
+    keeps the first ranks of each task before it shuffles them.
+    """
     rows = among(vf, summary, F.col("inferred_type").isin(*TEXT_TYPES)).where(held())
-    w = Window.partitionBy("position").orderBy(F.desc("n"), F.asc("value"))
-    return rows.select("position", "value", "n", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k)
+    order = Window.partitionBy("position").orderBy(F.desc("n"), F.asc("value"))
+    ranked = rows.select("position", "value", "digest", "n", F.rank().over(order).alias("rank")).where(F.col("rank") <= k)
+    if not summary.where((F.col("longest") > HEAD) & F.col("inferred_type").isin(*TEXT_TYPES)).isEmpty():
+        ranked = materialize(ranked, "heads")
+        texts = whole(ranked.where("digest is not null").select("position", "digest"))
+        ranked = ranked.join(texts, ["position", "digest"], "left").withColumn("value", F.coalesce("whole", "value"))
+    return ranked.select("position", "value", "n", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k)
 
 
 def listed(ranked: DataFrame) -> DataFrame:

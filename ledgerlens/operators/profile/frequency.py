@@ -1,23 +1,33 @@
 """The value-frequency table: one row per column position and distinct value.
 
 Nearly every measure of a column follows from its distinct values and their
-counts, so the source is shuffled once, after a map-side count, and expensive
-text parsing runs once per distinct value instead of once per row. Columns keep
-a compact carrier type through the shuffle: whole numbers and doubles travel as
-eight bytes, only text travels as text.
+counts, so the source is read and shuffled once, after a map-side count, and
+expensive text parsing runs once per distinct value instead of once per row.
+All columns travel in one shape: whole numbers and times as eight bytes, doubles
+as eight bytes, short text as text. Of a longer text its head, which sorts as the
+text does, a digest and its measures travel; the text itself stays where it is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerlens.functions.parsing import bare_number, bare_to_number, is_placeholder_norm, strip, stripped_to_date
+from ledgerlens.functions.parsing import (
+    INFINITY_SHAPE, INTEGER_SHAPE, NUMBER_SHAPE, bare_number, bare_to_number, is_placeholder_norm, strip, stripped_to_date,
+)
 
 CARRIERS = {
     "bigint": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
     "double": (T.FloatType, T.DoubleType),
     "timestamp": (T.DateType, T.TimestampType, T.TimestampNTZType),
 }
+#: Characters of a text that travel; of a longer one they are its head.
+HEAD = 64
+#: Measures of one text, made of its columns ``text``, ``trimmed`` and ``bare``.
+LONG = "struct<digest:binary,placeholder:boolean,x:double,ts:timestamp,n_chars:int,octets:int,edge:boolean,shape:int,norm:string>"
+MEASURES = ("placeholder", "x", "ts", "n_chars", "octets", "edge", "shape", "norm")
 
 
 def carrier_of(data_type: T.DataType) -> str:
@@ -32,47 +42,78 @@ def column_at(df: DataFrame, i: int) -> Column:
     return F.col("`" + df.columns[i].replace("`", "``") + "`")
 
 
-def _carried(df: DataFrame, i: int, carrier: str) -> Column:
-    c = column_at(df, i).cast(carrier)
-    return F.when(~F.isnan(c), c) if carrier == "double" else c
+def digest(text: Column) -> Column:
+    """128 bits of a SHA-256 digest."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
-def _described(counted: DataFrame, carrier: str) -> DataFrame:
-    """Parsed number and date of each distinct value.
+def measures(text: Column, trimmed: Column, bare: Column) -> list[Column]:
+    """MEASURES of a text that is given trimmed too, and without the marks of numbers.
 
-    Text is taken apart in steps, each a column of its own, so that trimming and
-    the placeholder test run once per value and not once per use.
+    ``shape`` is 2 for a whole number, 1 for another plain number, else 0. ``norm``
+    is the text without case and edge space, or the digest of a long one.
+    Placeholders are never parsed.
     """
+    small = F.lower(trimmed)
+    blank = is_placeholder_norm(small)
+    shape = F.when(trimmed.rlike(INTEGER_SHAPE), 2).when(trimmed.rlike(NUMBER_SHAPE) | trimmed.rlike(INFINITY_SHAPE), 1).otherwise(0)
+    norm = F.when(F.length(trimmed) > HEAD, F.sha2(small, 256)).otherwise(small)
+    made = (blank, F.when(~blank, bare_to_number(bare)), F.when(~blank, stripped_to_date(trimmed)), F.length(text), F.octet_length(text),
+            text != trimmed, shape, norm)
+    return [c.alias(name) for c, name in zip(made, MEASURES)]
+
+
+def _cells(df: DataFrame, first: int) -> DataFrame:
+    """(position, whole, real, head, long) of every cell, in one pass over ``df``."""
+    carriers = [carrier_of(f.dataType) for f in df.schema.fields]
+    texts = [i for i, c in enumerate(carriers) if c == "string"]
+    own = [column_at(df, i).cast(c).alias(f"c{i}") for i, c in enumerate(carriers)]
+    # Steps of their own, so that a text is trimmed once; short texts are taken apart after counting.
+    rows = df.select(*own).withColumns({f"t{i}": F.when(F.length(f"c{i}") > HEAD, strip(F.col(f"c{i}"))) for i in texts})
+    rows = rows.withColumns({f"b{i}": bare_number(F.col(f"t{i}")) for i in texts})
     none = F.lit(None)
-    if carrier != "string":
-        number = F.col("v").cast("double") if carrier in ("bigint", "double") else none.cast("double")
-        date = F.col("v") if carrier == "timestamp" else none.cast("timestamp")
-        return counted.select("position", F.col("v").cast("string").alias("value"), "n", number.alias("x"),
-                              date.alias("ts"), F.lit(False).alias("placeholder"))
-    trimmed = counted.withColumn("trimmed", strip(F.col("v")))
-    flagged = trimmed.withColumn("placeholder", is_placeholder_norm(F.lower("trimmed")))
-    held = flagged.withColumn("trimmed", F.when(~F.col("placeholder"), F.col("trimmed")))
-    bare = held.withColumn("bare", bare_number(F.col("trimmed")))
-    return bare.select("position", F.col("v").alias("value"), "n", bare_to_number(F.col("bare")).alias("x"),
-                       stripped_to_date(F.col("trimmed")).alias("ts"), "placeholder")
-
-
-def value_frequencies(df: DataFrame) -> DataFrame:
-    """(position, value, n) with the parsed number ``x``, date ``ts`` and placeholder flag.
-
-    A null value row holds the count of nulls. Placeholders keep their text but
-    are never parsed.
+    cells: list[Column] = []
+    for i, carrier in enumerate(carriers):
+        c = F.col(f"c{i}")
+        long = F.when(F.length(c) > HEAD, F.struct(digest(c).alias("digest"), *measures(c, F.col(f"t{i}"), F.col(f"b{i}")))) if carrier == "string" else none
+        # One type for all columns, whatever the optimizer learns about nulls in one of them.
+        whole = c if carrier == "bigint" else F.unix_micros(c) if carrier == "timestamp" else none
+        cells += [F.lit(first + i), whole.cast("bigint"), (F.when(~F.isnan(c), c) if carrier == "double" else none).cast("double"),
+                  (F.substring(c, 1, HEAD) if carrier == "string" else none).cast("string"), long.cast(LONG)]
+    return rows.select(F.stack(F.lit(len(carriers)), *cells).alias("position", "whole", "real", "head", "long"))
+
+
+def value_frequencies(df: DataFrame, first: int = 0) -> DataFrame:
+    """(position, value, digest, n) and the MEASURES of each distinct value; positions count from ``first``.
+
+    A null value row holds the count of nulls. Where there is a ``digest``,
+    ``value`` is the head of a longer text. Placeholders keep their text but are
+    never parsed.
     """
-    carriers: dict[str, list[int]] = {}
+    counted = _cells(df, first).groupBy("position", "whole", "real", "head", "long").agg(F.count("*").alias("n"))
+    kinds: dict[str, list[int]] = {}
     for i, field in enumerate(df.schema.fields):
-        carriers.setdefault(carrier_of(field.dataType), []).append(i)
-    parts = []
-    for carrier, positions in carriers.items():
-        narrow = df.select(*[_carried(df, i, carrier).alias(str(i)) for i in positions])
-        long = narrow.unpivot([], [str(i) for i in positions], "name", "v")
-        counted = long.groupBy(F.col("name").cast("int").alias("position"), "v").agg(F.count("*").alias("n"))
-        parts.append(_described(counted, carrier))
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+        kinds.setdefault(carrier_of(field.dataType), []).append(first + i)
+
+    def at(carrier: str) -> Column:
+        return F.col("position").isin(kinds.get(carrier, []))
+
+    moment = F.when(at("timestamp"), F.timestamp_micros("whole"))
+    value = F.coalesce("head", moment.cast("string"), F.col("whole").cast("string"), F.col("real").cast("string"))
+    short = F.col("long").isNull()
+    parted = counted.withColumns({"value": value, "moment": moment, "text": F.when(at("string") & short, F.col("head"))})
+    parted = parted.withColumn("trimmed", strip(F.col("text"))).withColumn("bare", bare_number(F.col("trimmed")))
+    own = parted.select("position", "value", "n", "whole", "real", "moment", "long", "text", *measures(F.col("text"), F.col("trimmed"), F.col("bare")))
+    typed = {"x": F.when(at("bigint"), F.col("whole").cast("double")).otherwise(F.col("real")), "ts": F.col("moment"), "placeholder": F.lit(False),
+             "n_chars": F.length("value"), "octets": F.octet_length("value"), "edge": F.lit(False), "shape": F.lit(0), "norm": F.lower("value")}
+    return own.select("position", "value", F.col("long.digest").alias("digest"), "n", *[
+        F.when(F.col("long").isNotNull(), F.col(f"long.{m}")).when(F.col("text").isNotNull(), F.col(m)).otherwise(typed[m]).alias(m) for m in MEASURES])
+
+
+def whole_texts(df: DataFrame, wanted: DataFrame, first: int = 0) -> DataFrame:
+    """(position, digest, whole) of the longer texts of ``df`` that ``wanted`` (position, digest) asks for, each once."""
+    texts = [i for i, f in enumerate(df.schema.fields) if carrier_of(f.dataType) == "string"]
+    cells = [x for i in texts for x in (F.lit(first + i), F.when(F.length(column_at(df, i).cast("string")) > HEAD, column_at(df, i).cast("string")))]
+    long = df.select(F.stack(F.lit(len(texts)), *cells).alias("position", "whole")).filter("whole is not null")
+    return (long.withColumn("digest", digest(F.col("whole"))).join(wanted, ["position", "digest"], "left_semi")
+            .groupBy("position", "digest").agg(F.first("whole").alias("whole")))
