@@ -11,7 +11,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.llm import mixing, neardup, pieces, quality, secrets
-from ledgerlens.llm.common import column, fresh
 from ledgerlens.session import work_path
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,10 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    groups = neardup.near_duplicates(docs, shingle=5, percent=80)
-    key = fresh(docs, "kept_id")
-    kept = groups.filter("kept").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(kept, column("doc_id").eqNullSafe(F.col(key)), "left_semi")
+    return neardup.one_of_each(docs, shingle=5, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
