@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from ledgerlens.session import materialize
 
 ROWS_PER_PART = 2_000_000
+#: A quantile sketch errs by at most one in so many ranks.
+SKETCH_ACCURACY = 10_000
 
 
 def merged_rows(df: DataFrame, columns: Sequence[str], weight: str | None) -> DataFrame:
@@ -124,11 +126,34 @@ def top_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str], rows: int)
     return above.unionByName(placed.where(F.col("before") < wanted).select(*df.columns))
 
 
-def top_fraction(df: DataFrame, fraction: float, by: str, tie_keys: Sequence[str]) -> DataFrame:
-    """The largest ``fraction`` of the rows that have a value, rounded down to whole rows; rows without one never count."""
+def top_fraction_and(df: DataFrame, fraction: float, by: str, tie_keys: Sequence[str], *measures: Column) -> tuple[DataFrame, Row]:
+    """The largest ``fraction`` of the rows that have a value, rounded down to whole rows, and ``measures`` over all of these.
+
+    Two reads of ``df``. The first counts, takes the measures, and sketches the
+    quantiles on either side of the cut, of which the sketch bounds the error. The
+    second writes the rows from the lower one up. All that is exact happens in the
+    narrow range between the two: counts per value settle the cut, and keys settle
+    the rows equal to it. Rows without a value never count.
+    """
     df = df.where(F.col(by).isNotNull())
-    rows = df.count()
-    return top_rows(df, int(Decimal(str(fraction)) * rows), by, tie_keys, rows)
+    x = F.col(by).cast("double")
+    around = [min(1.0, max(0.0, 1 - fraction + d / SKETCH_ACCURACY)) for d in (-2, 2)]
+    whole = df.agg(F.count("*").alias("rows"), F.percentile_approx(x, around, SKETCH_ACCURACY).alias("around"), *measures).first()
+    k = int(Decimal(str(fraction)) * whole["rows"])
+    if k <= 0:
+        return df.where(F.lit(False)), whole
+    low, high = whole["around"]
+    near = materialize(df.where(x >= F.lit(low)), "near")
+    above, rows = near.agg(F.count_if(x > F.lit(high)), F.count("*")).first()
+    if not above <= k <= rows:  # the sketch promises that this does not happen
+        return top_rows(df, k, by, tie_keys, whole["rows"]), whole
+    rest = top_rows(near.where(x <= F.lit(high)), k - above, by, tie_keys, rows - above)
+    return near.where(x > F.lit(high)).unionByName(rest), whole
+
+
+def top_fraction(df: DataFrame, fraction: float, by: str, tie_keys: Sequence[str]) -> DataFrame:
+    """The rows of :func:`top_fraction_and` alone."""
+    return top_fraction_and(df, fraction, by, tie_keys)[0]
 
 
 def largest_rows(df: DataFrame, k: int, by: str, tie_keys: Sequence[str]) -> DataFrame:

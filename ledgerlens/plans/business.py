@@ -146,10 +146,11 @@ def c17_constant_guard(spark, d):
 
 def c15_revenue_concentration(spark, d, fraction=0.2):
     sales = sales_view(spark, d, ("order_number", "total", "client_type"))
-    top = ordering.top_fraction(sales, fraction, "total", KEY).agg(
+    rows, whole = ordering.top_fraction_and(sales, fraction, "total", KEY, F.sum("total").alias("s"))
+    whole = F.lit(whole["s"])
+    top = rows.agg(
         F.count("*").alias("n"), F.sum("total").alias("s"),
         F.count_if(F.col("client_type") == "Wholesale").alias("w"))
-    whole = sales.agg(F.sum("total")).scalar()
     return top.select(
         F.col("n").alias("n_orders_in_top20pct"), ex.money(F.col("s")).alias("revenue_from_top20pct"),
         ex.pct(F.col("s"), whole).alias("pct_of_total_revenue"), F.col("w").alias("n_wholesale_in_top20"),
