@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.expressions import half_up
 from ledgerlens.operators.diagnose import sentinel_hits
-from ledgerlens.operators.profile import Profile
+from ledgerlens.operators.profile import JointProfile
 
 
-def flagged(profiles: Mapping[str, Profile], rates: Sequence[float] = fixed.SWEEP_RATES) -> DataFrame:
-    """(rate, dataset, column, value, n) for every flag; at most 1 / rate to a column."""
-    hits = None
-    for name, profile in profiles.items():
-        rows = sentinel_hits(profile.numeric, profile.repeated_values, list(rates)).select(
-            "rate", F.lit(name).alias("dataset"), F.col("name").alias("column"), "value", "n")
-        hits = rows if hits is None else hits.unionByName(rows)
-    return hits
+def flagged(profile: JointProfile, rates: Sequence[float] = fixed.SWEEP_RATES) -> DataFrame:
+    """(rate, dataset, column, value, n) for every flag in any of the tables; at most 1 / rate to a column."""
+    owner = F.element_at(F.array(*[F.lit(o) for o in profile.owners]), F.col("position") + 1)
+    return sentinel_hits(profile.numeric, profile.repeated_values, list(rates)).select(
+        "rate", owner.alias("dataset"), F.col("name").alias("column"), "value", "n")
 
 
 def judged(hits: DataFrame, truth: DataFrame, rates: Sequence[float] = fixed.SWEEP_RATES) -> DataFrame:
@@ -58,5 +55,5 @@ def flag_detail(outcomes: DataFrame) -> DataFrame:
     return flags.groupBy("rate").agg(F.array_join(F.array_sort(F.collect_list(text)), "; ").alias("flags"))
 
 
-def sensitivity_of(profiles: Mapping[str, Profile], truth: DataFrame) -> DataFrame:
-    return sensitivity(judged(flagged(profiles), truth))
+def sensitivity_of(profile: JointProfile, truth: DataFrame) -> DataFrame:
+    return sensitivity(judged(flagged(profile), truth))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,6 +31,14 @@ class Profile:
     text: bool = True
     repeated_names: tuple[str, ...] = ()
 
+    @property
+    def names(self) -> list[str]:
+        return self.df.columns
+
+    @property
+    def stored(self) -> list[str] | None:
+        return None if self.text else [f.dataType.simpleString() for f in self.df.schema.fields]
+
     @cached_property
     def frequencies(self) -> DataFrame:
         return materialize(value_frequencies(positional(self.df)), "frequencies")
@@ -37,8 +46,7 @@ class Profile:
     @cached_property
     def summary(self) -> DataFrame:
         """One row per column; bounded by the width of the schema."""
-        stored = None if self.text else [f.dataType.simpleString() for f in self.df.schema.fields]
-        summary = materialize(C.summarize(self.frequencies, self.df.columns, stored, self.as_of).repartition(1), "summary")
+        summary = materialize(C.summarize(self.frequencies, self.names, self.stored, self.as_of).repartition(1), "summary")
         if summary.isEmpty():
             raise ValueError(f"{self.source} holds no rows")
         return summary
@@ -111,6 +119,37 @@ class Profile:
         return materialize(dataset_profile(self.df, self.summary, self.source, list(self.repeated_names)), "dataset")
 
 
+class JointProfile(Profile):
+    """Measures of the columns of several tables, taken by one set of jobs.
+
+    The tables' columns are numbered one after the other, so the frequency table,
+    the ranks and all that follows from them hold every table's columns side by
+    side. ``owners`` tells the table of each position. What only one table has, a
+    dataset profile and sample values, a joint profile has not.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], as_of: str, text: bool = True):
+        super().__init__(None, ", ".join(tables), as_of, text)
+        self.tables = dict(tables)
+        self.owners = [name for name, df in tables.items() for _ in df.columns]
+
+    @property
+    def names(self) -> list[str]:
+        return [c for df in self.tables.values() for c in df.columns]
+
+    @property
+    def stored(self) -> list[str] | None:
+        return None if self.text else [f.dataType.simpleString() for df in self.tables.values() for f in df.schema.fields]
+
+    @cached_property
+    def frequencies(self) -> DataFrame:
+        parts, first = [], 0
+        for df in self.tables.values():
+            parts.append(value_frequencies(positional(df), first))
+            first += len(df.columns)
+        return materialize(reduce(DataFrame.unionByName, parts), "frequencies")
+
+
 def profile_file(spark: SparkSession, path: str, as_of: str, header: list[str | None] | None = None, **options) -> Profile:
     """The profile of a delimited text file, with the names that its header repeats."""
     names = header if header is not None else header_of(spark, path, **options)
