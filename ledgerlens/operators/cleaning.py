@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.parsing import is_placeholder, normal_form, parse_boolean, parse_date, parse_number, strip
+from ledgerlens.operators.ordering import quantile_columns, quantile_picks, running_weight
+from ledgerlens.operators.profile.columns import QUARTILES
 from ledgerlens.operators.profile.dataset import digest_counts, digested, identical_pairs, positional, unnamed_columns
+from ledgerlens.session import materialize
 
 
 def named(column: str) -> Column:
@@ -141,31 +144,37 @@ def describe_missing(df: DataFrame, column: str) -> DataFrame:
     """The rows in which ``column`` is missing, summed up over every other column.
 
     Count, distinct values, the commonest value (the smallest of those) and its
-    count, extremes, and for numeric columns mean and deviation. Values are counted
-    once, combined map-side.
+    count, extremes, and for numeric columns mean, deviation and exact quartiles.
+    Values are counted once, combined map-side, and written; all else follows from
+    the counts. Deviations are taken from the mean, so large values lose no digits.
     """
+    spark = df.sparkSession
     missing = df.where(named(column).isNull())
     others = [c for c in df.columns if c != column]
-    numeric = [i for i, c in enumerate(others) if isinstance(df.schema[c].dataType, T.NumericType)]
+    numeric = [str(i) for i, c in enumerate(others) if isinstance(df.schema[c].dataType, T.NumericType)]
     cells = missing.select(*[named(c).cast("string").alias(str(i)) for i, c in enumerate(others)], F.lit("").alias("rows"))
-    values = cells.unpivot([], [str(i) for i in range(len(others))] + ["rows"], "place", "v").groupBy("place", "v").agg(F.count("*").alias("n"))
-    x = F.when(F.col("place").isin(*[str(i) for i in numeric]), F.col("v").try_cast("double")) if numeric else F.lit(None).cast("double")
-    held = F.col("v").isNotNull()
-    top = F.min(F.when(held, F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))))
+    counted = cells.unpivot([], [str(i) for i in range(len(others))] + ["rows"], "place", "v").groupBy("place", "v").agg(F.count("*").alias("n"))
+    values = materialize(counted.withColumn("x", F.when(F.col("place").isin(numeric), F.col("v").try_cast("double"))), "missing")
+    x, n, held = F.col("x"), F.col("n"), F.col("v").isNotNull()
     sums = values.groupBy("place").agg(
-        F.coalesce(F.sum(F.when(held, F.col("n"))), F.lit(0)).alias("count"), F.count("v").alias("unique"), top.alias("top"),
-        F.max(F.when(held, F.col("n"))).alias("freq"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.min(x).alias("low"), F.max(x).alias("high"), F.sum(x * F.col("n")).alias("s"), F.sum(F.when(x.isNotNull(), F.col("n"))).alias("k"),
-        F.sum(x * x * F.col("n")).alias("s2"))
-    whole = sums.where("place = 'rows'").select(F.col("count").alias("rows"))
-    frame = df.sparkSession.createDataFrame([(str(i), c) for i, c in enumerate(others)], "place string, name string")
-    mean = F.try_divide(F.col("s"), F.col("k"))
-    spread = F.try_divide(F.col("s2") - mean * mean * F.col("k"), F.col("k") - 1)
+        F.coalesce(F.sum(F.when(held, n)), F.lit(0)).alias("count"), F.count("v").alias("unique"),
+        F.min(F.when(held, F.struct((-n).alias("n"), F.col("v").alias("v")))).alias("top"),
+        F.max(F.when(held, n)).alias("freq"), F.min("v").alias("min"), F.max("v").alias("max"), F.min(x).alias("low"), F.max(x).alias("high"),
+        F.sum(F.when(x.isNotNull(), n)).alias("k"), F.try_divide(F.sum(x * n), F.sum(F.when(x.isNotNull(), n))).alias("mean"))
+    sums = materialize(sums.repartition(1), "sums")
+    numbers = values.where(x.isNotNull())
+    # One row for each column: the broadcast table is as wide as the schema.
+    apart = x - F.col("mean")
+    squares = numbers.join(F.broadcast(sums.select("place", "mean")), "place").groupBy("place").agg(F.sum(apart * apart * n).alias("m2"))
+    placed = running_weight(numbers.select("place", "x", "n"), ["place"], ["x"], numbers.count(), "n", total="all")
+    quartiles = placed.groupBy("place").agg(*quantile_picks("x", "n", F.col("all"), QUARTILES)).select("place", *quantile_columns(QUARTILES))
+    rows = sums.where("place = 'rows'").select(F.col("count").alias("rows"))
+    frame = spark.createDataFrame([(str(i), c) for i, c in enumerate(others)], "place string, name string")
     end = lambda text, number: F.coalesce(F.col(number).cast("string"), F.col(text))
-    return frame.join(sums, "place", "left").select(
-        F.coalesce(whole.scalar(), F.lit(0)).cast("bigint").alias("rows"), "name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+    return frame.join(sums, "place", "left").join(squares, "place", "left").join(quartiles, "place", "left").select(
+        F.coalesce(rows.scalar(), F.lit(0)).cast("bigint").alias("rows"), "name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
         F.coalesce("unique", F.lit(0)).cast("bigint").alias("unique"), F.col("top.v").alias("top"), "freq",
-        end("min", "low").alias("min"), end("max", "high").alias("max"), mean.alias("mean"), F.when(spread.isNotNull(), F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("std"))
+        end("min", "low").alias("min"), end("max", "high").alias("max"), "mean", F.sqrt(F.try_divide(F.col("m2"), F.col("k") - 1)).alias("std"), *QUARTILES)
 
 
 def outlier_rows(df: DataFrame, column: str, columns: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ledgerlens.functions import fixed
 from ledgerlens.functions.expressions import half_up
 from ledgerlens.functions.parsing import null_default_tokens, parse_date, parse_number
 from ledgerlens.operators import cleaning, diagnose, evaluate, planting
-from ledgerlens.operators.profile import Profile, profile_file, columns as profile_columns, dataset as profile_dataset
+from ledgerlens.operators.profile import JointProfile, Profile, profile_file, columns as profile_columns, dataset as profile_dataset
 from ledgerlens.plans import review_sql as sql
 from ledgerlens.plans.views import table
 from ledgerlens.session import materialize, work_path
@@ -313,9 +313,35 @@ def truth_of(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(planting.TRUTH), "dataset string, column string, value double")
 
 
+def swept(spark: SparkSession, d: str) -> JointProfile:
+    """The planted table and its control in one profile, kept like those of single tables."""
+    names = ("planted", "control")
+    key = (spark.sparkContext.applicationId, names, listing(spark, f"{d.rstrip('/')}/orders.parquet"))
+    if key not in _profiles:
+        _profiles[key] = JointProfile({n: dataset(spark, d, n) for n in names}, AS_OF)
+    return _profiles[key]
+
+
 def outcomes(spark, d):
-    profiles = {n: profile_of(spark, d, n) for n in ("planted", "control")}
-    return evaluate.judged(evaluate.flagged(profiles), truth_of(spark))
+    return evaluate.judged(evaluate.flagged(swept(spark, d)), truth_of(spark))
+
+
+def i12_typed(spark, d):
+    """Documents that no label covers, over the numbers and texts of both tables."""
+    labelled = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+    rounded = [half_up(F.col(c), 6).alias(c) for c in ("mean", "std", "q1", "median", "q3")]
+    out = cleaning.describe_missing(labelled, "quality")
+    return out.select(*[c for c in out.columns if c not in ("mean", "std", "q1", "median", "q3")], *rounded)
+
+
+I12_TYPED_SQL = "WITH gone AS (SELECT doc_id, lang, source, n_chars, toxic FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL) " + " UNION ALL ".join(
+    f"""SELECT (SELECT count(*) FROM gone) AS rows, '{c}' AS name, count({c}) AS count, count(DISTINCT {c}) AS "unique",
+  (SELECT CAST({c} AS VARCHAR) FROM gone WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top,
+  (SELECT count(*) FROM gone WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 1 DESC LIMIT 1) AS freq,
+  CAST(min({x}) AS VARCHAR) AS min, CAST(max({x}) AS VARCHAR) AS max, {sql.up(f'avg({y})', 6)} AS mean, {sql.up(f'stddev_samp({y})', 6)} AS std,
+  {', '.join(f"{sql.up(f'quantile_cont({y}, {q})', 6)} AS {name}" for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)))} FROM gone"""
+    for c, x, y in (*[(c, f"CAST({c} AS DOUBLE)", f"CAST({c} AS DOUBLE)") for c in ("doc_id", "n_chars", "toxic")],
+                    *[(c, c, "CAST(NULL AS DOUBLE)") for c in ("lang", "source")]))
 
 
 def sweep_sql(select: str) -> str:
@@ -400,12 +426,14 @@ def a04_default_na(spark, d):
 
 
 def a12_review_sink(spark, d):
-    """Writes the review of the planted table and reads the findings back."""
+    """Publishes the review of the planted table and reads its three tables back: each finding beside its column and the data set."""
     p, findings = found(spark, d)
     folder = fresh_path(spark, "review")
-    paths = sinks.write_review({"column_profile": p.columns, "dataset_profile": p.dataset, "findings": findings}, "planted", folder)
-    back = spark.read.parquet(paths["findings"]).where("source = 'planted'")
-    return back.select("severity", "kind", "rule_id", "column")
+    sinks.write_review({"column_profile": p.columns, "dataset_profile": p.dataset, "findings": findings}, "planted", folder)
+    back = sinks.read_review(spark, folder, "planted")
+    columns = back["column_profile"].select(F.col("name").alias("column"), "null_count", "unique_count")
+    return (back["findings"].join(columns, "column", "left").crossJoin(F.broadcast(back["dataset_profile"].select("rows", "duplicate_rows")))
+            .select("severity", "kind", "rule_id", "column", "null_count", "unique_count", "rows", "duplicate_rows"))
 
 
 def a11_result_sink(spark, d):
@@ -441,7 +469,9 @@ SPECS: dict[str, tuple] = {
     "g30_repeated_names": (g30_repeated_names, "SELECT 'name' AS name, count(*) AS rows FROM supplier HAVING count(*) > 0"),
     "g07_date_layouts": (g07_date_layouts, "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders"),
     "a11_result_sink": (a11_result_sink, "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1"),
-    "a12_review_sink": (a12_review_sink, with_findings("planted", 'SELECT severity, kind, rule_id, "column" FROM findings')),
+    "a12_review_sink": (a12_review_sink, with_findings(
+        "planted", 'SELECT severity, kind, rule_id, "column", null_count, n_distinct AS unique_count, whole.rows AS rows, whole.duplicate_rows AS duplicate_rows '
+        'FROM findings LEFT JOIN (SELECT name, null_count, n_distinct FROM full_prof) ON "column" = name, whole')),
     "g01_placeholder_count": (_columns("planted", "name", "disguised_null_count"),
                               with_profile("planted", "SELECT name, disguised_null_count FROM full_prof")),
     "g02_placeholder_tokens": (g02_placeholder_tokens,
@@ -525,7 +555,7 @@ FROM full_prof WHERE inferred_type = 'datetime'""")),
     "h01_h22_findings_events": findings_of("events"),
     "h17_many_codes": (
         lambda s, d: diagnose.sentinel_hits(profile_of(s, d, "coded").numeric, profile_of(s, d, "coded").repeated_values,
-                                            [fixed.SENTINEL_RATE]),
+                                            [fixed.SENTINEL_RATE]).drop("position"),
         with_profile("coded", "SELECT rate, name, value, n FROM hits", sql.hits([fixed.SENTINEL_RATE]))),
     "h23_h30_findings_listing": (h23_order, with_findings("planted", H23_SQL)),
     "h24_starting_points": (h24_starting_points, with_findings("planted", "").rstrip() + H24_SQL),
@@ -580,8 +610,10 @@ FROM rare WHERE grade IS NOT NULL AND {sql.to_number('grade')} IS NULL GROUP BY
             f"""SELECT (SELECT count(*) FROM gone) AS rows, {sql.text(c)} AS name, count("{c}") AS count, count(DISTINCT "{c}") AS "unique",
   (SELECT "{c}" FROM gone WHERE "{c}" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top,
   (SELECT count(*) FROM gone WHERE "{c}" IS NOT NULL GROUP BY "{c}" ORDER BY 1 DESC LIMIT 1) AS freq,
-  min("{c}") AS min, max("{c}") AS max, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std FROM gone"""
+  min("{c}") AS min, max("{c}") AS max, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std,
+  CAST(NULL AS DOUBLE) AS q1, CAST(NULL AS DOUBLE) AS median, CAST(NULL AS DOUBLE) AS q3 FROM gone"""
             for c in sql.PLANTED_COLUMNS if c != "Age Days"), """gone AS (SELECT * FROM planted WHERE "Age Days" IS NULL)""")),
+    "i12_describe_missing_typed": (i12_typed, I12_TYPED_SQL),
     "i13_repeated_identifiers": (
         lambda s, d: cleaning.repeated_identifiers(dataset(s, d, "planted"), "Lot Ref"), from_source("planted", """SELECT "Lot Ref" AS value,
   count(*) AS n FROM planted GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, value LIMIT 20""")),
@@ -600,15 +632,15 @@ FROM rare WHERE grade IS NOT NULL AND {sql.to_number('grade')} IS NULL GROUP BY
         _clean(lambda df: cleaning.future_rows(df, "Promised", AS_OF)), from_source(
             "planted", f"""SELECT {PLAIN} FROM planted WHERE {sql.to_date('"Promised"')} > TIMESTAMP '{AS_OF}'""")),
     "i18_pool_rare_categories": (
-        lambda s, d: cleaning.pool_rare_categories(dataset(s, d, "rare"), "segment_code", 10).groupBy("segment_code").agg(
-            F.count("*").alias("n")),
-        from_source("rare", """SELECT CASE WHEN segment_code IN (SELECT v FROM top) OR segment_code IS NULL THEN segment_code ELSE 'Other' END AS segment_code,
-  count(*) AS n FROM rare GROUP BY 1""", """top AS (SELECT segment_code AS v, count(*) AS n FROM rare WHERE segment_code IS NOT NULL
+        lambda s, d: cleaning.pool_rare_categories(dataset(s, d, "rare"), "segment_code", 10),
+        from_source("rare", f"""SELECT {_sql_cols(*[c for c in RARE_COLUMNS if c != 'segment_code'])},
+  CASE WHEN segment_code IN (SELECT v FROM top) OR segment_code IS NULL THEN segment_code ELSE 'Other' END AS segment_code FROM rare""",
+                    """top AS (SELECT segment_code AS v, count(*) AS n FROM rare WHERE segment_code IS NOT NULL
   GROUP BY 1 ORDER BY n DESC, v LIMIT 10)""")),
     "i_fix_then_silence": (fixed_silence, with_findings(
         "planted", "SELECT rule_id, count(*) AS n_before, CAST(0 AS BIGINT) AS n_after FROM findings WHERE kind = 'fix' GROUP BY 1")),
     "j01_rate_sweep_flags": (
-        lambda s, d: evaluate.flagged({n: profile_of(s, d, n) for n in ("planted", "control")}),
+        lambda s, d: evaluate.flagged(swept(s, d)),
         sweep_sql('SELECT rate, dataset, name AS "column", value, n FROM flags')),
     "j02_column_scores": (lambda s, d: evaluate.column_scores(outcomes(s, d)), sweep_sql(
         f'SELECT rate, dataset, "column", {COUNTS_SQL} FROM judged GROUP BY ALL')),

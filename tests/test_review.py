@@ -3,7 +3,7 @@
 import pytest
 
 from ledgerlens.operators import cleaning, diagnose, evaluate, planting
-from ledgerlens.operators.profile import Profile
+from ledgerlens.operators.profile import JointProfile, Profile
 from ledgerlens.functions.parsing import null_default_tokens
 from ledgerlens.plans import review
 from ledgerlens.plans.views import table
@@ -85,8 +85,13 @@ def test_pooling_keeps_nulls_and_the_most_frequent(spark):
 
 
 def test_sweep_loses_recall_as_the_rate_grows(spark, planted):
-    control = Profile(planting.clean_control(table(spark, "/root/testdata/sf0.01", "orders")), "control", AS_OF)
-    rows = evaluate.sensitivity_of({"planted": planted, "control": control}, review.truth_of(spark)).collect()
+    orders = table(spark, "/root/testdata/sf0.01", "orders")
+    both = JointProfile({"planted": planting.plant_defects(orders), "control": planting.clean_control(orders)}, AS_OF)
+    rows = evaluate.sensitivity_of(both, review.truth_of(spark)).collect()
+    # Side by side the tables measure as they do alone.
+    alone = {r["name"]: r.asDict() for r in planted.numeric.collect()}
+    joint = {r["name"]: r.asDict() for r in both.numeric.collect() if both.owners[r["position"]] == "planted"}
+    assert joint == alone
     recall = [r["recall"] for r in rows]
     assert recall[:3] == [1.0, 1.0, 1.0] and recall == sorted(recall, reverse=True) and recall[-1] == 0.0
     assert all(r["false_alarms"] == 0 for r in rows) and rows[-1]["precision"] is None

@@ -1,6 +1,7 @@
 """Reading delimited text and writing results."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators.profile import profile_file
 from ledgerlens.sources import delimited, sinks, tables
@@ -79,13 +80,22 @@ def test_typed_tables(spark, tmp_path):
     assert tables.load_students(spark, students).first()["inter_dom"] == "Inter"
 
 
-def test_review_sink_replaces_only_its_own_source(spark, tmp_path):
+def test_a_review_is_published_as_a_whole(spark, tmp_path):
     one, two = spark.createDataFrame([(1,)], "n int"), spark.createDataFrame([(2,)], "n int")
     folder = str(tmp_path / "reviews")
-    sinks.write_review({"t": one}, "a", folder)
+
+    def held(source):
+        return {name: [tuple(r) for r in df.collect()] for name, df in sinks.read_review(spark, folder, source).items()}
+
+    sinks.write_review({"t": one, "u": one}, "a", folder)
     sinks.write_review({"t": two}, "b", folder)
-    path = sinks.write_review({"t": two}, "a", folder)["t"]
-    assert {(r["source"], r["n"]) for r in spark.read.parquet(path).collect()} == {("a", 2), ("b", 2)}
+    assert held("a") == {"t": [(1, "a")], "u": [(1, "a")]} and held("b") == {"t": [(2, "b")]} and held("c") == {}
+    broken = two.select(F.raise_error(F.lit("lost")).cast("int").alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_review({"t": two, "u": broken}, "a", folder)
+    assert held("a") == {"t": [(1, "a")], "u": [(1, "a")]}
+    sinks.write_review({"t": two, "u": one}, "a", folder)
+    assert held("a") == {"t": [(2, "a")], "u": [(1, "a")]} and held("b") == {"t": [(2, "b")]}
 
 
 def test_result_sink(spark, tmp_path):
