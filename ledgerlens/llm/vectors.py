@@ -31,7 +31,7 @@ BLOCK = 1024
 MARGIN = 1e-6
 
 QUANTISED = T.StructType([T.StructField("id", T.LongType()), T.StructField("vec", T.BinaryType()),
-                          T.StructField("square", T.DoubleType())])
+                          T.StructField("square", T.DoubleType()), T.StructField("size", T.IntegerType())])
 KEYED = T.StructType([T.StructField("id", T.LongType()), T.StructField("vec", T.BinaryType()),
                       T.StructField("cell", T.IntegerType()), T.StructField("dist", T.DoubleType())])
 BLOCKS = T.StructType([T.StructField("block", T.StringType()), T.StructField("cell", T.IntegerType()), T.StructField("near", T.DoubleType()),
@@ -39,28 +39,52 @@ BLOCKS = T.StructType([T.StructField("block", T.StringType()), T.StructField("ce
 FOUND = T.StructType([T.StructField("query", T.LongType()), T.StructField("id", T.LongType()), T.StructField("score", T.LongType())])
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers given as doubles: one byte for the kind, then 32-bit integers, or doubles if one is too large for these."""
+    small = not len(x) or np.abs(x).max() < 2.0 ** 31
+    return b"i" + x.astype("<i4").tobytes() if small else b"d" + x.astype("<f8").tobytes()
+
+
+def unpacked(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, "<i4" if body[:1] == b"i" else "<f8", offset=1).astype(np.float64)
+
+
+def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of two matrices of whole numbers; one beyond 64 bits becomes the nearest 64-bit number."""
+    norm = max((x * x).sum(1).max(initial=0.0) for x in (a, b))
+    if norm < 2.0 ** 52:  # products of doubles are exact up to there, and no partial sum is larger
+        return (a @ b.T).astype(np.int64)
+    if norm < 2.0 ** 62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    whole = np.vectorize(int, otypes=[object])
+    return np.clip(whole(a) @ whole(b).T, NO_SCORE + 1, (1 << 63) - 1).astype(np.int64)
+
+
 def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Components as 32-bit integers without trailing zeros, so that equal vectors have equal bytes."""
+    """Components as whole numbers without trailing zeros, so that equal vectors have equal bytes."""
     for batch in batches:
-        ids, vecs, squares = [], [], []
+        ids, vecs, squares, sizes = [], [], [], []
         for i, v in zip(batch.column("id").to_pylist(), batch.column("vector").to_pylist()):
             if i is None or v is None or any(x is None for x in v):
                 continue
             x = np.floor(SCALE * np.asarray(v, np.float64))
-            if not np.isfinite(x).all() or (np.abs(x) >= 2 ** 31).any():
+            if not np.isfinite(x @ x):
                 continue
             used = np.flatnonzero(x)
             x = x[:used[-1] + 1] if len(used) else x[:0]
             ids.append(i)
-            vecs.append(x.astype("<i4").tobytes())
+            vecs.append(packed(x))
             squares.append(float(x @ x))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vecs, pa.binary()), pa.array(squares, pa.float64())], names=QUANTISED.names)
+            sizes.append(len(x))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vecs, pa.binary()), pa.array(squares, pa.float64()), pa.array(sizes, pa.int32())],
+                                         names=QUANTISED.names)
 
 
 def rows_of(vecs: list[bytes], dim: int) -> np.ndarray:
     out = np.zeros((len(vecs), dim))
     for r, v in enumerate(vecs):
-        out[r, :len(v) // 4] = np.frombuffer(v, "<i4")
+        x = unpacked(v)
+        out[r, :len(x)] = x
     return out
 
 
@@ -111,7 +135,7 @@ def blocks(rows: DataFrame, dim: int, per_cell: bool, label: str) -> DataFrame:
             near, far = min(h[3] for h in held), max(h[3] for h in held)
             held.sort(key=lambda h: h[0])
             row = {"block": [f"{part}-{number}"], "cell": [held[0][2]], "near": [near], "far": [far],
-                   "ids": [np.array([h[0] for h in held], "<i8").tobytes()], "vecs": [rows_of([h[1] for h in held], dim).astype("<i4").tobytes()]}
+                   "ids": [np.array([h[0] for h in held], "<i8").tobytes()], "vecs": [packed(rows_of([h[1] for h in held], dim).ravel())]}
             held.clear()
             return pa.RecordBatch.from_pydict(row, pa.schema([("block", pa.string()), ("cell", pa.int32()), ("near", pa.float64()),
                                                               ("far", pa.float64()), ("ids", pa.binary()), ("vecs", pa.binary())]))
@@ -138,12 +162,8 @@ def products(pairs: DataFrame, index: DataFrame, queries: DataFrame, dim: int, k
         for batch in batches:
             for q_ids, q_vecs, q_least, ids, vecs in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_vecs", "q_least", "ids", "vecs"))):
                 names, own = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
-                a = np.frombuffer(q_vecs, "<i4").reshape(len(names), dim)
-                b = np.frombuffer(vecs, "<i4").reshape(len(own), dim)
-                norm = max((x.astype(np.float64) ** 2).sum(1).max(initial=0.0) for x in (a, b))
-                kind = np.float64 if norm < 2.0 ** 52 else np.int64  # products of doubles are exact up to there
-                scores = (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                scores = exact_products(unpacked(q_vecs).reshape(len(names), dim), unpacked(vecs).reshape(len(own), dim))
+                best = np.argsort(~scores, axis=1, kind="stable")[:, :k]
                 value = np.take_along_axis(scores, best, 1)
                 good = value >= np.frombuffer(q_least, "<i8")[:, None]
                 row = np.nonzero(good)[0]
@@ -166,7 +186,7 @@ def reach(queries: DataFrame, pivots: np.ndarray, dim: int, most: float, own_onl
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, vecs, least in zip(*(batch.column(c).to_pylist() for c in ("block", "vecs", "least"))):
-                x = np.frombuffer(vecs, "<i4").reshape(-1, dim).astype(np.float64)
+                x = unpacked(vecs).reshape(-1, dim)
                 d = distances(np.column_stack([x, np.zeros(len(x))]), pivots)
                 floor = np.frombuffer(least, "<i8").astype(np.float64)
                 if own_only:
@@ -217,8 +237,11 @@ def top_products(df: DataFrame, queries: Column, k: int = 5, id_column: str = "v
 
     ``queries`` says which rows are queries. Components become floor(256 * x).
     Equal scores go to the smaller id. Shorter vectors count as filled up with
-    zeros. Vectors that are null, hold a null or a component that is not finite or
-    beyond 32 bits take no part, nor do rows without an id. Rows that repeat an id
+    zeros. Vectors that are null, hold a null or a component that is not finite, or
+    have a square beyond a double (components of 1e150) take no part, nor do rows
+    without an id. A score beyond 64 bits is given as the nearest 64-bit number.
+    Components beyond 32 bits make the bounds wide and the arithmetic slow, but
+    exact. Rows that repeat an id
     and vector count once, and no row is a partner of its own id. An empty table
     gives no rows; further columns are not read.
 
@@ -230,10 +253,10 @@ def top_products(df: DataFrame, queries: Column, k: int = 5, id_column: str = "v
     source = df.select(column(id_column).cast("bigint").alias("id"), column(vector_column).alias("vector"), queries.alias("asks"))
     rows = materialize(source.select("id", "vector").mapInArrow(quantise, QUANTISED).distinct(), "vectors")
     asking = rows.join(source.filter("asks").select("id").distinct(), "id", "left_semi").select("id", "vec")
-    facts = rows.agg(F.max("square").alias("most"), F.max(F.octet_length("vec")).alias("bytes")).first()
+    facts = rows.agg(F.max("square").alias("most"), F.max("size").alias("size")).first()
     if facts["most"] is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    most, dim = facts["most"], max(1, facts["bytes"] // 4)
+    most, dim = facts["most"], max(1, facts["size"])
     sample = bounded_sample(rows, "id", SAMPLE).select("vec").collect()
     pivots = centres(lifted(rows_of([bytes(r["vec"]) for r in sample], dim), most))
 

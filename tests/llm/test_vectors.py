@@ -18,7 +18,8 @@ def plain(rows, asks, k):
     out = []
     for q in good:
         if asks(q):
-            scores = sorted((-sum(a * b for a, b in zip(good[q], good[i])), i) for i in good if i != q)
+            # Beyond 64 bits scores are the nearest 64-bit number, and so equal.
+            scores = sorted((-max(-(1 << 63) + 1, min((1 << 63) - 1, sum(a * b for a, b in zip(good[q], good[i])))), i) for i in good if i != q)
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -46,3 +47,13 @@ def test_few_and_no_rows(spark):
     assert run(spark, rows, 50, 5) == plain(rows, lambda q: q % 50 == 0, 5)
     assert run(spark, [(0, [1.0])], 50, 5) == []
     assert run(spark, [(1, None)], 50, 5) == []
+
+
+def test_large_components(spark):
+    """Beyond 32 bits, beyond exact doubles, and beyond 64 bits in the product only."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=3).round(3).tolist()) for i in range(60)]
+    rows += [(100, [1e8, 1.0]), (150, [-1e8, 2.0, 1e8]), (151, [3e7, 1e5, -4e6]), (200, [5e12, 0.25]), (201, [0.0, 1.0, 7e14])]
+    got = run(spark, rows, 50, 5)
+    want = plain(rows, lambda q: q % 50 == 0, 5)
+    assert got == want and any(i == 100 for _, _, i, _ in got)
