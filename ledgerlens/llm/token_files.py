@@ -4,23 +4,26 @@ A file is a Parquet data set with one row for each segment. Parquet is only the
 envelope, so that Spark commits the rows of a task as a whole and any store that
 Spark writes to will do. The segment's body is binary::
 
-    header   "IDEF", width of an id in bytes, low bits of a border, documents, ids, bytes of the high part
+    header   "IDEG", width of an id in bytes, sizes of what follows, first document id
     ids      all ids one after the other, little-endian
     low      the low bits of each document's end, packed
     high     the rest of the ends in unary: bit (end >> low bits) + i is set for document i
     samples  the place in ``high`` of every SAMPLED-th set bit, 4 bytes each
+    names    low, high and samples once more, of the document ids less the first one; documents without an id come last and have none
 
-So the ends take about 2 bits and the low bits for each document, and one end is
-found by a jump to a sample and a short scan.
+So a border takes about 2 bits and its low bits, and one is found by a jump to a
+sample and a short scan. Nothing has a table of 64-bit numbers.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +32,17 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ledgerlens.llm.common import bounded_batches, column, shuffle_partitions
 from ledgerlens.session import work_path
 
-HEADER = struct.Struct("<4sBBxxIQI")
-MAGIC = b"IDEF"
+HEADER = struct.Struct("<4sBBBxIIIIQq")
+MAGIC = b"IDEG"
 SAMPLED = 256
 #: A segment ends with the document that brings it to so many ids or documents.
 SEGMENT_IDS, SEGMENT_DOCS = 1 << 21, 1 << 16
+#: Documents that a reader decodes at once.
+AT_ONCE = 1024
 #: Words whose ids a Python worker remembers, and the longest that it remembers.
 CACHED_WORDS, CACHED_BYTES = 1 << 20, 64
+#: New words encoded as one text.
+TOGETHER = 256
 
 
 class Borders:
@@ -70,41 +77,75 @@ class Borders:
             ones = np.flatnonzero(np.unpackbits(self.high[byte:byte + 1], bitorder="little"))
         return byte * 8 + int(ones[left])
 
-    def end(self, i: int) -> int:
-        """The end of one document, without reading the others."""
-        value = (self.select(i) - i) << self.low_bits
-        for k in range(self.low_bits):
-            bit = i * self.low_bits + k
-            value |= (int(self.low[bit >> 3]) >> (bit & 7) & 1) << k
-        return value
-
-    def ends(self) -> np.ndarray:
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.count]
-        high = places.astype(np.int64) - np.arange(self.count)
+    def between(self, a: int, b: int) -> np.ndarray:
+        """The values of documents ``a`` up to ``b``: from the sample before the first to that behind the last, without reading the others."""
+        if a >= b:
+            return np.zeros(0, np.uint64)
+        sample, behind = a // SAMPLED, -(-b // SAMPLED)
+        place = int(self.samples[sample])
+        stop = (int(self.samples[behind]) >> 3) + 1 if behind < len(self.samples) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[place >> 3:stop], bitorder="little"))
+        ones = ones[np.searchsorted(ones, place & 7) + a - sample * SAMPLED:][:b - a] + (place >> 3) * 8
+        values = (ones - np.arange(a, b)).astype(np.uint64)
         if not self.low_bits:
-            return high
-        bits = np.unpackbits(self.low, bitorder="little")[:self.count * self.low_bits].reshape(self.count, self.low_bits)
-        return (high << self.low_bits) | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1)
+            return values
+        first, last = a * self.low_bits, b * self.low_bits
+        bits = np.unpackbits(self.low[first >> 3:(last + 7) >> 3], bitorder="little")[first & 7:][:last - first].reshape(b - a, self.low_bits)
+        return (values << np.uint64(self.low_bits)) | (bits.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
+    def end(self, i: int) -> int:
+        """One value; in front of the first it is 0."""
+        return int(self.between(i, i + 1)[0]) if i >= 0 else 0
 
-def pack(ids: bytes, width: int, sizes: list[int]) -> bytes:
-    b = Borders.encode(np.cumsum(np.asarray(sizes, np.int64)))
-    return b"".join((HEADER.pack(MAGIC, width, b.low_bits, b.count, len(ids) // width, len(b.high)),
-                     ids, b.low.tobytes(), b.high.tobytes(), b.samples.tobytes()))
+    def ends(self) -> np.ndarray:
+        return self.between(0, self.count).astype(np.int64)
 
+    def parts(self) -> bytes:
+        return b"".join(x.tobytes() for x in (self.low, self.high, self.samples))
 
-def unpack(body: bytes) -> tuple[np.ndarray, Borders]:
-    magic, width, low_bits, count, total, high_bytes = HEADER.unpack_from(body)
-    if magic != MAGIC:
-        raise ValueError("not a segment of token ids")
-    at = HEADER.size
-    ids = np.frombuffer(body, f"<u{width}", total, at)
-    at += total * width
-    low = np.frombuffer(body, np.uint8, (count * low_bits + 7) // 8, at)
-    at += len(low)
-    high = np.frombuffer(body, np.uint8, high_bytes, at)
-    samples = np.frombuffer(body, "<u4", -(-count // SAMPLED), at + high_bytes)
-    return ids, Borders(count, low_bits, low, high, samples)
+    @classmethod
+    def read(cls, body: bytes, at: int, count: int, low_bits: int, high_bytes: int) -> tuple[Borders, int]:
+        low = np.frombuffer(body, np.uint8, (count * low_bits + 7) // 8, at)
+        high = np.frombuffer(body, np.uint8, high_bytes, at + len(low))
+        samples = np.frombuffer(body, "<u4", -(-count // SAMPLED), at + len(low) + high_bytes)
+        return cls(count, low_bits, low, high, samples), at + len(low) + high_bytes + 4 * len(samples)
+
+
+def pack(ids: bytes, width: int, sizes: list[int], names: list[int | None] = ()) -> bytes:
+    """A segment's body; ``names`` are the document ids in ascending order, null ones last."""
+    borders = Borders.encode(np.cumsum(np.asarray(sizes, np.int64)))
+    named = np.array([n for n in names if n is not None], np.int64)
+    first = int(named[0]) if len(named) else 0
+    # Differences of 64-bit numbers, exact in unsigned arithmetic however far they are apart.
+    known = Borders.encode(named.view(np.uint64) - np.array([first], np.int64).view(np.uint64))
+    return b"".join((HEADER.pack(MAGIC, width, borders.low_bits, known.low_bits, borders.count, known.count, len(borders.high), len(known.high),
+                                 len(ids) // width, first), ids, borders.parts(), known.parts()))
+
+
+class Segment:
+    """A segment's body, of which only what is asked for is decoded."""
+
+    def __init__(self, body: bytes):
+        magic, width, low_bits, name_bits, count, named, high_bytes, name_bytes, total, self.first = HEADER.unpack_from(body)
+        if magic != MAGIC:
+            raise ValueError("not a segment of token ids")
+        self.count, self.named = count, named
+        self.ids = np.frombuffer(body, f"<u{width}", total, HEADER.size)
+        self.borders, at = Borders.read(body, HEADER.size + total * width, count, low_bits, high_bytes)
+        self.known, _ = Borders.read(body, at, named, name_bits, name_bytes)
+
+    def names(self, a: int, b: int) -> list[int | None]:
+        own = self.known.between(min(a, self.named), min(b, self.named)) + np.array([self.first], np.int64).view(np.uint64)
+        return own.view(np.int64).tolist() + [None] * (b - a - len(own))
+
+    def find(self, name: int) -> tuple[int, int]:
+        """The places of the documents of one id, from and to, by halving."""
+        return bisect_left(range(self.named), name, key=lambda i: self.names(i, i + 1)[0]), bisect_right(
+            range(self.named), name, key=lambda i: self.names(i, i + 1)[0])
+
+    def document(self, i: int) -> np.ndarray:
+        """The ids of one document: what lies between two borders."""
+        return self.ids[self.borders.end(i - 1):self.borders.end(i)]
 
 
 class Encoder:
@@ -123,6 +164,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.cache: dict[bytes, bytes] = {}
+        self.check()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -131,65 +173,87 @@ class Encoder:
             cls._own[path] = cls(path)
         return cls._own[path]
 
+    def check(self) -> None:
+        """Raises an error for a tokenizer that joins something across white space, told by words of its vocabulary."""
+        words = [w for w in sorted(self.tokenizer.get_vocab())[::97] if w.strip() and not w.startswith("<") and len(w.split()) == 1]
+        alone = [i for w in words for i in self.tokenizer.encode(w, add_special_tokens=False).ids]
+        for mark in (" ", "\n"):
+            if self.tokenizer.encode(mark.join(words), add_special_tokens=False).ids != alone:
+                raise ValueError("the tokenizer's ids depend on white space")
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [t.split() if t else [] for t in texts]
-        missing: set[bytes] = set()
-        for words in split:
-            missing |= set(words).difference(self.cache)
-        found = self.learn(list(missing))
-        out = [b"".join([self.cache[w] if w in self.cache else found[w] for w in words]) if found else
-               b"".join([self.cache[w] for w in words]) for words in split]
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
+        """The ids of each text. Python's search for cycles stands still meanwhile: there are none, and it would walk all words again and again."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            split = [t.split() if t else [] for t in texts]
+            forget = self.learn(list(set().union(*split).difference(self.cache)))
+            out = [b"".join(map(self.cache.__getitem__, words)) for words in split]
+            for w in forget:
+                del self.cache[w]
+        finally:
+            if collects:
+                gc.enable()
         return out
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Encodes new words; returns those that are too long to be remembered."""
-        long: dict[bytes, bytes] = {}
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """Encodes new words, many in one text; returns those that are not to be remembered.
+
+        These are long ones, and all new ones once the cache is full: frequent words come early.
+        """
+        full = len(self.cache) >= CACHED_WORDS
         kind = f"<u{self.width}"
-        for k in range(0, len(words), 4096):
-            part = words[k:k + 4096]
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, encoded):
-                (self.cache if len(w) <= CACHED_BYTES else long)[w] = np.array(e.ids, kind).tobytes()
-        return long
+        for k in range(0, len(words), TOGETHER):
+            part = words[k:k + TOGETHER]
+            texts = [w.decode("utf-8", "replace") for w in part]
+            encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            raw = np.array(encoded.ids, kind).tobytes()
+            # An id belongs to the word at or behind whose start it starts.
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+            ends = (np.searchsorted(np.array([o[0] for o in encoded.offsets], np.int64), starts[1:]) * self.width).tolist()
+            at = 0
+            for w, end in zip(part, ends):
+                self.cache[w] = raw[at:end]
+                at = end
+        return words if full else [w for w in words if len(w) > CACHED_BYTES]
 
 
 SEGMENT = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("segment", T.IntegerType()),
-                        T.StructField("before", T.LongType()), T.StructField("n_ids", T.LongType()),
-                        T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("body", T.BinaryType())])
+                        *[T.StructField(c, T.LongType()) for c in ("before", "n_ids", "first_id", "last_id")], T.StructField("body", T.BinaryType())])
 
 
 def write(df: DataFrame, path: str, tokenizer: str, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Encodes ``df`` and writes its ids in ascending order of the document id, null ids last.
 
-    Each range of ids is one task that encodes and packs its documents in order.
-    ``before`` counts the ids of the same range in earlier segments. Null and
-    empty texts have the end id only. Repeated rows are written as often as they
-    come, rows of one id in the order of their texts.
+    Texts are dealt out by range, and a task encodes and packs those of a range in
+    order. (Ranges are found by a pass over the rows, so what is dealt out must be
+    cheap to make, and ids are not.) ``before`` counts the ids of the same range in
+    earlier segments. Null and empty texts have the end id only. Repeated rows are
+    written as often as they come. Rows of one id come in the order of the lengths
+    of their texts, then of a hash; many of them, equal ones too, are spread over
+    several ranges.
     """
     spark = df.sparkSession
     bounded_batches(spark)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
-        end = end_id.to_bytes(encoder.width, "little")
-        part, number, before = 0, 0, 0
+        width, end = encoder.width, end_id.to_bytes(encoder.width, "little")
+        part, number, before, held = 0, 0, 0, 0
         names: list[int | None] = []
         sizes: list[int] = []
         bodies: list[bytes] = []
 
         def closed() -> pa.RecordBatch:
-            nonlocal number, before
-            body = pack(b"".join(bodies), encoder.width, sizes)
-            row = {"part": [part], "segment": [number], "before": [before], "n_ids": [sum(sizes)], "doc_ids": [list(names)], "body": [body]}
-            number, before = number + 1, before + sum(sizes)
+            nonlocal number, before, held
+            known = [n for n in names if n is not None]
+            row = {"part": [part], "segment": [number], "before": [before], "n_ids": [held], "first_id": known[:1] or [None], "last_id": known[-1:] or [None],
+                   "body": [pack(b"".join(bodies), width, sizes, names)]}
+            number, before, held = number + 1, before + held, 0
             names.clear(), sizes.clear(), bodies.clear()
             return pa.RecordBatch.from_pydict(row, pa.schema([
-                ("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()),
-                ("doc_ids", pa.list_(pa.int64())), ("body", pa.binary())]))
+                ("part", pa.int32()), ("segment", pa.int32()), *[(c, pa.int64()) for c in ("before", "n_ids", "first_id", "last_id")], ("body", pa.binary())]))
 
-        held = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -198,17 +262,18 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int, id_column: str
             for name, ids in zip(batch.column("id").to_pylist(), encoder.encode(texts)):
                 names.append(name)
                 bodies.append(ids + end)
-                sizes.append(len(bodies[-1]) // encoder.width)
+                sizes.append(len(bodies[-1]) // width)
                 held += sizes[-1]
                 if held >= SEGMENT_IDS or len(names) >= SEGMENT_DOCS:
-                    held = 0
                     yield closed()
         if names:
             yield closed()
 
-    placed = (df.select(column(id_column).cast("bigint").alias("id"), column(text_column).alias("text"))
-              .repartitionByRange(shuffle_partitions(spark), F.col("id").asc_nulls_last())
-              .sortWithinPartitions(F.col("id").asc_nulls_last(), F.col("text").asc_nulls_first())
+    text = column(text_column)
+    given = df.select(column(id_column).cast("bigint").alias("id"), text.alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).alias("size"),
+                      F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("row"))
+    order = [F.col("id").asc_nulls_last(), *[F.col(c).asc() for c in ("size", "hash", "row")]]
+    placed = (given.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
               .select(F.spark_partition_id().alias("part"), "id", "text"))
     placed.mapInArrow(segments, SEGMENT).write.parquet(path)
 
@@ -234,21 +299,48 @@ def read(spark, path: str, with_ids: bool = True) -> DataFrame:
     """
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for base, names, body in zip(*(batch.column(c).to_pylist() for c in ("base", "doc_ids", "body"))):
-                ids, borders = unpack(body)
-                ends = borders.ends()
-                starts = np.concatenate(([0], ends[:-1]))
-                wide = ids.astype("<u4")
-                columns = [pa.array(names, pa.int64()), pa.array(starts + base), pa.array(ends - starts),
-                           pa.array([zlib.crc32(wide[a:b]) for a, b in zip(starts, ends)], pa.int64())]
-                if with_ids:
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(wide.astype(np.int32))))
-                yield pa.RecordBatch.from_arrays(columns, names=READ.names[:len(columns)])
+            for base, body in zip(*(batch.column(c).to_pylist() for c in ("base", "body"))):
+                segment = Segment(body)
+                for a in range(0, segment.count, AT_ONCE):
+                    b = min(a + AT_ONCE, segment.count)
+                    before = segment.borders.end(a - 1)
+                    ends = segment.borders.between(a, b).astype(np.int64)
+                    starts = np.concatenate(([before], ends[:-1]))
+                    wide = segment.ids[before:int(ends[-1])].astype("<u4")
+                    columns = [pa.array(segment.names(a, b), pa.int64()), pa.array(starts + base), pa.array(ends - starts),
+                               pa.array([zlib.crc32(wide[x:y]) for x, y in zip(starts - before, ends - before)], pa.int64())]
+                    if with_ids:
+                        offsets = np.concatenate(([0], ends - before)).astype(np.int32)
+                        columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(wide.astype(np.int32))))
+                    yield pa.RecordBatch.from_arrays(columns, names=READ.names[:len(columns)])
 
     bounded_batches(spark)
     segments = spark.read.schema(SEGMENT).parquet(path)
     schema = READ if with_ids else T.StructType(READ.fields[:-1])
-    return with_bases(segments).select("base", "doc_ids", "body").mapInArrow(documents, schema)
+    return with_bases(segments).select("base", "body").mapInArrow(documents, schema)
+
+
+def chosen(spark, path: str, names: Sequence[int]) -> DataFrame:
+    """(doc_id, ids) of the documents of a few ids: of the segments that may hold one, only their borders are decoded.
+
+    An id that the files do not have gives no row, one that comes several times as many rows.
+    """
+    names = sorted(set(names))
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, list[int]]] = []
+            for first, last, body in zip(*(batch.column(c).to_pylist() for c in ("first_id", "last_id", "body"))):
+                segment = Segment(body)
+                for name in names[bisect_left(names, first):bisect_right(names, last)]:
+                    found += [(name, segment.document(i).tolist()) for i in range(*segment.find(name))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in found], pa.int64()), pa.array([i for _, i in found], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+
+    bounded_batches(spark)
+    near = [F.col("first_id").isNotNull() & (F.col("first_id") <= names[-1]) & (F.col("last_id") >= names[0])] if names else [F.lit(False)]
+    return (spark.read.schema(SEGMENT).parquet(path).filter(near[0]).select("first_id", "last_id", "body")
+            .mapInArrow(documents, "doc_id bigint, ids array<int>"))
 
 
 def round_trip(df: DataFrame, tokenizer: str, end_id: int, with_ids: bool = False, **columns: str) -> DataFrame:
