@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -10,7 +12,7 @@ from ledgerlens.functions import fixed
 from ledgerlens.functions.parsing import is_placeholder, normal_form, parse_boolean, parse_date, parse_number, strip
 from ledgerlens.operators.ordering import quantile_columns, quantile_picks, running_weight
 from ledgerlens.operators.profile.columns import QUARTILES
-from ledgerlens.operators.profile.dataset import digest_counts, digested, identical_pairs, positional, unnamed_columns
+from ledgerlens.operators.profile.dataset import digested, identical_pairs, positional, suspects, unnamed_columns
 from ledgerlens.session import materialize
 
 
@@ -33,13 +35,17 @@ def _replace(df: DataFrame, columns: Sequence[str], change) -> DataFrame:
 def list_repeated_rows(df: DataFrame) -> DataFrame:
     """Every copy of every row that occurs more than once, sorted by all columns.
 
-    The rows are found by a semi join with the repeated digests, so no group of
-    copies has to fit in one task.
+    The rows are found by semi joins, first with the digests that repeat, then
+    with the rows that do, so no group of copies has to fit in one task, and rows
+    that only share a digest are left out.
     """
     rows = positional(df)
-    suspects = digest_counts(rows).where("copies > 1").drop("copies")
-    copies = digested(rows).join(suspects, ["digest_a", "digest_b"], "left_semi").select(
-        *rows.columns, F.monotonically_increasing_id().alias("row"))
+    often = suspects(rows)
+    found = digested(rows).join(often, ["digest_a", "digest_b"], "left_semi")
+    twins = found.groupBy(*found.columns).agg(F.count("*").alias("copies")).where("copies > 1").toDF(*[f"twin_{c}" for c in found.columns], "copies")
+    same = [F.col(c).eqNullSafe(F.col(f"twin_{c}")) for c in rows.columns]
+    keys = [F.col(c) == F.col(f"twin_{c}") for c in ("digest_a", "digest_b")]
+    copies = found.join(twins, reduce(and_, keys + same), "left_semi").select(*rows.columns, F.monotonically_increasing_id().alias("row"))
     # The row number as last key lets the range sort split a long run of equal rows over several tasks.
     ordered = copies.orderBy(*[F.asc_nulls_last(c) for c in copies.columns])
     return ordered.drop("row").toDF(*df.columns)

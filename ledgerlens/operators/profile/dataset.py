@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.expressions import pct
 from ledgerlens.operators.profile.frequency import carrier_of
+from ledgerlens.session import materialize
 
 
 def positional(df: DataFrame) -> DataFrame:
@@ -26,23 +27,28 @@ def digest_counts(rows: DataFrame) -> DataFrame:
     return digested(rows).groupBy("digest_a", "digest_b").agg(F.count("*").alias("copies"))
 
 
+def suspects(rows: DataFrame) -> DataFrame:
+    """Digests that more than one row has, written, so that Spark knows their size before it joins them."""
+    return materialize(digest_counts(rows).where("copies > 1").drop("copies"), "suspects")
+
+
 def repeated_rows(df: DataFrame) -> DataFrame:
     """Every distinct row that occurs more than once, with its number of ``copies``.
 
     Digests are counted first, combined map-side. Full rows are joined only to
-    digests that repeat, in a join whose hot keys Spark can split, and the exact
-    grouping combines them map-side again.
+    digests that repeat, in a join whose hot keys Spark can split, and grouped by
+    their cells, combined map-side again. So rows of one digest that differ are
+    told apart.
     """
     rows = positional(df)
-    suspects = digest_counts(rows).where("copies > 1").drop("copies")
-    exact = digested(rows).join(suspects, ["digest_a", "digest_b"], "left_semi").groupBy(*rows.columns).agg(
+    exact = digested(rows).join(suspects(rows), ["digest_a", "digest_b"], "left_semi").groupBy(*rows.columns).agg(
         F.count("*").alias("copies")).where("copies > 1")
     return exact.toDF(*df.columns, "copies")
 
 
 def surplus_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier row; only 16-byte digests are counted, no row moves."""
-    return digest_counts(positional(df)).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    """How many rows repeat an earlier row. Only rows whose digest repeats are compared, and only those move that do not combine."""
+    return repeated_rows(df).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def identical_pairs(df: DataFrame) -> list[tuple[str, str]]:

@@ -1,9 +1,10 @@
 """Findings, repairs and threshold sweep on planted tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning, diagnose, evaluate, planting
-from ledgerlens.operators.profile import JointProfile, Profile
+from ledgerlens.operators.profile import JointProfile, Profile, dataset
 from ledgerlens.functions.parsing import null_default_tokens
 from ledgerlens.plans import review
 from ledgerlens.plans.views import table
@@ -76,6 +77,19 @@ def test_repeated_rows_are_listed_with_every_copy(spark):
     assert [tuple(r) for r in cleaning.list_repeated_rows(df).collect()] == [("a", None)] * 3
 
 
+def test_rows_of_one_digest_are_told_apart(spark, monkeypatch):
+    def weak(rows):
+        return rows.withColumn("digest_a", F.lit(1).cast("bigint")).withColumn("digest_b", F.coalesce(F.col("c0"), F.lit("")) == "a")
+
+    monkeypatch.setattr(dataset, "digested", weak)
+    monkeypatch.setattr(cleaning, "digested", weak)
+    rows = [("a", None)] * 3 + [("a", 1), ("b", 1), ("b", 1), ("c", 1), (None, 1), (None, 1), (None, None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    assert dataset.surplus_rows(df).first()[0] == 4
+    assert sorted(map(tuple, cleaning.list_repeated_rows(df).collect()), key=str) == sorted([("a", None)] * 3 + [("b", 1)] * 2 + [(None, 1)] * 2, key=str)
+    assert sorted((r[0], r[1], r["copies"]) for r in dataset.repeated_rows(df).where("k is not null").collect()) == [("a", None, 3), ("b", 1, 2)]
+
+
 def test_pooling_keeps_nulls_and_the_most_frequent(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [("c",), (None,)], "g string")
     got = {r[0]: r[1] for r in cleaning.pool_rare_categories(df, "g", 2).groupBy("g").count().collect()}
