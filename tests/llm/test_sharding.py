@@ -1,7 +1,10 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import sharding
@@ -52,3 +55,21 @@ def test_odd_rows(spark):
     own = {r.doc_id: r for r in rows}
     assert (own[4].size, own[4].text_crc32, own[5].size, own[5].text_crc32) == (16, None, 16, 0)
     assert sharding.assign(no_rows(spark), [1.0]).count() == 0
+
+
+def plain_shard(key, weights):
+    """Every shard's draw for one key, from the public hash of the key's bytes and then of the shard's."""
+    draws = []
+    for shard, weight in enumerate(weights):
+        seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        bits = xxhash.xxh64_intdigest(struct.pack("<i", shard), seed) >> 11
+        draws.append((-math.log((bits + 0.5) / (1 << 53)) / weight, shard))
+    return min(draws)[1]
+
+
+@pytest.mark.parametrize("weights, added", [([1.0] * 40, [1.0]), ([1.0, 2.5, 0.5], [4.0, 0.1]), ([1.0], [])])
+def test_the_winning_shard_against_all_draws(spark, weights, added):
+    keys = [*range(-50, 400), (1 << 63) - 1, -(1 << 63), None]
+    df = spark.createDataFrame([(k, "text") for k in keys], "doc_id bigint, text string")
+    got = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.assign(df, weights, added).collect()}
+    assert got == {k: (plain_shard(k, weights), plain_shard(k, [*weights, *added])) for k in keys}
