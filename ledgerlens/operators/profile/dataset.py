@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.expressions import pct
-from ledgerlens.operators.profile.frequency import carrier_of
+from ledgerlens.operators.profile.frequency import carrier_of, digest
 from ledgerlens.session import materialize
 
 
@@ -46,9 +46,19 @@ def repeated_rows(df: DataFrame) -> DataFrame:
     return exact.toDF(*df.columns, "copies")
 
 
+def spelled(rows: DataFrame) -> Column:
+    """128 bits of a SHA-256 digest over the cells, each with its length in front, so that no two rows are spelled alike."""
+    cells = [F.when(F.col(c) == 0, 0.0).otherwise(F.col(c)).cast("string") if carrier_of(f.dataType) == "double" else F.col(c).cast("string")
+             for c, f in zip(rows.columns, rows.schema.fields)]
+    marked = [F.when(x.isNull(), F.lit("-")).otherwise(F.concat(F.length(x), F.lit(":"), x)) for x in cells]
+    return digest(F.concat(*marked))
+
+
 def surplus_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier row. Only rows whose digest repeats are compared, and only those move that do not combine."""
-    return repeated_rows(df).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    """How many rows repeat an earlier row. Only digests are counted, no row moves; a digest of another kind tells those apart that the first ones do not."""
+    rows = positional(df)
+    counts = digested(rows).withColumn("digest_c", spelled(rows)).groupBy("digest_a", "digest_b", "digest_c").agg(F.count("*").alias("copies"))
+    return counts.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def identical_pairs(df: DataFrame) -> list[tuple[str, str]]:
