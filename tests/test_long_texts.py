@@ -49,3 +49,10 @@ def test_equal_rows_of_two_types(spark):
     df = spark.createDataFrame([(1, 1.0, "1", True, b"1")] * 3, "i int, d double, s string, b boolean, raw binary")
     got = {r.position: (r.value, r.n, r.x) for r in value_frequencies(df).collect()}
     assert got == {0: ("1", 3, 1.0), 1: ("1.0", 3, 1.0), 2: ("1", 3, 1.0), 3: ("true", 3, None), 4: ("1", 3, 1.0)}
+
+
+def test_measures_are_in_the_plan_once_whatever_the_columns(spark):
+    def digests(n):
+        df = spark.range(3).select(*[F.concat(F.lit(SAME), F.col("id") + k).alias(f"c{k}") for k in range(n)])
+        return value_frequencies(df)._jdf.queryExecution().optimizedPlan().toString().count("sha2(")
+    assert digests(9) == digests(1) > 0

@@ -131,3 +131,13 @@ def test_values_are_placed_in_several_parts(spark):
     assert parts.select("part").distinct().count() > 1
     hot = ordering.ordered_parts(spark.range(5000).selectExpr("1 as k", "1.0 as x", "1L as n"), ["k"], ["x"], 5000, "n")
     assert [(r["x"], r["n"]) for r in hot.collect()] == [(1.0, 5000)]
+
+
+def test_rows_are_spelled_apart_without_the_text_of_numbers(spark):
+    rows = [(1.0, 12, "3"), (1.0, 1, "23"), (None, 1, "-"), (float("nan"), 1, None), (float("nan"), 1, "-;"), (0.0, None, "x"), (-0.0, None, "x"),
+            (5e-324, None, "x"), (1e16, -1, ""), (1.0000000000000002e16, -1, ""), (float("inf"), -1, "")]
+    df = whole.positional(spark.createDataFrame(rows, "x double, k bigint, v string"))
+    spelled = df.select(whole.spelled(df).alias("s"))
+    assert spelled.distinct().count() == len(rows) - 1
+    plan = spelled._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(c0" not in plan and "cast(c1" not in plan
