@@ -141,3 +141,10 @@ def test_rows_are_spelled_apart_without_the_text_of_numbers(spark):
     assert spelled.distinct().count() == len(rows) - 1
     plan = spelled._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(c0" not in plan and "cast(c1" not in plan
+
+
+def test_scalars_need_neither_ranks_nor_top_values(spark):
+    p = profile(spark, {"a": [1, 2, "n/a", None], "b": ["x", " y", "Y", "x"]})
+    scalars = p.scalars.orderBy("position").collect()
+    assert not {"ranked", "numeric", "columns"} & set(p.__dict__)
+    assert scalars == p.columns.select(*p.SCALARS).orderBy("position").collect()
