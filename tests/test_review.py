@@ -125,3 +125,10 @@ def test_a_false_alarm_lowers_precision(spark):
     assert (row["found"], row["false_alarms"], row["missed"], row["precision"], row["recall"]) == (0, 1, 1, 0.0, 0.0)
     detail = evaluate.flag_detail(evaluate.judged(hits, truth, [0.002])).first()["flags"]
     assert detail == "t:c=5.0000 (FALSE POSITIVE)"
+
+
+def test_sample_values_need_no_profile(spark):
+    p = Profile(planting.plant_defects(table(spark, SF, "orders")), "planted", AS_OF)
+    samples = {r["name"]: r["sample_values"] for r in p.samples.collect()}
+    assert not {"frequencies", "summary"} & set(p.__dict__)
+    assert samples == {r["name"]: r["sample_values"] for r in p.columns.select("name", "sample_values").collect()}
