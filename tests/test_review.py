@@ -132,3 +132,12 @@ def test_sample_values_need_no_profile(spark):
     samples = {r["name"]: r["sample_values"] for r in p.samples.collect()}
     assert not {"frequencies", "summary"} & set(p.__dict__)
     assert samples == {r["name"]: r["sample_values"] for r in p.columns.select("name", "sample_values").collect()}
+
+
+def test_a_fence_needs_its_own_column_only(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(review, "Profile", lambda df, *a, **b: seen.append(p := Profile(df, *a, **b)) or p)
+    rows = review.i16_outliers(spark, SF)
+    whole = Profile(review.dataset(spark, SF, "planted"), "planted", AS_OF)
+    assert [p.names for p in seen] == [["Crate Count"]] and "columns" not in seen[0].__dict__
+    assert sorted(map(str, rows.collect())) == sorted(map(str, cleaning.outlier_rows(whole.df, "Crate Count", whole.columns).collect()))
