@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import ordering
 from ledgerlens.operators.profile import Profile
@@ -148,3 +149,12 @@ def test_scalars_need_neither_ranks_nor_top_values(spark):
     scalars = p.scalars.orderBy("position").collect()
     assert not {"ranked", "numeric", "columns"} & set(p.__dict__)
     assert scalars == p.columns.select(*p.SCALARS).orderBy("position").collect()
+
+
+def test_a_dataset_profile_needs_no_counts_of_values(spark):
+    df = spark.createDataFrame([(1, 1.5, " N/A ", "é"), (None, float("nan"), None, ""), (3, None, "x", "tbd")] * 2, "k int, x double, v string, w string")
+    df = df.withColumn("t", F.timestamp_micros(F.lit(1_700_000_000_500_000)))
+    p, q = Profile(df, "one", AS_OF, text=False), Profile(df, "one", AS_OF, text=False)
+    alone = p.dataset.collect()
+    assert not {"frequencies", "summary"} & set(p.__dict__)
+    assert q.summary.count() == 5 and q.dataset.collect() == alone and alone[0].missing_cells == 14
