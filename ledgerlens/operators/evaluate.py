@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.expressions import half_up
+from ledgerlens.functions.parsing import is_placeholder
 from ledgerlens.operators.diagnose import sentinel_hits
 from ledgerlens.operators.profile import JointProfile
+from ledgerlens.operators.profile.frequency import carrier_of, column_at
+
+
+#: How text that reads as a number begins; other text may begin so too.
+NUMBER_START = rf"^[{re.escape(fixed.NUMBER_MARKS + fixed.WHITESPACE)}(+-]*[0-9.iI]"
+
+
+def maybe_numeric(df: DataFrame) -> DataFrame:
+    """The columns that can turn out numeric, from one pass in which no value moves.
+
+    A column is numeric if PARSE_SHARE of its held values are numbers, so one in
+    which fewer begin like a number has no codes to look for. A table without any
+    such column is given back whole.
+    """
+    texts = [i for i, f in enumerate(df.schema.fields) if carrier_of(f.dataType) == "string"]
+    if not texts:
+        return df
+    counts = []
+    for i in texts:
+        x = column_at(df, i).cast("string")
+        counts += [F.count_if(x.isNotNull() & ~is_placeholder(x)).alias(f"held{i}"), F.count_if(x.rlike(NUMBER_START)).alias(f"like{i}")]
+    seen = df.agg(*counts).first()
+    kept = [i for i in range(len(df.columns)) if i not in texts or 0 < seen[f"like{i}"] >= fixed.PARSE_SHARE * seen[f"held{i}"]]
+    return df.select(*[column_at(df, i) for i in kept]) if kept else df
 
 
 def flagged(profile: JointProfile, rates: Sequence[float] = fixed.SWEEP_RATES) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning, diagnose, evaluate, planting
 from ledgerlens.operators.profile import JointProfile, Profile, dataset
-from ledgerlens.functions.parsing import null_default_tokens
+from ledgerlens.functions.parsing import null_default_tokens, parse_number
 from ledgerlens.plans import review
 from ledgerlens.plans.views import table
 
@@ -141,3 +141,19 @@ def test_a_fence_needs_its_own_column_only(spark, monkeypatch):
     whole = Profile(review.dataset(spark, SF, "planted"), "planted", AS_OF)
     assert [p.names for p in seen] == [["Crate Count"]] and "columns" not in seen[0].__dict__
     assert sorted(map(str, rows.collect())) == sorted(map(str, cleaning.outlier_rows(whole.df, "Crate Count", whole.columns).collect()))
+
+
+def test_the_sweep_counts_values_only_where_numbers_may_be(spark):
+    p = review.swept(spark, SF)
+    assert set(p.names) == {"Promised", "Amount", "Tax Share", "Crate Count", "Age Days", "rate", "booked", "pallets"}
+    whole = JointProfile({n: review.dataset(spark, SF, n) for n in ("planted", "control")}, AS_OF)
+    assert sorted(map(str, evaluate.flagged(p).collect())) == sorted(map(str, evaluate.flagged(whole).collect()))
+
+
+def test_every_start_of_a_number_is_taken_for_one(spark):
+    starts = ["1", " 2", "\t　-3", "(4)", "€ 5", "+.5", "inf", " -Infinity", "%1", "1,000.5", "$(6)", "\x857", "-\n¥8", "n/a", ""]
+    df = spark.createDataFrame([(v, "x" + v, None) for v in starts], "a string, b string, c string")
+    assert evaluate.maybe_numeric(df).columns == ["a"]
+    assert evaluate.maybe_numeric(df.select("b", "c")).columns == ["b", "c"]
+    parsed = df.select(parse_number(F.col("a")).alias("x")).where("x is not null").count()
+    assert parsed == len(starts) - 2
