@@ -65,6 +65,14 @@ def test_the_date_reader_compiles(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_empty_fields_of_a_date_raise_no_errors_inside_spark(spark):
+    """A failed try_cast is an error made and caught; dates without a clock time had some ten of them each."""
+    cases = [("2024-01-05",), ("2024-1-5",), ("20249905",), ("2024-01-05 24:00",), ("2024-99-05",), ("2024-02-30",)]
+    df = spark.createDataFrame(cases, "v string").select(parsing.parse_date(F.col("v")).alias("t"))
+    assert "try_cast(lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.t for r in df.collect()] == [DAY, DAY, None, None, None, None]
+
+
 def test_strip_takes_tabs_and_wide_spaces(spark):
     df = spark.createDataFrame([("\t a b 　 \n",)], "v string")
     assert df.select(parsing.strip(F.col("v"))).first()[0] == "a b"
